@@ -104,8 +104,8 @@ class Pattern:
                 if hop.optional or self._touches(first, needed):
                     rows = self._node(first, label_of[first], needed)
                 else:
-                    rows = step.withColumnRenamed("_near", "_at").withColumnRenamed("_far", hop.node)
-                    rows = self._bind_far(rows.drop("_at"), hop, label_of, needed)
+                    rows = step.withColumnsRenamed({"_near": first, "_far": hop.node})
+                    rows = self._bind_far(rows, hop, label_of, needed)
                     earlier.append(hop)
                     at = hop.node
                     continue
