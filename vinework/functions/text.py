@@ -60,26 +60,29 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 1)
 
 
-def lexemes(text: Column, config: TextConfig = ENGLISH) -> Column:
-    """Terms with their word position, counted from 1 and over stop words."""
+def marked_terms(text: Column, config: TextConfig = ENGLISH) -> Column:
+    """One entry per token, so that an entry's place is its word position.
+
+    Stop words are null when the configuration stems; otherwise they are kept,
+    because :func:`is_term` can tell them from the word itself.
+    """
     words = tokens(text)
-    shown = stem(words) if config.stem else words
-    placed = F.zip_with(
-        words,
-        F.transform(shown, lambda term, i: F.struct(term.alias("term"), (i + 1).alias("pos"))),
-        lambda word, lexeme: F.struct(word.alias("word"), lexeme["term"].alias("term"), lexeme["pos"].alias("pos")),
-    )
-    if config.stop_words:
-        placed = F.filter(placed, lambda x: ~x["word"].isin(list(STOP_WORDS)))
-    return F.transform(placed, lambda x: F.struct(x["term"].alias("term"), x["pos"].alias("pos")))
+    return stem(words, config.stop_words) if config.stem else words
+
+
+def is_term(entry: Column, config: TextConfig = ENGLISH) -> Column:
+    """Whether an entry of :func:`marked_terms` is to be indexed."""
+    if config.stem:
+        return entry.isNotNull()
+    return ~entry.isin(list(STOP_WORDS)) if config.stop_words else F.lit(True)
 
 
 def terms(text: Column, config: TextConfig = ENGLISH) -> Column:
     """Terms in text order, with repetitions."""
-    words = tokens(text)
-    if config.stop_words:
-        words = F.filter(words, lambda word: ~word.isin(list(STOP_WORDS)))
-    return stem(words) if config.stem else words
+    entries = marked_terms(text, config)
+    if not (config.stem or config.stop_words):
+        return entries
+    return F.filter(entries, lambda entry: is_term(entry, config))
 
 
 def matches_all(present: Column, wanted: Column) -> Column:
@@ -219,12 +222,16 @@ def _past_and_gerund(word: str) -> str:
     return word
 
 
-def stem(words: Column) -> Column:
-    """Stem an array of tokens; each distinct word of a batch is stemmed once."""
+def stem(words: Column, drop_stop_words: bool = True) -> Column:
+    """Stem an array of tokens, with null for each stop word.
+
+    Each distinct word of a batch is stemmed once.
+    """
+    dropped = frozenset(STOP_WORDS) if drop_stop_words else frozenset()
 
     @F.pandas_udf("array<string>")
     def stems(batch: pd.Series) -> pd.Series:
-        known: dict[str, str] = {}
+        known: dict[str, str | None] = dict.fromkeys(dropped)
 
         def one(word):
             if word not in known:

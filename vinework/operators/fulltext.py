@@ -7,27 +7,54 @@ from pyspark.sql import functions as F
 
 from vinework.functions import text as words
 from vinework.functions.text import ENGLISH, TextConfig
+from vinework.runtime import cut_lineage, spread
+
+# Term that stands for the whole document.
+WHOLE = ""
 
 
 def postings(
-    corpus: DataFrame, config: TextConfig = ENGLISH, *, text_col: str = "content", id_col: str = "id", positions: bool = False
+    corpus: DataFrame,
+    config: TextConfig = ENGLISH,
+    *,
+    text_col: str = "content",
+    id_col: str = "id",
+    positions: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Inverted index ``term, id, tf, length`` and optionally ``positions``.
 
-    A document's terms are counted in the task that reads it; only one row per
-    document and term is shuffled. Write it with :func:`save_postings` to
-    search without reading the texts again.
+    Positions count all words from 1. ``length`` is the document's number of
+    words. The term ``""`` stands for the document itself, so that corpus size
+    and mean length come from the index. ``only`` is a frame of terms to keep.
+
+    A document's words are counted in the task that reads it; one row per
+    document and term is shuffled.
     """
-    placed = corpus.select(F.col(id_col).alias("id"), words.lexemes(F.col(text_col), config).alias("_lexemes"))
-    each = placed.select("id", F.size("_lexemes").alias("length"), F.explode("_lexemes").alias("_l"))
-    each = each.select("id", "length", F.col("_l.term").alias("term"), F.col("_l.pos").alias("pos"))
+    texts = spread(corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")), "id")
+    entries = texts.select("id", words.marked_terms(F.coalesce("_text", F.lit("")), config).alias("_entries"))
+    itself = F.concat("_entries", F.array(F.lit(WHOLE)))
+    each = entries.select("id", F.size("_entries").alias("length"), F.posexplode(itself).alias("pos", "term"))
+    each = each.filter(words.is_term(F.col("term"), config))
+    if only is not None:
+        whole = only.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))
+        each = each.join(only.select("term").union(whole).distinct(), "term", "left_semi")
     counts = [F.count(F.lit(1)).alias("tf"), F.first("length").alias("length")]
     if positions:
-        counts.append(F.array_sort(F.collect_list("pos")).alias("positions"))
+        counts.append(F.array_sort(F.collect_list(F.col("pos") + 1)).alias("positions"))
     found = each.groupBy("term", "id").agg(*counts)
     return found.select("term", "id", "tf", "length", *(["positions"] if positions else []))
 
 
+def query_postings(corpus: DataFrame, asked: DataFrame, config: TextConfig = ENGLISH, **options) -> DataFrame:
+    """Postings of the asked terms only, written once for all later reads.
+
+    Reads every text once and keeps what the queries need.
+    """
+    only = cut_lineage(asked.select("term").distinct(), "asked")
+    return cut_lineage(postings(corpus, config, only=only, **options), "postings")
+
+
 def save_postings(index: DataFrame, path: str) -> None:
     """Write postings ranged by term and id, so a term's rows sit together.
 
@@ -55,17 +82,15 @@ def match(index: DataFrame, asked: DataFrame) -> DataFrame:
     return found.filter(F.col("_n") == F.col("n_terms")).select("qid", "id", "n_terms")
 
 
-def rank_bm25(index: DataFrame, asked: DataFrame, corpus_size: DataFrame | None = None) -> DataFrame:
+def rank_bm25(index: DataFrame, asked: DataFrame) -> DataFrame:
     """BM25 of matching documents: ``qid, id, score``.
 
-    ``corpus_size`` is a one-row frame ``n_docs, mean_length``; by default it
-    comes from the index. Document frequencies are counted for query terms only.
+    Corpus size and mean length come from the document rows of the index,
+    document frequencies from the rows of the query terms.
     """
-    if corpus_size is None:
-        lengths = index.groupBy("id").agg(F.first("length").alias("length"))
-        corpus_size = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("length").alias("mean_length"))
-    n_docs = corpus_size.select(F.col("n_docs").cast("double")).scalar()
-    mean_length = corpus_size.select("mean_length").scalar()
+    corpus = index.filter(F.col("term") == WHOLE).agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
+    n_docs = corpus.select(F.col("n").cast("double")).scalar()
+    mean_length = corpus.select("mean").scalar()
     wanted = asked.select("term").distinct()
     frequency = index.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     hits = index.select("term", "id", "tf", "length").join(asked.join(frequency, "term"), "term")

@@ -48,11 +48,13 @@ def hybrid(
         rows, queries, fetch, metric, digits=digits,
         id_col=id_col, vec_col=vec_col, qid_col=qid_col, query_vec=query_vec,
     ).select(F.col(qid_col).alias("qid"), F.col(id_col).alias("id"), F.col("rank").alias("_near"))
+    asked = fulltext.query_terms(queries, config, text_col=query_text, qid_col=qid_col)
     if index is None:
-        index = fulltext.postings(rows, config, text_col=text_col, id_col=id_col, positions=ranking == "proximity")
+        index = fulltext.query_postings(
+            rows, asked, config, text_col=text_col, id_col=id_col, positions=ranking == "proximity"
+        )
     elif where is not None:
         index = index.join(rows.select(F.col(id_col).alias("id")), "id", "left_semi")
-    asked = fulltext.query_terms(queries, config, text_col=query_text, qid_col=qid_col)
     if ranking == "proximity":
         scored = fulltext.rank_proximity(index, asked)
     elif ranking == "bm25":

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vinework.runtime import cut_lineage
-from vinework.sources.graph import EDGE_SCHEMA, NODE_SCHEMA
 
 NODE_KEY = ("label", "id")
 EDGE_KEY = ("type", "src_label", "src_id", "dst_label", "dst_id")
@@ -87,14 +86,16 @@ def detach_delete(nodes: DataFrame, edges: DataFrame, gone: DataFrame) -> tuple[
     return nodes.join(ids, "id", "left_anti"), kept.select(*edges.columns)
 
 
-def overlay(existing: DataFrame, writes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def overlay(existing: DataFrame | None, writes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Apply property writes in order to existing bags: ``keys, props``.
 
     ``writes`` has the keys, ``props`` and ``seq`` (unique per key and order).
     Existing rows come first. A last value of null removes the key.
     """
-    before = existing.select(*keys, "props", F.lit(None).cast(writes.schema["seq"].dataType).alias("seq"))
-    every = before.unionByName(writes.select(*keys, "props", "seq"))
+    every = writes.select(*keys, "props", "seq")
+    if existing is not None:
+        never = F.lit(None).cast(writes.schema["seq"].dataType).alias("seq")
+        every = existing.select(*keys, "props", never).unionByName(every)
     # The entry "" marks that the row exists, also when its bag is empty.
     marked = F.map_concat(F.coalesce(F.col("props"), F.create_map().cast("map<string,string>")), _mark())
     each = every.select(*keys, F.explode(marked).alias("_key", "_value"), _after("seq"))
@@ -215,22 +216,18 @@ def merge_documents(
     the same or an earlier document. ``changed_only`` returns only the rows
     that the documents touch.
     """
-    spark = documents.sparkSession
-    nodes = nodes if nodes is not None else spark.createDataFrame([], NODE_SCHEMA)
-    edges = edges if edges is not None else spark.createDataFrame([], EDGE_SCHEMA)
     new_nodes = node_writes(documents, include_source)
     new_edges = edge_writes(documents, include_source)
-    seen = (
-        new_nodes.select(*NODE_KEY, F.col("seq.doc").alias("doc"))
-        .unionByName(nodes.select(*NODE_KEY, F.lit(None).cast("bigint").alias("doc")))
-        .groupBy(*NODE_KEY)
-        .agg(F.min("doc").alias("_doc"), F.bool_or(F.col("doc").isNull()).alias("_stored"))
-        .select(*NODE_KEY, F.when(~F.col("_stored"), F.col("_doc")).alias("first_doc"))
-    )
+    seen = new_nodes.select(*NODE_KEY, F.col("seq.doc").alias("doc"))
+    if nodes is not None:
+        seen = seen.unionByName(nodes.select(*NODE_KEY, F.lit(None).cast("bigint").alias("doc")))
+    stored = F.bool_or(F.col("doc").isNull())
+    seen = seen.groupBy(*NODE_KEY).agg(F.min("doc").alias("_doc"), stored.alias("_stored"))
+    seen = seen.select(*NODE_KEY, F.when(~F.col("_stored"), F.col("_doc")).alias("first_doc"))
     # Written once: both end joins then shuffle a table, where AQE can split hubs.
     seen = cut_lineage(seen, "first-seen")
     new_edges = with_existing_ends(new_edges, seen)
-    if changed_only:
+    if changed_only and nodes is not None and edges is not None:
         nodes = nodes.join(new_nodes.select(*NODE_KEY).distinct(), list(NODE_KEY), "left_semi")
         edges = edges.join(new_edges.select(*EDGE_KEY).distinct(), list(EDGE_KEY), "left_semi")
     return overlay(nodes, new_nodes, NODE_KEY), overlay(edges, new_edges, EDGE_KEY)

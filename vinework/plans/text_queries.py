@@ -23,7 +23,9 @@ def _documents(spark, sf_dir):
     r"""SELECT term, id, count(*) AS tf, any_value(n) AS length
         FROM (SELECT doc_id AS id, unnest(toks) AS term, len(toks) AS n
               FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS toks FROM documents))
-        GROUP BY 1, 2""",
+        GROUP BY 1, 2
+        UNION ALL
+        SELECT '', doc_id, 1, len(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) FROM documents""",
 )
 def term_postings(spark, sf_dir):
     return fulltext.postings(_documents(spark, sf_dir), SIMPLE)
@@ -42,23 +44,25 @@ def term_postings(spark, sf_dir):
 def text_match(spark, sf_dir):
     """Documents that contain every word of a benchmark passage."""
     queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    index = fulltext.postings(_documents(spark, sf_dir), UNSTEMMED)
-    return fulltext.match(index, fulltext.query_terms(queries, UNSTEMMED)).select("qid", "id")
+    asked = fulltext.query_terms(queries, UNSTEMMED)
+    index = fulltext.query_postings(_documents(spark, sf_dir), asked, UNSTEMMED)
+    return fulltext.match(index, asked).select("qid", "id")
 
 
 @query("text_match_english")
 def text_match_english(spark, sf_dir):
     """The same with stemming, which SQL cannot state."""
     queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    index = fulltext.postings(_documents(spark, sf_dir), ENGLISH)
-    return fulltext.match(index, fulltext.query_terms(queries, ENGLISH)).select("qid", "id")
+    asked = fulltext.query_terms(queries, ENGLISH)
+    index = fulltext.query_postings(_documents(spark, sf_dir), asked, ENGLISH)
+    return fulltext.match(index, asked).select("qid", "id")
 
 
 _BM25_SQL = f"""
   {BENCHMARK_SQL},
   tf AS (SELECT term, doc_id AS id, count(*) AS tf, any_value(n) AS len FROM words WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2),
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
-  size AS (SELECT count(*) AS n_docs, avg(n) AS mean FROM (SELECT doc_id, any_value(n) AS n FROM words GROUP BY 1)),
+  size AS (SELECT count(*) AS n_docs, avg(len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'))) AS mean FROM documents),
   scored AS (
     SELECT qid, id, sum(ln((n_docs - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))) AS score
     FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN asked_n USING (qid), size
@@ -68,8 +72,8 @@ _BM25_SQL = f"""
 
 @query("bm25_rank", f"WITH {_BM25_SQL} SELECT qid, id, round(score, 6) AS score FROM scored")
 def bm25_rank(spark, sf_dir):
-    index = fulltext.postings(_documents(spark, sf_dir), SIMPLE)
     asked = fulltext.query_terms(benchmark_queries(spark, sf_dir), SIMPLE)
+    index = fulltext.query_postings(_documents(spark, sf_dir), asked, SIMPLE)
     scored = fulltext.rank_bm25(index, asked)
     return scored.select("qid", "id", F.round("score", 6).alias("score"))
 
@@ -96,8 +100,8 @@ _PROXIMITY_SQL = f"""
 
 @query("proximity_rank", f"WITH {_PROXIMITY_SQL} SELECT qid, id, round(score, 6) AS score FROM scored")
 def proximity_rank(spark, sf_dir):
-    index = fulltext.postings(_documents(spark, sf_dir), SIMPLE, positions=True)
     asked = fulltext.query_terms(benchmark_queries(spark, sf_dir), SIMPLE)
+    index = fulltext.query_postings(_documents(spark, sf_dir), asked, SIMPLE, positions=True)
     scored = fulltext.rank_proximity(index, asked)
     return scored.select("qid", "id", F.round("score", 6).alias("score"))
 

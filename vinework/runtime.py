@@ -59,3 +59,18 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/vinework/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# A task with less input than this leaves cores idle in compute-heavy scans.
+TASK_BYTES = 32 << 20
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a share of a small input.
+
+    A Parquet row group is read by one task, so a small file would keep one
+    core busy. Inputs that fill the cores are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *keys) if size < cores * TASK_BYTES else df
