@@ -59,7 +59,7 @@ class CellIndex:
         probes = probes.select("_qid", "_qvec", F.explode("_cells").alias("_cell"))
         near = exact.blockwise(
             rows, probes, k, self.metric,
-            digits=digits, columns=columns, id_col=self.id_col, vec_col=self.vec_col,
+            digits=digits, columns=columns, id_col=self.id_col, vec_col=self.vec_col, dim=self.centres.shape[1],
         )
         return exact.ranked(near, k, self.id_col).withColumnRenamed("_qid", qid_col)
 

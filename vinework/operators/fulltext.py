@@ -26,7 +26,7 @@ def postings(
 
     Positions count all words from 1. ``length`` is the document's number of
     words. The term ``""`` stands for the document itself, so that corpus size
-    and mean length come from the index. ``only`` is a frame of terms to keep.
+    and mean length come from the index. ``only`` is a frame of terms to keep, a written one at best.
 
     A document's words are counted in the task that reads it; one row per
     document and term is shuffled.
@@ -37,8 +37,7 @@ def postings(
     each = entries.select("id", F.size("_entries").alias("length"), F.posexplode(itself).alias("pos", "term"))
     each = each.filter(words.is_term(F.col("term"), config))
     if only is not None:
-        whole = only.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))
-        each = each.join(only.select("term").union(whole).distinct(), "term", "left_semi")
+        each = each.join(only.select("term"), "term", "left_semi")
     counts = [F.count(F.lit(1)).alias("tf"), F.first("length").alias("length")]
     if positions:
         counts.append(F.array_sort(F.collect_list(F.col("pos") + 1)).alias("positions"))
@@ -51,7 +50,8 @@ def query_postings(corpus: DataFrame, asked: DataFrame, config: TextConfig = ENG
 
     Reads every text once and keeps what the queries need.
     """
-    only = cut_lineage(asked.select("term").distinct(), "asked")
+    whole = asked.sparkSession.range(1).select(F.lit(WHOLE).alias("term"))
+    only = cut_lineage(asked.select("term").union(whole).distinct(), "asked")
     return cut_lineage(postings(corpus, config, only=only, **options), "postings")
 
 
@@ -91,9 +91,10 @@ def rank_bm25(index: DataFrame, asked: DataFrame) -> DataFrame:
     corpus = index.filter(F.col("term") == WHOLE).agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
     n_docs = corpus.select(F.col("n").cast("double")).scalar()
     mean_length = corpus.select("mean").scalar()
-    wanted = asked.select("term").distinct()
-    frequency = index.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    hits = index.select("term", "id", "tf", "length").join(asked.join(frequency, "term"), "term")
+    frequency = index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Written, so that a term found everywhere can be split when it is joined.
+    weighted = cut_lineage(asked.join(frequency, "term"), "weighted")
+    hits = index.select("term", "id", "tf", "length").join(weighted, "term")
     share = words.bm25(F.col("tf"), F.col("df"), F.col("length"), n_docs, mean_length)
     scored = hits.groupBy("qid", "id").agg(
         F.count(F.lit(1)).alias("_n"), F.first("n_terms").alias("n_terms"), F.sum(share).alias("score")

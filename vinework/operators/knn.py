@@ -21,9 +21,9 @@ from vinework.functions.vectors import Metric
 # distributed in blocks.
 SHIPPED_QUERIES = 8_192
 SHIPPED_BYTES = 64 << 20
-# Rows and queries of one block when both sides are distributed.
-BLOCK_ROWS = 100_000
-BLOCK_QUERIES = 8_192
+# Vectors of one block of rows, and of queries, when both are distributed.
+ROW_BLOCK_BYTES = 64 << 20
+QUERY_BLOCK_BYTES = 8 << 20
 
 
 def knn(
@@ -63,7 +63,7 @@ def knn(
     else:
         near = blockwise(
             rows.withColumn("_cell", F.lit(0)), asked.withColumn("_cell", F.lit(0)),
-            k, metric, digits=digits, columns=columns, id_col=id_col, vec_col=vec_col,
+            k, metric, digits=digits, columns=columns, id_col=id_col, vec_col=vec_col, dim=len(batch.column("_qvec")[0]),
         )
     return ranked(near, k, id_col).withColumnRenamed("_qid", qid_col)
 
@@ -109,8 +109,9 @@ def blockwise(
     columns: Sequence[str],
     id_col: str,
     vec_col: str,
-    block_rows: int = BLOCK_ROWS,
-    block_queries: int = BLOCK_QUERIES,
+    dim: int,
+    block_rows: int | None = None,
+    block_queries: int | None = None,
 ) -> DataFrame:
     """Top-k per query among rows of the same ``_cell``, both sides distributed.
 
@@ -119,6 +120,8 @@ def blockwise(
     many tasks and every task holds two bounded blocks. The grid table has one
     row per cell and is therefore broadcast.
     """
+    block_rows = block_rows or max(1, ROW_BLOCK_BYTES // (8 * dim))
+    block_queries = block_queries or max(1, QUERY_BLOCK_BYTES // (8 * dim))
     grid = (
         rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
         .join(asked.groupBy("_cell").agg(F.count(F.lit(1)).alias("_m")), "_cell")

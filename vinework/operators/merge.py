@@ -66,21 +66,25 @@ def set_property(df: DataFrame, name: str, value: Column, condition: Column) ->
 
 def delete_nodes(nodes: DataFrame, edges: DataFrame, gone: DataFrame, *, check: bool = True) -> DataFrame:
     """Nodes without those in ``gone``; raises if an edge still refers to one."""
-    if check and not dangling(edges, gone).isEmpty():
+    if check and not _losing_an_end(edges, gone).isEmpty():
         raise ValueError("cannot delete a node that still has edges")
     return nodes.join(gone.select("id"), "id", "left_anti")
 
 
 def dangling(edges: DataFrame, gone: DataFrame) -> DataFrame:
-    """Edges that would lose an end."""
+    """Edges that would lose an end, each once."""
+    return _losing_an_end(edges, gone).distinct()
+
+
+def _losing_an_end(edges: DataFrame, gone: DataFrame) -> DataFrame:
     out = edges.join(gone.select(F.col("id").alias("start_id")), "start_id", "left_semi")
     back = edges.join(gone.select(F.col("id").alias("end_id")), "end_id", "left_semi")
-    return out.select("id", "start_id", "end_id").unionByName(back.select("id", "start_id", "end_id")).distinct()
+    return out.select("id", "start_id", "end_id").unionByName(back.select("id", "start_id", "end_id"))
 
 
 def detach_delete(nodes: DataFrame, edges: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes without those in ``gone``, and edges without theirs."""
-    ids = gone.select("id").distinct()
+    ids = gone.select("id")
     kept = edges.join(ids.select(F.col("id").alias("start_id")), "start_id", "left_anti")
     kept = kept.join(ids.select(F.col("id").alias("end_id")), "end_id", "left_anti")
     return nodes.join(ids, "id", "left_anti"), kept.select(*edges.columns)

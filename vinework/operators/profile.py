@@ -24,19 +24,23 @@ def latency_profile(events: DataFrame, value: str, *groups: str) -> DataFrame:
     ranged = counts.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id())
     ranged = cut_lineage(ranged, "ranged")
     totals = ranged.groupBy(*keys).agg(
-        F.sum("_n").alias("n"),
         (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("mean"),
         F.min("_v").alias("min"),
         F.max("_v").alias("max"),
     )
     per_part = ranged.groupBy(*keys, "_part").agg(F.sum("_n").alias("_in_part"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = per_part.select(*keys, "_part", F.coalesce(F.sum("_in_part").over(earlier), F.lit(0)).alias("_before"))
+    per_part = per_part.select(
+        *keys, "_part",
+        F.coalesce(F.sum("_in_part").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_in_part").over(Window.partitionBy(*keys)).alias("n"),
+    )
     inside = Window.partitionBy(*keys, "_part").orderBy("_v")
     placed = ranged.withColumn("_inside", F.sum("_n").over(inside)).join(per_part, [*keys, "_part"])
-    placed = placed.join(totals.select(*keys, "n"), keys).withColumn("_upto", F.col("_before") + F.col("_inside"))
+    placed = placed.withColumn("_upto", F.col("_before") + F.col("_inside"))
     n = F.col("n")
     ranks = placed.groupBy(*keys).agg(
+        F.first("n").alias("n"),
         _value_at(F.floor((n - 1) / 2)).alias("_low"),
         _value_at(F.ceil((n - 1) / 2)).alias("_high"),
         _value_at(F.least(F.floor(n * 0.99), n - 1)).alias("p99"),

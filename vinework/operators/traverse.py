@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vinework.functions.filters import text_equals_all
-from vinework.runtime import cut_lineage
+from vinework.runtime import cut_lineage, is_small
 from vinework.sources.graph import PropertyGraph
 
 
+# Levels of one plan when the edges are small.
+SMALL_CUT = 3
+
+
 def traverse(
     graph: PropertyGraph,
     start_label: str,
@@ -24,7 +28,7 @@ def traverse(
     direction: str = "outgoing",
     properties: Sequence[str] | None = None,
     return_properties: bool = True,
-    cut_every: int = 3,
+    cut_every: int | None = None,
 ) -> DataFrame:
     """Distinct ``(depth, node_id)`` pairs reached from the start nodes.
 
@@ -36,11 +40,11 @@ def traverse(
 
     A level is the set of ends of edges that leave the previous level: a
     semi-join and a distinct, so hubs and parallel edges shrink before every
-    shuffle. Up to ``cut_every`` levels form one plan, in which Spark shuffles
-    the edges once and computes each level once; then they are written to the
-    shared folder, and the loop stops if the last frontier is empty. With edges
-    bucketed on the near end, or frontiers small enough to broadcast, a
-    ``cut_every`` of 1 reads the edges in place at every level.
+    shuffle. Every ``cut_every`` levels are written to the shared folder, and the
+    loop stops if the last frontier is empty. The default is every level, unless
+    the edges are small: from a written frontier Spark knows whether to
+    broadcast it and leave the edges in place, and where it shuffles, it can
+    split the edges of a hub over many tasks.
     """
     options = dict(properties=properties, return_properties=return_properties, cut_every=cut_every)
     if direction == "both":
@@ -52,6 +56,8 @@ def traverse(
     starts = graph.nodes(start_label)
     chosen = text_equals_all(start_filter or {})
     starts = starts if chosen is None else starts.filter(chosen)
+    if cut_every is None:
+        cut_every = SMALL_CUT if is_small(steps) else 1
     level = _follow(steps, starts.select(F.col("id").alias("_near")))
     written: list[DataFrame] = []
     pending = [level.withColumn("depth", F.lit(1))]

@@ -20,12 +20,12 @@ def _documents(spark, sf_dir):
 
 @query(
     "term_postings",
-    r"""SELECT term, id, count(*) AS tf, any_value(n) AS length
+    r"""SELECT term, id, count(*) AS tf, any_value(n)::INTEGER AS length
         FROM (SELECT doc_id AS id, unnest(toks) AS term, len(toks) AS n
               FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS toks FROM documents))
         GROUP BY 1, 2
         UNION ALL
-        SELECT '', doc_id, 1, len(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) FROM documents""",
+        SELECT '', doc_id, 1, len(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))::INTEGER FROM documents""",
 )
 def term_postings(spark, sf_dir):
     return fulltext.postings(_documents(spark, sf_dir), SIMPLE)
@@ -120,7 +120,7 @@ def _hybrid_sql(ranked: str, join: str, k: int = 4) -> str:
         SELECT coalesce(n.qid, w.qid) AS qid, coalesce(n.id, w.id) AS id,
                round(coalesce(1.0::DOUBLE / (60 + n.rn), 0) + coalesce(1.0::DOUBLE / (60 + w.rn), 0), 6) AS score
         FROM near n {join} JOIN worded w ON n.qid = w.qid AND n.id = w.id)
-      SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank, id, score, round(1 - score, 6) AS distance
+      SELECT qid, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, id))::INTEGER AS rank, id, score, round(1 - score, 6) AS distance
       FROM fused QUALIFY rank <= {k}"""
 
 
@@ -148,7 +148,7 @@ def hybrid_rrf_text_only(spark, sf_dir):
 
 @query(
     "text_terms",
-    rf"""SELECT doc_id, len(t) AS n_terms, len(list_distinct(t)) AS n_distinct
+    rf"""SELECT doc_id, len(t)::INTEGER AS n_terms, len(list_distinct(t))::INTEGER AS n_distinct
          FROM (SELECT doc_id, [w FOR w IN regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') IF w NOT IN {_STOP_SQL}] AS t FROM documents)""",
 )
 def text_terms(spark, sf_dir):

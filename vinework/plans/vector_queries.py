@@ -34,7 +34,7 @@ DIST_SQL = {
 def _knn_sql(metric: str, corpus: str, queries: str, k: int, where: str = "TRUE", more: str = "") -> str:
     dist = DIST_SQL[metric].format(a="q.embedding", b="c.embedding")
     return f"""
-      SELECT qid, rank, id, distance{more} FROM (
+      SELECT qid, rank::INTEGER AS rank, id, distance{more} FROM (
         SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance NULLS LAST, id) AS rank FROM (
           SELECT q.qid, c.id, round({dist}, 6) + 0.0 AS distance FROM {queries} q, {corpus} c WHERE {where}))
       WHERE rank <= {k}"""
@@ -142,7 +142,7 @@ def distances_all(spark, sf_dir):
 @query(
     "float32_vectors",
     f"""WITH {CENTRES_SQL}
-        SELECT qid, round(list_sum([x::FLOAT::DOUBLE FOR x IN embedding]), 6) AS total, len(embedding) AS dim FROM centres""",
+        SELECT qid, round(list_sum([x::FLOAT::DOUBLE FOR x IN embedding]), 6) AS total, len(embedding)::INTEGER AS dim FROM centres""",
 )
 def float32_vectors(spark, sf_dir):
     stored = label_centres(spark, sf_dir).select("qid", vectors.float32(F.col("embedding"), 64).alias("v"))
@@ -207,7 +207,29 @@ for _name, (_spec, _condition) in FILTERS.items():
     _register_filter(_name, _spec, _condition)
 
 
-@query("mmr")
+def _mmr_sql() -> str:
+    """Greedy picks by relevance minus likeness, one common table per pick."""
+    picks = """p1 AS (SELECT qid, id, 1 AS pick FROM cand QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(to_q, 12) DESC, rank) = 1)"""
+    for n in range(2, 5):
+        before = " UNION ALL ".join(f"SELECT qid, id FROM p{i}" for i in range(1, n))
+        picks += f""", p{n} AS (
+          SELECT c.qid, c.id, {n} AS pick
+          FROM cand c JOIN ({before}) p ON p.qid = c.qid JOIN vectors v ON v.id = p.id
+          WHERE (c.qid, c.id) NOT IN (SELECT (qid, id) FROM ({before}))
+          GROUP BY c.qid, c.id, c.rank, c.to_q
+          QUALIFY row_number() OVER (PARTITION BY c.qid ORDER BY
+            round(0.5 * c.to_q - 0.5 * max(list_cosine_similarity(c.embedding, v.embedding)), 12) DESC, c.rank) = 1)"""
+    every = " UNION ALL ".join(f"SELECT * FROM p{i}" for i in range(1, 5))
+    return f"""WITH vectors AS (SELECT vec_id AS id, embedding::DOUBLE[] AS embedding FROM embeddings), {_ASKED_SQL},
+      near AS ({_knn_sql('cosine', 'vectors', 'asked', 20)}),
+      cand AS (
+        SELECT n.*, v.embedding, list_cosine_similarity(q.embedding, v.embedding) AS to_q
+        FROM near n JOIN vectors v ON v.id = n.id JOIN asked q ON q.qid = n.qid),
+      {picks}
+      SELECT e.qid, e.pick, e.id, n.distance FROM ({every}) e JOIN near n ON n.qid = e.qid AND n.id = e.id"""
+
+
+@query("mmr", _mmr_sql())
 def mmr_query(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     picks = Search(rows, digits=6).diverse(_scaled_queries(spark, sf_dir), 4, 20, 0.5)

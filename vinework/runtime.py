@@ -72,5 +72,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     core busy. Inputs that fill the cores are returned as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if is_small(df) else df
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate stays below one small task per core."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *keys) if size < cores * TASK_BYTES else df
+    return size < df.sparkSession.sparkContext.defaultParallelism * TASK_BYTES

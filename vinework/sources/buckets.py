@@ -17,7 +17,9 @@ class BucketedTable:
     Writes use dynamic partition overwrite: new files of the touched buckets
     replace the old ones when the job commits, so a failed job changes
     nothing. Each bucket keeps one marker row with a null key; without it a
-    bucket whose last row was deleted would not be overwritten.
+    bucket whose last row was deleted would not be overwritten. A large bucket is
+    written by several tasks; choose the number of buckets so that an upsert
+    rewrites little that it does not change.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], buckets: int = 256) -> None:
@@ -35,7 +37,7 @@ class BucketedTable:
         """Create the table unless it exists; ``replace`` empties it first."""
         if replace or not self.exists():
             markers = self._markers(self.spark.range(self.buckets).select(F.col("id").cast("int").alias("bucket")))
-            markers.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(self.path)
+            markers.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(self.path)
         return self
 
     def drop(self) -> None:
@@ -72,7 +74,7 @@ class BucketedTable:
             kept = kept.unionByName(fresh.select(*self.columns, "bucket"))
         markers = self._markers(touched.select("bucket").distinct())
         (
-            kept.unionByName(markers).repartition("bucket")
+            kept.unionByName(markers).hint("rebalance", "bucket")
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket").parquet(self.path)
         )
