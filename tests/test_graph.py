@@ -182,3 +182,21 @@ def test_describe_with_restriction(spark):
     g = graph(spark, CHAIN, foreign={3})
     text = schema.describe(g, exclude=["F"]).first().schema_text
     assert "  :N {name}" in text and "  :F {" not in text and "(:N)-[:E]->(:F)" in text
+
+
+def test_typed_graph_over_bags_and_on_disk(spark, tmp_path):
+    nodes = spark.createDataFrame(
+        [("P", "1", {"id": '"1"', "name": '"Al"', "age": "30"}), ("P", "2", {"id": '"2"', "name": '"Bo"'})],
+        "label string, id string, props map<string,string>",
+    )
+    edges = spark.createDataFrame(
+        [("KNOWS", "P", "1", "P", "2", {"since": "2020"})],
+        "type string, src_label string, src_id string, dst_label string, dst_id string, props map<string,string>",
+    )
+    g = PropertyGraph.from_bags(nodes, edges, {"P": "name string, age int"}, {"KNOWS": "since int"})
+    g.save(str(tmp_path))
+    for graph_ in (g, PropertyGraph.load(spark, str(tmp_path), ["P"], ["KNOWS"])):
+        found = match(graph_, "a", "P", name="Al").out("r", "KNOWS", "b", "P").returns("a.age", "r.since", to="b.name")
+        assert [tuple(r) for r in found.collect()] == [(30, 2020, "Bo")]
+    reached = traverse(g, "P", {"name": "Al"}, "KNOWS", 2, properties=["name", "age"]).collect()
+    assert [tuple(r) for r in reached] == [(1, "P:2", "Bo", None)]

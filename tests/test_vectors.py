@@ -184,12 +184,12 @@ def test_mmr_against_brute_force(spark, data, partitions):
 
 
 @pytest.mark.parametrize("metric", [m.value for m in Metric])
-def test_cells_equal_exact_when_all_are_probed(spark, data, metric):
+def test_cells_equal_exact_when_all_are_probed(spark, data, metric, tmp_path):
     rows, queries = data
     corpus, asked = frame(spark, rows), frame(spark, queries, "qid")
     index = build_cells(corpus, 4, metric, iterations=3)
     exact = knn(corpus, asked, 4, metric, digits=6)
-    everywhere = index.search(asked, 4, nprobe=4, digits=6)
+    everywhere = index.save(str(tmp_path / "index")).search(asked, 4, nprobe=4, digits=6)
     same(as_dict(everywhere), as_dict(exact))
     assert recall(index.search(asked, 4, nprobe=2, digits=6), exact).agg(F.avg("recall")).first()[0] > 0.4
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,25 @@ class CellIndex:
         return exact.ranked(near, k, self.id_col).withColumnRenamed("_qid", qid_col)
 
 
+    def save(self, path: str) -> CellIndex:
+        """Write the index; the saved one reads only the cells that are probed."""
+        path = path.rstrip("/")
+        spread = self.cells.hint("rebalance", "cell")
+        spread.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
+        spark = self.cells.sparkSession
+        rows = [(i, centre.tolist()) for i, centre in enumerate(self.centres)]
+        spark.createDataFrame(rows, "cell int, centre array<double>").write.mode("overwrite").parquet(f"{path}/centres")
+        return load_cells(spark, path, self.metric, id_col=self.id_col, vec_col=self.vec_col)
+
+
+def load_cells(spark: SparkSession, path: str, metric: Metric | str, *, id_col: str = "id", vec_col: str = "embedding") -> CellIndex:
+    """Open a saved index."""
+    path = path.rstrip("/")
+    rows = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
+    centres = np.array([r.centre for r in rows])
+    return CellIndex(spark.read.parquet(f"{path}/cells"), centres, Metric(metric).value, id_col, vec_col)
+
+
 def build_cells(
     corpus: DataFrame,
     n_lists: int = 100,

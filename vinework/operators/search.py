@@ -16,6 +16,7 @@ from vinework.functions.vectors import Metric, ScoreFn, relevance
 from vinework.operators.hybrid import hybrid
 from vinework.operators.knn import knn
 from vinework.operators.mmr import mmr
+from vinework.runtime import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,8 @@ class Search:
             return queries
         if self.embedder is None:
             raise ValueError("queries have no embedding and no embedder was given")
-        return queries.withColumn("embedding", self.embedder(F.col("text")))
+        # Written, so that the model sees each query once.
+        return cut_lineage(queries.withColumn("embedding", self.embedder(F.col("text"))), "queries")
 
     def by_vector(self, queries: DataFrame, k: int = 4, filter: Mapping[str, Any] | Column | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
         """Nearest rows of ``qid, embedding`` queries."""

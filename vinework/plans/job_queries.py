@@ -103,14 +103,14 @@ def fence_strip(spark, sf_dir):
 
 
 @query(
-    "agtype_parse",
+    "tagged_text_parse",
     """SELECT c_custkey, 'vertex' AS form, 'object' AS kind, c_name AS name, NULL AS num FROM customer
        UNION ALL SELECT c_custkey, 'number', 'number', NULL, c_acctbal FROM customer
        UNION ALL SELECT c_custkey, 'text', 'text', c_mktsegment, NULL FROM customer
        UNION ALL SELECT c_custkey, 'path', 'array', NULL, NULL FROM customer
        UNION ALL SELECT c_custkey, 'flag', 'boolean', NULL, NULL FROM customer""",
 )
-def agtype_parse(spark, sf_dir):
+def tagged_text_parse(spark, sf_dir):
     vertex = F.concat(
         F.lit('{"id": '), "c_custkey", F.lit(', "label": "Customer", "properties": {"name": "'), "c_name", F.lit('"}}::vertex')
     )

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vinework.operators import merge
+from vinework.operators.pattern import match
 from vinework.plans.inputs import commerce_graph, table
 from vinework.plans.registry import query
 from vinework.runtime import shared_dir
 from vinework.sources import collection as docs
 from vinework.sources.collection import CollectionStore
+from vinework.sources.graph import PropertyGraph
 from vinework.streaming.upsert import stream_documents
 
 
@@ -200,6 +202,22 @@ def source_links(spark, sf_dir):
     return links.unionByName(sources)
 
 
+@query(
+    "merged_graph_pattern",
+    """SELECT role AS key, (SELECT max(conv_id) FROM conversations o WHERE o.role = c.role AND o.turn = 0) AS last_0,
+              length(text)::INTEGER AS length, turn AS at, conv_id || ':' || turn AS turn
+       FROM conversations c""",
+)
+def merged_graph_pattern(spark, sf_dir):
+    """A pattern over a graph that was merged from documents."""
+    nodes, edges = merge.merge_documents(dialog_documents(spark, sf_dir))
+    graph = PropertyGraph.from_bags(
+        nodes, edges, {"Speaker": "last_0 bigint", "Turn": "length int"}, {"SAID": "at bigint"}
+    )
+    pattern = match(graph, "s", "Speaker").out("r", "SAID", "t", "Turn")
+    return pattern.returns("s.key", "s.last_0", "t.length", "r.at", turn="t.key")
+
+
 def _stored(documents: DataFrame) -> DataFrame:
     bag = F.to_json(F.struct("lang", "source"))
     return documents.select(

@@ -56,11 +56,38 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     gives the optimizer true sizes, so later joins pick broadcast or shuffle
     from facts.
     """
-    path = f"{shared_dir(df.sparkSession)}/vinework/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/vinework/{spark.sparkContext.applicationId}"
+
+
+def discard_tables(spark: SparkSession) -> None:
+    """Delete the tables this application wrote with :func:`cut_lineage`.
+
+    For the end of an application: frames built on these tables stop working.
+    """
+    delete_folder(spark, _own_dir(spark))
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _hadoop(spark, path)
+    return system.exists(folder)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _hadoop(spark, path)
+    system.delete(folder, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 # A task with less input than this leaves cores idle in compute-heavy scans.
 TASK_BYTES = 32 << 20
 

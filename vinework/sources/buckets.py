@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vinework.runtime import cut_lineage
+from vinework.runtime import cut_lineage, delete_folder, folder_exists
 
 
 class BucketedTable:
@@ -29,9 +29,7 @@ class BucketedTable:
         self.stored = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
 
     def exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+        return folder_exists(self.spark, self.path)
 
     def create(self, replace: bool = False) -> BucketedTable:
         """Create the table unless it exists; ``replace`` empties it first."""
@@ -41,9 +39,7 @@ class BucketedTable:
         return self
 
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(self.spark, self.path)
 
     def read(self) -> DataFrame:
         return self._stored().filter(F.col(self.keys[0]).isNotNull()).select(*self.columns)

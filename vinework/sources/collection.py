@@ -15,7 +15,7 @@ from vinework.sources.buckets import BucketedTable, latest
 COLLECTION_SCHEMA = (
     "id string, content string, embedding array<float>, metadata string, node_id string, terms array<string>"
 )
-# Fixed value: metadata key that moves into the column node_id.
+# Metadata key that moves into the column of the same name.
 NODE_KEY = "node_id"
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vinework.functions.filters import label_allowed
 from vinework.sources.buckets import BucketedTable
@@ -98,12 +99,65 @@ class PropertyGraph:
             {n: self.edge_frames[n] for n in keep(self.types)},
         )
 
+    @classmethod
+    def from_bags(
+        cls, nodes: DataFrame, edges: DataFrame, labels: Mapping[str, str], types: Mapping[str, str]
+    ) -> PropertyGraph:
+        """Typed graph over tables of property bags.
+
+        ``labels`` and ``types`` give the properties to expose per label and
+        edge type as a column list such as ``"name string, age bigint"``. The
+        key of a node within its label is its property ``id`` and becomes the
+        column ``key``; graph ids are label and key.
+        """
+        node_frames = {
+            label: nodes.filter(F.col("label") == label).select(
+                text_id(label, F.col("id")).alias("id"), F.col("id").alias("key"), *_exposed(columns)
+            )
+            for label, columns in labels.items()
+        }
+        edge_frames = {
+            name: edges.filter(F.col("type") == name).select(
+                F.concat_ws("|", "type", "src_label", "src_id", "dst_label", "dst_id").alias("id"),
+                text_id(F.col("src_label"), F.col("src_id")).alias("start_id"),
+                text_id(F.col("dst_label"), F.col("dst_id")).alias("end_id"),
+                "src_label", "dst_label", *_exposed(columns),
+            )
+            for name, columns in types.items()
+        }
+        return cls(node_frames, edge_frames)
+
+    def save(self, path: str) -> None:
+        """Write every frame to its own Parquet folder."""
+        for label, frame in self.node_frames.items():
+            frame.write.mode("overwrite").parquet(f"{path.rstrip('/')}/nodes/{label}")
+        for name, frame in self.edge_frames.items():
+            frame.write.mode("overwrite").parquet(f"{path.rstrip('/')}/edges/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, labels: Sequence[str], types: Sequence[str]) -> PropertyGraph:
+        """Open the named frames of a saved graph."""
+        path = path.rstrip("/")
+        return cls(
+            {n: spark.read.parquet(f"{path}/nodes/{n}") for n in labels},
+            {n: spark.read.parquet(f"{path}/edges/{n}") for n in types},
+        )
+
     def duplicate_ids(self) -> DataFrame:
         """Node ids that occur more than once over all labels; empty when sound."""
         ids = reduce(DataFrame.unionAll, [self.node_frames[n].select("id") for n in self.labels])
         return ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def _exposed(columns: str) -> list[Column]:
+    """Bag entries as typed columns; JSON texts lose their quotes."""
+    if not columns.strip():
+        return []
+    fields = T._parse_datatype_string(columns).fields
+    values = [(f, F.try_element_at("props", F.lit(f.name))) for f in fields]
+    return [F.try_variant_get(F.try_parse_json(v), "$", f.dataType.simpleString()).alias(f.name) for f, v in values]
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     if not frames:
         raise ValueError("the graph has no such frames")
@@ -181,6 +235,10 @@ class GraphStore:
     def edges(self) -> DataFrame:
         return self.edge_table.read()
 
+    def graph(self, labels: Mapping[str, str], types: Mapping[str, str]) -> PropertyGraph:
+        """Typed view for patterns and traversals; see :meth:`PropertyGraph.from_bags`."""
+        return PropertyGraph.from_bags(self.nodes(), self.edges(), labels, types)
+
     def merge(self, documents: DataFrame, include_source: bool = False) -> None:
         """Upsert graph documents; see :func:`vinework.operators.merge.merge_documents`."""
         from vinework.operators.merge import merge_documents
