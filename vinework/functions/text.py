@@ -109,27 +109,34 @@ def nearness(gap: Column) -> Column:
     return F.when(gap > 100, F.lit(1e-30)).otherwise(near)
 
 
+def indexed_positions(positions: Column) -> Column:
+    """Positions as a text index keeps them: the first ones, up to a highest."""
+    return F.transform(F.slice(positions, 1, MAX_POSITIONS), lambda x: F.least(x, F.lit(MAX_POSITION)))
+
+
 def proximity_rank(positions: Column) -> Column:
     """Rank of a query of several terms from ``array<array<int>>`` positions.
 
     Every pair of occurrences of two different terms adds evidence that falls
-    with their distance. Positions per term are limited as in the text index.
+    with their distance. Each term is compared with the terms before it.
+    ``positions`` should be a plain column, since it is read many times.
     """
-    kept = F.transform(
-        positions, lambda p: F.transform(F.slice(p, 1, MAX_POSITIONS), lambda x: F.least(x, F.lit(MAX_POSITION)))
-    )
-    flat = F.flatten(F.transform(kept, lambda p, i: F.transform(p, lambda x: F.struct(i.alias("t"), x.alias("p")))))
+    others = F.sequence(F.lit(1), F.size(positions) - 1)
 
-    def against(acc: Column, a: Column) -> Column:
-        return F.aggregate(flat, acc, lambda inner, b: inner * _miss(a, b))
+    def missed(acc: Column, i: Column) -> Column:
+        earlier = F.flatten(F.slice(positions, 1, i))
+        return F.aggregate(
+            F.element_at(positions, i + 1),
+            acc,
+            lambda outer, a: F.aggregate(earlier, outer, lambda inner, b: inner * _miss(F.abs(a - b))),
+        )
 
-    return 1.0 - F.aggregate(flat, F.lit(1.0), against)
+    return 1.0 - F.aggregate(others, F.lit(1.0), missed)
 
 
-def _miss(a: Column, b: Column) -> Column:
-    gap = F.abs(a["p"] - b["p"])
+def _miss(gap: Column) -> Column:
     evidence = F.lit(TERM_WEIGHT) * F.sqrt(nearness(gap))
-    return F.when((b["t"] < a["t"]) & (gap > 0), 1.0 - evidence).otherwise(F.lit(1.0))
+    return F.when(gap > 0, 1.0 - evidence).otherwise(F.lit(1.0))
 
 
 # --- English stemmer (Porter, 1980) ---------------------------------------

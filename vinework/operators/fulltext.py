@@ -116,8 +116,9 @@ def rank_proximity(index: DataFrame, asked: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("term", "positions"))).alias("_found"),
     )
     found = found.filter(F.col("_n") == F.col("n_terms"))
+    found = found.withColumn("_positions", F.transform("_found", lambda x: words.indexed_positions(x["positions"])))
     single = words.frequency_rank(F.col("_tf"))
-    several = words.proximity_rank(F.transform("_found", lambda x: x["positions"]))
+    several = words.proximity_rank(F.col("_positions"))
     return found.select("qid", "id", F.when(F.col("n_terms") == 1, single).otherwise(several).alias("score"))
 
 

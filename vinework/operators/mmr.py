@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,28 +35,44 @@ def mmr(
     """Pick k of the ``fetch_k`` nearest rows per query, in pick order.
 
     Candidates follow the metric, selection always uses cosine similarity.
-    The candidates' stored vectors are carried along, and a group never holds
-    more than ``fetch_k`` rows.
+    The candidates' stored vectors are carried along, and a query's list never
+    holds more than ``fetch_k`` rows.
     """
     near = knn(
         corpus, queries, fetch_k, metric, where=where, carry=tuple(dict.fromkeys([*carry, vec_col])),
         digits=digits, id_col=id_col, vec_col=vec_col, qid_col=qid_col, query_vec=query_vec,
     )
+    kept = [c for c in carry if c != vec_col]
+    entry = F.struct("rank", F.col(id_col), "distance", *kept, F.col(vec_col).cast("array<double>").alias("_vec"))
+    lists = near.groupBy(qid_col).agg(F.array_sort(F.collect_list(entry), lambda a, b: a["rank"] - b["rank"]).alias("_near"))
     asked = queries.select(F.col(qid_col), F.col(query_vec).cast("array<double>").alias("_qvec"))
-    candidates = near.join(asked, qid_col)
-    out_columns = [qid_col, "pick", id_col, "distance", *(c for c in carry if c != vec_col)]
-    types = {f.name: f.dataType for f in candidates.schema.fields}
+    types = {f.name: f.dataType for f in near.schema.fields}
+    columns = [id_col, "distance", *kept]
     schema = T.StructType(
-        [T.StructField(c, T.IntegerType() if c == "pick" else types[c]) for c in out_columns]
+        [T.StructField(qid_col, types[qid_col]), T.StructField("pick", T.IntegerType())]
+        + [T.StructField(c, types[c]) for c in columns]
     )
 
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("rank", kind="stable").reset_index(drop=True)
-        query = np.asarray(group["_qvec"].iloc[0], dtype=np.float64)
-        zero = np.zeros(len(query))
-        rows = np.vstack([zero if v is None else np.asarray(v, dtype=np.float64) for v in group[vec_col]])
-        picked = group.iloc[kernels.diverse_picks(query, rows, k, weight)].reset_index(drop=True)
-        picked["pick"] = np.arange(1, len(picked) + 1, dtype=np.int32)
-        return picked[out_columns]
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entries = batch.column("_near").flatten()
+            sizes = pc.list_value_length(batch.column("_near")).to_numpy(zero_copy_only=False)
+            dim = len(batch.column("_qvec")[0]) if batch.num_rows else 0
+            asked_for, _ = kernels.matrix(batch.column("_qvec"), dim)
+            known, present = kernels.matrix(pc.struct_field(entries, "_vec"), dim)
+            vectors = np.zeros((len(entries), dim))
+            vectors[present] = known
+            rows, owners, picks = [], [], []
+            start = 0
+            for q, size in enumerate(sizes):
+                chosen = kernels.diverse_picks(asked_for[q], vectors[start : start + size], k, weight)
+                rows += [start + c for c in chosen]
+                owners += [q] * len(chosen)
+                picks += range(1, len(chosen) + 1)
+                start += size
+            taken = entries.take(pa.array(rows, pa.int64()))
+            arrays = [batch.column(qid_col).take(pa.array(owners, pa.int64())), pa.array(picks, pa.int32())]
+            arrays += [pc.struct_field(taken, c) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, [qid_col, "pick", *columns])
 
-    return candidates.groupBy(qid_col).applyInPandas(choose, schema)
+    return lists.join(asked, qid_col).mapInArrow(choose, schema)

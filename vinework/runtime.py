@@ -103,6 +103,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def is_small(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate stays below one small task per core."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Whether the inputs of ``df`` amount to less than one small task per core.
+
+    Sizes are those of the sources; estimates above joins are products.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return size < df.sparkSession.sparkContext.defaultParallelism * TASK_BYTES
