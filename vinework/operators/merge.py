@@ -8,7 +8,7 @@ receives a third of all writes never gathers in one place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 
 from vinework.runtime import cut_lineage
 
+# Keys -> the stored rows that have them.
+Lookup = Callable[[DataFrame], DataFrame]
+
 NODE_KEY = ("label", "id")
 EDGE_KEY = ("type", "src_label", "src_id", "dst_label", "dst_id")
 
@@ -205,33 +208,71 @@ def with_existing_ends(writes: DataFrame, first_seen: DataFrame) -> DataFrame:
     return joined.filter(soon_enough).select(*writes.columns)
 
 
+def writes(documents: DataFrame, include_source: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Node and edge upserts, written once: all later steps read them several times."""
+    return (
+        cut_lineage(node_writes(documents, include_source), "node-writes"),
+        cut_lineage(edge_writes(documents, include_source), "edge-writes"),
+    )
+
+
+def end_keys(edges: DataFrame) -> DataFrame:
+    """Distinct ``label, id`` of both ends."""
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("src_label").alias("label"), F.col("src_id").alias("id")),
+            F.struct(F.col("dst_label").alias("label"), F.col("dst_id").alias("id")),
+        )
+    ).alias("_end")
+    return edges.select(ends).select("_end.label", "_end.id").distinct()
+
+
+def first_seen(new_nodes: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """First document of every node, null for stored ones: ``label, id, first_doc``.
+
+    Written, so that both end joins shuffle a table, where AQE can split hubs.
+    """
+    seen = new_nodes.select(*NODE_KEY, F.col("seq.doc").alias("doc"))
+    if stored is not None:
+        seen = seen.unionByName(stored.select(*NODE_KEY, F.lit(None).cast("bigint").alias("doc")))
+    was_stored = F.bool_or(F.col("doc").isNull())
+    seen = seen.groupBy(*NODE_KEY).agg(F.min("doc").alias("_doc"), was_stored.alias("_stored"))
+    return cut_lineage(seen.select(*NODE_KEY, F.when(~F.col("_stored"), F.col("_doc")).alias("first_doc")), "first-seen")
+
+
 def merge_documents(
     documents: DataFrame,
     nodes: DataFrame | None = None,
     edges: DataFrame | None = None,
     *,
     include_source: bool = False,
-    changed_only: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Upsert graph documents into a graph of bags; returns nodes and edges.
+    """Graph of bags after upserting graph documents: all nodes and all edges.
 
     Documents count as processed in ``seq`` order: later writes win per
     property, and an edge is created only if both ends are stored or appear in
-    the same or an earlier document. ``changed_only`` returns only the rows
-    that the documents touch.
+    the same or an earlier document.
     """
-    new_nodes = node_writes(documents, include_source)
-    new_edges = edge_writes(documents, include_source)
-    seen = new_nodes.select(*NODE_KEY, F.col("seq.doc").alias("doc"))
+    new_nodes, new_edges = writes(documents, include_source)
+    stored = None
     if nodes is not None:
-        seen = seen.unionByName(nodes.select(*NODE_KEY, F.lit(None).cast("bigint").alias("doc")))
-    stored = F.bool_or(F.col("doc").isNull())
-    seen = seen.groupBy(*NODE_KEY).agg(F.min("doc").alias("_doc"), stored.alias("_stored"))
-    seen = seen.select(*NODE_KEY, F.when(~F.col("_stored"), F.col("_doc")).alias("first_doc"))
-    # Written once: both end joins then shuffle a table, where AQE can split hubs.
-    seen = cut_lineage(seen, "first-seen")
-    new_edges = with_existing_ends(new_edges, seen)
-    if changed_only and nodes is not None and edges is not None:
-        nodes = nodes.join(new_nodes.select(*NODE_KEY).distinct(), list(NODE_KEY), "left_semi")
-        edges = edges.join(new_edges.select(*EDGE_KEY).distinct(), list(EDGE_KEY), "left_semi")
+        stored = nodes.select(*NODE_KEY).join(end_keys(new_edges), list(NODE_KEY), "left_semi")
+    new_edges = with_existing_ends(new_edges, first_seen(new_nodes, stored))
     return overlay(nodes, new_nodes, NODE_KEY), overlay(edges, new_edges, EDGE_KEY)
+
+
+def changed_rows(
+    documents: DataFrame, find_nodes: Lookup, find_edges: Lookup, *, include_source: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The nodes and edges that graph documents touch, as they are afterwards.
+
+    ``find_nodes`` and ``find_edges`` return the stored rows of a frame of
+    keys, so that a large store is never read as a whole.
+    """
+    new_nodes, new_edges = writes(documents, include_source)
+    stored = find_nodes(end_keys(new_edges))
+    new_edges = with_existing_ends(new_edges, first_seen(new_nodes, stored))
+    new_edges = cut_lineage(new_edges, "edges-with-ends")
+    old_nodes = find_nodes(new_nodes.select(*NODE_KEY).distinct())
+    old_edges = find_edges(new_edges.select(*EDGE_KEY).distinct())
+    return overlay(old_nodes, new_nodes, NODE_KEY), overlay(old_edges, new_edges, EDGE_KEY)

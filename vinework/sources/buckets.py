@@ -48,6 +48,17 @@ class BucketedTable:
         bucket = F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in self.keys)), F.lit(self.buckets).cast("bigint"))
         return df.withColumn("bucket", bucket.cast("int"))
 
+    def matching(self, keys: DataFrame) -> DataFrame:
+        """Stored rows whose key occurs in ``keys``; reads only their buckets."""
+        wanted = cut_lineage(self.with_bucket(keys.select(*self.keys)), "keys")
+        old = self._stored().filter(F.col("bucket").isin(self._numbers(wanted)))
+        return old.join(wanted, ["bucket", *self.keys], "left_semi").select(*self.columns)
+
+    @staticmethod
+    def _numbers(rows: DataFrame) -> list[int]:
+        # At most one small number per bucket comes to the driver.
+        return [r.bucket for r in rows.select("bucket").distinct().collect()]
+
     def put(self, rows: DataFrame) -> None:
         """Insert rows, replacing rows with the same key. Keys are unique in ``rows``."""
         fresh = cut_lineage(self.with_bucket(rows.select(*self.columns)), "put")
@@ -59,8 +70,7 @@ class BucketedTable:
         self._rewrite(gone, None)
 
     def _rewrite(self, touched: DataFrame, fresh: DataFrame | None) -> None:
-        # At most one small number per bucket comes to the driver.
-        numbers = [r.bucket for r in touched.select("bucket").distinct().collect()]
+        numbers = self._numbers(touched)
         if not numbers:
             return
         old = self._stored().filter(F.col("bucket").isin(numbers)).filter(F.col(self.keys[0]).isNotNull())

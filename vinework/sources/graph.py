@@ -240,9 +240,11 @@ class GraphStore:
         return PropertyGraph.from_bags(self.nodes(), self.edges(), labels, types)
 
     def merge(self, documents: DataFrame, include_source: bool = False) -> None:
-        """Upsert graph documents; see :func:`vinework.operators.merge.merge_documents`."""
-        from vinework.operators.merge import merge_documents
+        """Upsert graph documents; see :func:`vinework.operators.merge.changed_rows`."""
+        from vinework.operators.merge import changed_rows
 
-        nodes, edges = merge_documents(documents, self.nodes(), self.edges(), include_source=include_source, changed_only=True)
+        nodes, edges = changed_rows(
+            documents, self.node_table.matching, self.edge_table.matching, include_source=include_source
+        )
         self.node_table.put(nodes)
         self.edge_table.put(edges)
