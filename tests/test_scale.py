@@ -117,6 +117,13 @@ def test_only_needed_columns_are_read(spark, hub):
     assert "name" not in plan and "Join" not in plan
 
 
+def test_large_walks_are_written_once(spark, hub, monkeypatch):
+    small = PropertyGraph(hub.node_frames, {"E": hub.edge_frames["E"].filter("id < 300")})
+    expected = sorted(paths(small, "E", 4).collect())
+    monkeypatch.setattr("vinework.operators.pattern.is_small", lambda df: False)
+    assert sorted(paths(small, "E", 4).collect()) == expected
+
+
 def test_results_do_not_depend_on_partitions(spark, hub):
     small = PropertyGraph(hub.node_frames, {"E": hub.edge_frames["E"].filter("id < 300")})
     other = PropertyGraph(hub.node_frames, {"E": small.edge_frames["E"].repartition(17)})

@@ -156,3 +156,8 @@ def test_hybrid_filter_holds_for_both_lists(spark, corpus):
     again = hybrid(vectors, queries, 3, "l2", where=F.col("id") > 1, keep_text_only=True, index=index).collect()
     assert sorted(found) == sorted(again)
     assert all(r.distance == pytest.approx(1 - r.score) for r in found)
+
+
+def test_row_wise_match(spark):
+    df = spark.createDataFrame([(["a", "b"], ["a"]), (["a"], ["a", "b"]), (["a"], [])], "t array<string>, q array<string>")
+    assert [r.x for r in df.select(words.matches_all(F.col("t"), F.col("q")).alias("x")).collect()] == [True, False, False]
