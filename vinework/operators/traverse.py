@@ -15,7 +15,7 @@ from vinework.sources.graph import PropertyGraph
 
 
 # Levels of one plan when the edges are small.
-SMALL_CUT = 3
+SMALL_CUT = 4
 
 
 def traverse(
