@@ -156,17 +156,15 @@ def metadata_text() -> Column:
     )
 
 
-def collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+def collection(spark: SparkSession, sf_dir: str, vectors: bool = True) -> DataFrame:
     """Documents with the embedding of the same number; many have none."""
-    documents = table(spark, sf_dir, "documents")
-    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    labels = table(spark, sf_dir, "labels")
-    return (
-        documents.join(vectors, "doc_id", "left").join(labels, "doc_id", "left")
-        .select(
-            F.col("doc_id").alias("id"), F.col("text").alias("content"), "embedding",
-            metadata_text().alias("metadata"), "lang", "source", "n_chars",
-        )
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    if vectors:
+        known = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+        rows = rows.join(known, "doc_id", "left")
+    return rows.select(
+        F.col("doc_id").alias("id"), F.col("text").alias("content"), *(["embedding"] if vectors else []),
+        metadata_text().alias("metadata"), "lang", "source", "n_chars",
     )
 
 

@@ -198,7 +198,7 @@ FILTERS = {
 def _register_filter(name: str, spec, condition: str) -> None:
     @query(name, f"WITH {COLLECTION_SQL}, c AS (SELECT id, metadata::JSON AS m FROM collection) SELECT id FROM c WHERE {condition}")
     def run(spark, sf_dir):
-        corpus = collection(spark, sf_dir)
+        corpus = collection(spark, sf_dir, vectors=False)
         where = metadata_filter(spec)
         return (corpus if where is None else corpus.filter(where)).select("id")
 
