@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinework.llm import substrings
+from vinework.llm import decontaminate, langid, mixing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +17,82 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(divisor: int):
+    """Residue of a document's checksum, by which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    digits = F.lower(F.lpad(F.hex("_sh_fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), F.col("_sh_id").alias("component_id"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        F.col("_dc_words").alias("n_words"),
+        F.col("_dc_hit").alias("n_hit"),
+        F.size("_dc_items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "_dc_items"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.learn(docs.filter(F.coalesce(_remainder(4), F.lit(0)) != 2).select("text", "lang"))
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    found = langid.identify(docs.select("doc_id", held_out, "text"), model)
+    return found.select("doc_id", "held_out", F.col("_li_lang").alias("lang_pred"), F.col("_li_score").alias("score"))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.shares(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+OP4_SQL = """
+WITH sized AS (
+  SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+    coalesce('s' || source, 'n') AS key, source,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'text:' || text, '')), 1, 15))::BIGINT AS place
+  FROM documents
+), sources AS (
+  SELECT key, source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM sized GROUP BY key, source
+), weighed AS (
+  SELECT *, [5, 2, 1][(place % 3 + 1)::INT] AS weight FROM sources
+), filled AS (
+  SELECT *, coalesce(sum(3 * source_size) OVER before, 0) AS full_size, coalesce(sum(weight) OVER before, 0) AS full_weight,
+    sum(source_size) OVER () AS total, sum(weight) OVER () AS all_weight
+  FROM weighed
+  WINDOW before AS (ORDER BY 3 * source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT min((total - full_size)::DOUBLE / (all_weight - full_weight)::DOUBLE)
+    FILTER ((total - full_size)::DOUBLE / (all_weight - full_weight)::DOUBLE * weight <= 3 * source_size) AS level FROM filled
+), targets AS (
+  SELECT key, source_size, least(level * weight, (3 * source_size)::DOUBLE) AS target FROM weighed, level
+), rests AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END AS whole FROM targets
+), places AS (
+  SELECT key, place, sum(size)::BIGINT AS words FROM sized GROUP BY key, place
+), upto AS (
+  SELECT *, sum(words) OVER (PARTITION BY key ORDER BY place) AS upto FROM places
+), once AS (
+  SELECT key, place, upto <= target - whole * source_size OR (
+      upto - words <= target - whole * source_size
+      AND upto - (target - whole * source_size) < (target - whole * source_size) - (upto - words)) AS more
+  FROM upto JOIN rests USING (key)
+)
+SELECT doc_id, size, source_size, target, (size * (whole + more::INT))::BIGINT AS taken
+FROM sized JOIN rests USING (key) JOIN once USING (key, place)
+"""
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = substrings.find_repeats(docs)
@@ -28,4 +104,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES["op5_substring_dedup"] = op5_substring_dedup
+QUERIES.update({f.__name__: f for f in (
+    op1_simhash,
+    op2_decontamination,
+    op3_language_id,
+    op4_source_mixing,
+    op5_substring_dedup,
+)})
+ORACLES["op4_source_mixing"] = OP4_SQL
