@@ -4,8 +4,9 @@ A document's place in its source is a hash. Words are summed by source and
 hash bucket; running sums over at most 1,024 buckets of a source find the
 bucket in which its budget ends; only the documents of that bucket are summed
 again, by the next bits of the hash, until one hash is left. The result is a
-threshold per source, and taking documents is a filter: nothing is sorted, and
-a smaller budget takes a subset of what a larger one takes.
+threshold per source, and taking documents is a filter: nothing is sorted. What
+the budget still lacks below the threshold is topped up by the one document
+above it whose size comes nearest, if that is an improvement.
 
 Defined results: a null text has size 0; documents without a source form a
 source of their own, the last; documents with the same id share a hash and are
@@ -79,31 +80,30 @@ def _targets(sources: DataFrame, most: int) -> DataFrame:
 
 
 def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """Per source: ``source_size, target, whole`` (times everything is taken) and ``below`` (hashes under it once more).
+    """Per source: ``source_size, target, whole`` (times everything is taken), ``below`` and ``extra`` (what is taken once more).
 
-    ``sized`` has ``source, source_key, size, place``; it is read once per level.
+    ``sized`` has ``source, source_key, size, place``.
     """
-    sources = sized.groupBy("source", "source_key").agg(F.sum("size").alias("source_size"))
+    places = cut_lineage(sized.groupBy("source", "source_key", "place").agg(F.sum("size").alias("words")), "places")
+    sources = places.groupBy("source", "source_key").agg(F.sum("words").alias("source_size"))
     sources = _numbered(sources).withColumn("weight", _weight(weights))
     sources = _targets(cut_lineage(sources, "sources"), most)
     whole = F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))
     whole = F.when(F.col("source_size") > 0, whole).otherwise(0)
     sources = sources.withColumn("whole", whole).withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
     sources = cut_lineage(sources, "targets")
-    open_, rest, found = sources.select("source_key", "left"), sized.select("source_key", "size", "place"), None
+    open_, rest, found = sources.select("source_key", "left"), places, None
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
         bucket = F.shiftright("place", shift)
         sums = rest.groupBy("source_key", bucket.alias("bucket")).agg(
-            F.sum("size").alias("words"), F.min("place").alias("first"), F.max("place").alias("last")
+            F.sum("words").alias("words"), F.min("place").alias("first"), F.max("place").alias("last")
         )
         upto = F.sum("words").over(Window.partitionBy("source_key").orderBy("bucket"))
         edge = sums.withColumn("upto", upto).join(open_, "source_key")
         edge = edge.filter((F.col("upto") > F.col("left")) & (F.col("upto") - F.col("words") <= F.col("left")))
         edge = cut_lineage(edge.withColumn("left", F.col("left") - (F.col("upto") - F.col("words"))), "edge")
         single = (F.col("first") == F.col("last")) | F.lit(shift == 0)
-        # The last hash is taken where that comes nearer to the target.
-        nearer = F.col("words") - F.col("left") < F.col("left")
-        done = edge.filter(single).select("source_key", F.when(nearer, F.col("last") + 1).otherwise(F.col("first")).alias("below"))
+        done = edge.filter(single).select("source_key", F.col("first").alias("below"), "left")
         found = done if found is None else found.unionByName(done)
         if shift == 0 or edge.filter(~single).isEmpty():
             break
@@ -112,8 +112,18 @@ def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         here = edge.select("source_key", "bucket")
         rest = rest.withColumn("bucket", bucket).join(here, ["source_key", "bucket"], "left_semi").drop("bucket")
         rest = cut_lineage(rest, "rest")
-    out = sources.join(found, "source_key", "left").withColumn("below", F.coalesce("below", F.lit(0).cast("bigint")))
-    return cut_lineage(out.select("source_key", "source_size", "target", "whole", "below"), "thresholds")
+    found = cut_lineage(found, "found")
+    off = F.abs(F.col("words") - F.col("left"))
+    above = places.join(found, "source_key").filter((F.col("place") >= F.col("below")) & (off < F.col("left")))
+    extra = above.groupBy("source_key").agg(F.min(F.struct(off.alias("off"), "place")).alias("best"))
+    out = sources.join(found.drop("left"), "source_key", "left").join(extra, "source_key", "left")
+    below, extra = F.coalesce("below", F.lit(0).cast("bigint")), F.coalesce("best.place", F.lit(-1).cast("bigint"))
+    return cut_lineage(out.select("source_key", "source_size", "target", "whole", below.alias("below"), extra.alias("extra")), "thresholds")
+
+
+def _copies(place_col: Column) -> Column:
+    once_more = (place_col < F.col("below")) | (place_col == F.col("extra"))
+    return (F.col("whole") + F.when(once_more, 1).otherwise(0)).cast("int")
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -131,17 +141,17 @@ def shares(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     """``id, size, source_size, target, copies, taken`` of every document."""
     sized = cut_lineage(sizes(docs), "sizes")
     taken = sized.join(thresholds(sized, weights, most), "source_key")
-    copies = (F.col("whole") + F.when(F.col("place") < F.col("below"), 1).otherwise(0)).cast("int")
-    taken = taken.withColumn("copies", copies)
+    taken = taken.withColumn("copies", _copies(F.col("place")))
     return taken.select("id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents that the mix takes, with ``copies`` (1 to ``most``) and ``taken`` (words, copies counted)."""
-    own = [c for c in docs.columns if c not in ("copies", "taken")]
-    sized = cut_lineage(sizes(docs, id_col, text_col, source_col), "sizes")
-    limits = thresholds(sized, weights, most).select(F.col("source_key").alias("_mx_key"), F.col("whole").alias("_mx_whole"), F.col("below").alias("_mx_below"))
-    marked = docs.withColumn("_mx_key", _source_key(F.col(source_col))).withColumn("_mx_place", place(F.col(id_col), F.col(text_col)))
-    copies = (F.col("_mx_whole") + F.when(F.col("_mx_place") < F.col("_mx_below"), 1).otherwise(0)).cast("int")
-    out = marked.join(limits, "_mx_key").withColumn("copies", copies).filter("copies > 0")
-    return out.select(*own, "copies", (F.col("copies") * text_size(F.col(text_col))).cast("bigint").alias("taken"))
+    own = [F.col(f"document.{c}") for c in docs.columns if c not in ("copies", "taken")]
+    document = F.struct(*docs.columns).alias("document")
+    marked = docs.select(
+        document, _source_key(F.col(source_col)).alias("source_key"), place(F.col(id_col), F.col(text_col)).alias("place"), text_size(F.col(text_col)).alias("size")
+    )
+    slim = docs.select(F.col(source_col).alias("source"), _source_key(F.col(source_col)).alias("source_key"), text_size(F.col(text_col)).alias("size"), place(F.col(id_col), F.col(text_col)).alias("place"))
+    out = marked.join(thresholds(slim, weights, most), "source_key").withColumn("copies", _copies(F.col("place"))).filter("copies > 0")
+    return out.select(*own, "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))

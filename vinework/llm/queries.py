@@ -67,12 +67,13 @@ WITH sized AS (
 ), weighed AS (
   SELECT *, [5, 2, 1][(place % 3 + 1)::INT] AS weight FROM sources
 ), filled AS (
-  SELECT *, coalesce(sum(3 * source_size) OVER before, 0) AS full_size, coalesce(sum(weight) OVER before, 0) AS full_weight,
+  SELECT *, row_number() OVER (ORDER BY 3 * source_size / weight, place) AS nth,
+    coalesce(sum(3 * source_size) OVER before, 0) AS full_size, coalesce(sum(weight) OVER before, 0) AS full_weight,
     sum(source_size) OVER () AS total, sum(weight) OVER () AS all_weight
   FROM weighed
   WINDOW before AS (ORDER BY 3 * source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), level AS (
-  SELECT min((total - full_size)::DOUBLE / (all_weight - full_weight)::DOUBLE)
+  SELECT arg_min((total - full_size)::DOUBLE / (all_weight - full_weight)::DOUBLE, nth)
     FILTER ((total - full_size)::DOUBLE / (all_weight - full_weight)::DOUBLE * weight <= 3 * source_size) AS level FROM filled
 ), targets AS (
   SELECT key, source_size, least(level * weight, (3 * source_size)::DOUBLE) AS target FROM weighed, level
@@ -83,13 +84,16 @@ WITH sized AS (
 ), upto AS (
   SELECT *, sum(words) OVER (PARTITION BY key ORDER BY place) AS upto FROM places
 ), once AS (
-  SELECT key, place, upto <= target - whole * source_size OR (
-      upto - words <= target - whole * source_size
-      AND upto - (target - whole * source_size) < (target - whole * source_size) - (upto - words)) AS more
+  SELECT key, place, words, upto <= target - whole * source_size AS more,
+    max(CASE WHEN upto <= target - whole * source_size THEN upto ELSE 0 END) OVER (PARTITION BY key) AS got,
+    target - whole * source_size AS budget
   FROM upto JOIN rests USING (key)
+), extra AS (
+  SELECT key, arg_min(place, (abs(words - (budget - got)), place)) AS extra
+  FROM once WHERE NOT more AND abs(words - (budget - got)) < budget - got GROUP BY key
 )
-SELECT doc_id, size, source_size, target, (size * (whole + more::INT))::BIGINT AS taken
-FROM sized JOIN rests USING (key) JOIN once USING (key, place)
+SELECT doc_id, size, source_size, target, (size * (whole + (more OR coalesce(place = extra, FALSE))::INT))::BIGINT AS taken
+FROM sized JOIN rests USING (key) JOIN once USING (key, place) LEFT JOIN extra USING (key)
 """
 
 
