@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-PER_PARTITION = 8
+PER_PARTITION = 2
 
 
 def parts(spark: SparkSession) -> int:
