@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinework.llm import decontaminate, langid, mixing, simhash, substrings
+from vinework.llm import ctw, decontaminate, langid, mixing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,11 +108,28 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(_remainder(10) == 0, F.lit(False))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    found = ctw.score(docs, ~F.col("held_out"))
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("_lm_tokens").alias("n_tokens"),
+        F.col("_lm_known").alias("n_known"),
+        F.col("_lm_train_tokens").alias("train_tokens"),
+        F.col("_lm_base").alias("base_score"),
+        F.col("_lm_score").alias("score"),
+        F.col("_lm_bits").alias("bits_per_byte"),
+    )
+
+
 QUERIES.update({f.__name__: f for f in (
     op1_simhash,
     op2_decontamination,
     op3_language_id,
     op4_source_mixing,
     op5_substring_dedup,
+    op10_lm_scoring,
 )})
 ORACLES["op4_source_mixing"] = OP4_SQL
