@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinework.llm import ctw, decontaminate, langid, mixing, simhash, substrings
+from vinework.llm import ctw, decontaminate, langid, mixing, simhash, spann, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,6 +108,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = spann.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(_remainder(10) == 0, F.lit(False))
     docs = _table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
@@ -130,6 +136,7 @@ QUERIES.update({f.__name__: f for f in (
     op3_language_id,
     op4_source_mixing,
     op5_substring_dedup,
+    op9_ann_search,
     op10_lm_scoring,
 )})
 ORACLES["op4_source_mixing"] = OP4_SQL
