@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinework.llm import ctw, decontaminate, langid, mixing, simhash, spann, substrings
+from vinework.llm import ctw, decontaminate, langid, mixing, pages, simhash, spann, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,6 +108,21 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("_mt_text").alias("text"), F.char_length("_mt_text").cast("bigint").alias("n_chars"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    lexicon = toxicity.learn(docs.filter(~held_out).join(labels, "doc_id"))
+    found = toxicity.toxicity(docs.select("doc_id", held_out.alias("held_out"), "text"), lexicon)
+    score = F.col("_tx_score").alias("score")
+    return found.select("doc_id", "held_out", score, (F.col("_tx_score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found = spann.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
@@ -136,6 +151,8 @@ QUERIES.update({f.__name__: f for f in (
     op3_language_id,
     op4_source_mixing,
     op5_substring_dedup,
+    op7_html_extraction,
+    op8_toxicity,
     op9_ann_search,
     op10_lm_scoring,
 )})
