@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinework.llm import ctw, decontaminate, langid, mixing, pages, simhash, spann, substrings, toxicity
+from vinework.llm import ctw, decontaminate, langid, licences, mixing, pages, simhash, spann, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,6 +108,21 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id``."""
+    docs = _table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path")
+    found = licences.scan(docs.select("doc_id", path, "text"))
+    return found.select(
+        "doc_id",
+        F.col("_lc_licence").alias("licence"),
+        F.col("_lc_score").alias("score"),
+        F.col("_lc_origin").alias("origin"),
+        F.col("_lc_from").alias("inherited_from"),
+        F.size("_lc_hits").alias("n_hits"),
+    )
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", F.col("_mt_text").alias("text"), F.char_length("_mt_text").cast("bigint").alias("n_chars"))
@@ -151,6 +166,7 @@ QUERIES.update({f.__name__: f for f in (
     op3_language_id,
     op4_source_mixing,
     op5_substring_dedup,
+    op6_license_scan,
     op7_html_extraction,
     op8_toxicity,
     op9_ann_search,
