@@ -7,6 +7,7 @@ import re
 
 # A block's place: inside an article, inside something that never is one, or neither.
 ARTICLE, OPEN, ASIDE = 2, 1, 0
+_LOOSE = -1  # aside, but an article in it is more likely one after an unclosed element
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -31,19 +32,22 @@ ASIDE_WORDS = frozenset(
     "navigation newsletter notice notices notification pagination pager popup promo promoted recommended related respond share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar widget widgets".split()
 )
+STRICT_WORDS = frozenset("comment comments disqus footer recommended related respond sidebar".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
 ARTICLE_WORDS = frozenset("articlebody".split())
 
 
-def _marks(name: str, attrs: str) -> tuple[bool, bool, bool]:
-    """Whether an element is an article, never article text, or a header."""
+def _marks(name: str, attrs: str) -> tuple[bool, bool, bool, bool]:
+    """Whether an element is an article, never article text, strictly so, or a header."""
     article, aside, header = name in ("article", "main"), name in ASIDES, name == "header"
+    strict = name in ("aside", "footer", "dialog", "form")
     if attrs.strip(" /\n\t"):
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
                 words = {w.lower() for w in _NAME_PART.findall(value)}
                 aside |= bool(words & ASIDE_WORDS)
+                strict |= bool(words & STRICT_WORDS)
                 header |= bool(words & HEADER_WORDS)
             elif key == "role":
                 aside |= value.lower() in ASIDE_ROLES
@@ -52,7 +56,7 @@ def _marks(name: str, attrs: str) -> tuple[bool, bool, bool]:
                 article |= value.lower() in ARTICLE_WORDS
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
                 aside = True
-    return article, aside, header
+    return article, aside, strict, header
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
@@ -65,7 +69,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append((text, place))
+                out.append((text, max(place, ASIDE)))
             parts.clear()
 
     while at < len(page):
@@ -99,11 +103,11 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         if name == "p" and stack and stack[-1][0] == "p":
             place = _closed(stack, "p", place, flush)
-        article, aside, header = _marks(name, tag["attrs"] or "")
+        article, aside, strict, header = _marks(name, tag["attrs"] or "")
         new = place
         if aside or (header and place != ARTICLE):
-            new = ASIDE
-        elif article and (place != ASIDE or stack_is_loose(stack)):
+            new = ASIDE if strict or place == ASIDE else _LOOSE
+        elif article and place != ASIDE:
             new = ARTICLE
         if new != place and name in INLINE:
             flush()
@@ -114,14 +118,6 @@ def blocks(page: str) -> list[tuple[str, int]]:
     return out
 
 
-def stack_is_loose(stack: list[tuple[str, int]]) -> bool:
-    """Whether an article may begin here although an element around it says otherwise.
-
-    An unclosed menu or advert before an article is more likely than an article in it.
-    """
-    return not any(name in ("aside", "footer", "dialog", "form") for name, _ in stack)
-
-
 def _closed(stack: list[tuple[str, int]], name: str, place: int, flush) -> int:
     """The place after the end of an element; ends without a beginning are ignored."""
     for i in range(len(stack) - 1, -1, -1):

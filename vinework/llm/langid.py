@@ -34,21 +34,27 @@ BITS = 21  # of a code point
 TABLE_LIMIT = 1 << 22  # entries of a direct table of trigrams
 KNOWN_LIMIT = 1 << 18  # trigrams whose products a task remembers
 
-_letters = np.zeros(0x110000, np.uint32)
-_blocks = np.zeros(0x1100, bool)
+_letters: dict[int, np.ndarray] = {}  # block of 256 code points -> lower-case letters
 _vectors: dict[int, np.ndarray] = {}
 
 
 def _letter_codes(codes: np.ndarray) -> np.ndarray:
     """Lower-case letter of every code point, 0 for what is no letter."""
-    for block in np.flatnonzero(np.bincount(codes >> 8, minlength=0x1100).astype(bool) & ~_blocks):
-        for code in range(block << 8, (block + 1) << 8):
-            char = chr(code)
-            if char.isalpha():
-                low = char.lower()
-                _letters[code] = ord(low) if len(low) == 1 else code
-        _blocks[block] = True
-    return _letters[codes]
+    blocks = np.flatnonzero(np.bincount(codes >> 8))
+    table = np.zeros((len(blocks), 256), np.uint32)
+    for i, block in enumerate(blocks.tolist()):
+        if block not in _letters:
+            chars = map(chr, range(block << 8, (block + 1) << 8))
+            _letters[block] = np.array([_lower(c) if c.isalpha() else 0 for c in chars], np.uint32)
+        table[i] = _letters[block]
+    place = np.zeros(int(blocks[-1]) + 1 if len(blocks) else 1, np.uint32)
+    place[blocks] = np.arange(len(blocks))
+    return table.ravel()[(place[codes >> 8] << 8) | (codes & 255)]
+
+
+def _lower(char: str) -> int:
+    low = char.lower()
+    return ord(low) if len(low) == 1 else ord(char)
 
 
 def _row_letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -63,7 +63,7 @@ def find_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
 def _chunked(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """``docs`` with the chunk number, the id and the text under private names."""
     bounds = packed.chunk_bounds(docs, id_col, n)
-    splits = [float("-inf"), *bounds, float("inf")]
+    splits = [float("-inf"), *(bounds or [0.0]), float("inf")]
     found = docs.withColumn("_sd_at", F.col(id_col).cast("double"))
     cut = Bucketizer(splits=splits, inputCol="_sd_at", outputCol="_sd_place", handleInvalid="keep")
     found = cut.transform(found)
