@@ -83,7 +83,6 @@ def test_nesting_limit(spark):
         ({"k": {"$foo": 1}}, "Unsupported filter operator"),
         ({"$and": []}, "at least one"),
         ({"k": {}}, "no operator"),
-        ({"$and": [{"k": 1}], "s": 2}, "ignored"),
     ],
 )
 def test_malformed_filters_raise(spark, spec, message):
@@ -91,8 +90,11 @@ def test_malformed_filters_raise(spark, spec, message):
         metadata_filter(spec)
 
 
-def test_siblings_of_and_are_ignored_when_not_strict(rows):
-    assert ids(rows, {"$and": [{"s": "Alpha"}], "s": "beta"}, strict=False) == [1]
+def test_siblings_of_and_are_ignored_or_raise(rows):
+    spec = {"$and": [{"s": "Alpha"}], "s": "beta"}
+    assert ids(rows, spec) == [1]
+    with pytest.raises(ValueError, match="ignored"):
+        metadata_filter(spec, strict=True)
 
 
 def test_promoted_column_is_pushed_down(spark, tmp_path):

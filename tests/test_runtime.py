@@ -1,9 +1,7 @@
 import os
 import uuid
 
-from pyspark.sql import functions as F
-
-from vinework.runtime import cut_lineage, discard_tables, folder_exists, is_small, shared_dir, spread
+from vinework.runtime import cut_lineage, discard_tables, folder_exists, shared_dir
 
 
 def test_cut_tables_live_in_the_shared_folder(spark):
@@ -13,18 +11,6 @@ def test_cut_tables_live_in_the_shared_folder(spark):
     assert sorted(r.id for r in table.collect()) == [0, 1, 2, 3, 4]
 
 
-def test_spread_small_inputs_only(spark, monkeypatch):
-    rows = spark.range(100)
-    assert is_small(rows) and spread(rows, "id").count() == 100
-    monkeypatch.setattr("vinework.runtime.TASK_BYTES", 1)
-    assert not is_small(rows) and spread(rows, "id") is rows
-
-
-def test_join_estimates_do_not_count(spark):
-    left, right = spark.range(10**6), spark.range(10**6)
-    assert is_small(left.join(right, "id", "left").withColumn("x", F.lit(1)))
-
-
 def test_discard(spark, monkeypatch, tmp_path):
     monkeypatch.setattr("vinework.runtime.shared_dir", lambda _: str(tmp_path))
     cut_lineage(spark.range(3), "t")

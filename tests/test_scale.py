@@ -117,11 +117,14 @@ def test_only_needed_columns_are_read(spark, hub):
     assert "name" not in plan and "Join" not in plan
 
 
-def test_large_walks_are_written_once(spark, hub, monkeypatch):
+def test_half_walks_are_written_once(spark, hub):
     small = PropertyGraph(hub.node_frames, {"E": hub.edge_frames["E"].filter("id < 300")})
-    expected = sorted(paths(small, "E", 4).collect())
-    monkeypatch.setattr("vinework.operators.pattern.is_small", lambda df: False)
-    assert sorted(paths(small, "E", 4).collect()) == expected
+    whole = paths(small, "E", 4)
+    assert "half-walks" in whole._jdf.queryExecution().executedPlan().toString()
+    grown = paths(small, "E", 4, small.nodes("N").select("id"))
+    assert sorted((r.start_id, r.end_id, *r.edge_ids) for r in whole.collect()) == sorted(
+        (r.start_id, r.end_id, *r.edge_ids) for r in grown.collect()
+    )
 
 
 def test_results_do_not_depend_on_partitions(spark, hub):

@@ -8,6 +8,7 @@ from vinework.functions import text as words
 from vinework.functions.text import ENGLISH, SIMPLE, UNSTEMMED
 from vinework.operators import fulltext
 from vinework.operators.hybrid import fuse, hybrid
+from vinework.runtime import cut_lineage
 
 # Pairs printed in the publication of the algorithm.
 STEMS = {
@@ -89,15 +90,14 @@ def proximity(text, query):
         where.setdefault(t, []).append(i)
     wanted = sorted({t for _, t in english(query)})
     if len(wanted) == 1:
-        return sum(0.1 / j**2 for j in range(1, min(256, len(where[wanted[0]])) + 1)) / 1.64493406685
+        return sum(0.1 / j**2 for j in range(1, len(where[wanted[0]]) + 1)) / 1.64493406685
     miss = 1.0
     for n, a in enumerate(wanted):
         for b in wanted[:n]:
-            for x in where[a][:256]:
-                for y in where[b][:256]:
+            for x in where[a]:
+                for y in where[b]:
                     gap = abs(x - y)
-                    near = 1e-30 if gap > 100 else 1 / (1.005 + 0.05 * math.exp(gap / 1.5 - 2))
-                    miss *= 1 - 0.1 * math.sqrt(near)
+                    miss *= 1 if gap > 100 else 1 - 0.1 * math.sqrt(1 / (1.005 + 0.05 * math.exp(gap / 1.5 - 2)))
     return 1 - miss
 
 
@@ -110,6 +110,24 @@ def test_proximity_rank_against_brute_force(spark, corpus):
         assert r.score == pytest.approx(proximity(dict(TEXTS)[r.id], queries[r.qid]), abs=1e-12)
 
 
+def test_proximity_has_no_limit_of_position_or_count(spark):
+    filler = "word " * 16_400
+    texts = [(1, f"alpha beta {filler}"), (2, f"{filler} alpha beta"), (3, "beta " * 300 + filler + " alpha beta"), (4, f"alpha {filler} beta")]
+    index = fulltext.postings(spark.createDataFrame(texts, "id bigint, content string"), words.SIMPLE, positions=True)
+    queries = spark.createDataFrame([(0, "alpha beta"), (1, "word")], "qid bigint, text string")
+    found = {(r.qid, r.id): r.score for r in fulltext.rank_proximity(index, fulltext.query_terms(queries, words.SIMPLE)).collect()}
+    assert found[0, 1] == found[0, 2] > 0.09 and found[0, 3] == pytest.approx(found[0, 1]) and found[0, 4] == 0
+    assert found[1, 1] == pytest.approx(0.1, abs=1e-4)
+
+
+def test_frequent_terms_are_looked_up_for_candidates_only(spark):
+    texts = [(i, f"common {'rare' if i == 7 else 'other'}") for i in range(50)]
+    index = cut_lineage(fulltext.postings(spark.createDataFrame(texts, "id bigint, content string"), words.SIMPLE), "index")
+    queries = spark.createDataFrame([(q, "common rare") for q in range(20)], "qid bigint, text string")
+    found = fulltext.hits(index, fulltext.query_terms(queries, words.SIMPLE))
+    assert found.count() == 40 and {r.id for r in found.collect()} == {7}
+
+
 def test_restricted_postings_equal_the_index(spark, corpus):
     terms = asked(spark, "graph database")
     whole = fulltext.postings(corpus, positions=True).filter(F.col("term").isin("graph", "databas", ""))

@@ -64,7 +64,9 @@ def test_query_check(spark, text, problem):
         ("MATCH (n) return count(n) as total ORDER BY total", ["total"]),
         ("MATCH (n) RETURN n.a,\n n.b LIMIT 3", ["a", "b"]),
         ("CREATE (n)", ["result"]),
-        ("MATCH (n) RETURN coalesce(n.a, 1) AS x", ["a", "x"]),
+        ("MATCH (n) RETURN coalesce(n.a, max(1, f(2, 3))) AS x, n.b", ["x", "b"]),
+        ("MATCH (n) RETURN {a: 1, b: 2} AS m, [1, 2] AS l, 'p, q' AS t SKIP 2", ["m", "l", "t"]),
+        ("MATCH (n) RETURN DISTINCT n", ["n"]),
     ],
 )
 def test_return_columns(spark, text, names):

@@ -77,9 +77,11 @@ def test_sources_link_to_their_nodes(spark):
     )
     nodes, edges = merge.merge_documents(docs_, include_source=True)
     found = nodes_of(nodes)
-    assert found[("Document", "s1")] == {"source": "s1", "content": "x" * 500}
-    assert found[("Document", "unknown")]["content"] == "no name"
-    assert set(edges_of(edges)) == {("MENTIONS", "s1", "1"), ("MENTIONS", "unknown", "2")}
+    assert found[("Document", f"{merge.SOURCE_KEY}s1")] == {"source": "s1", "content": "x" * 500}
+    assert found[("Document", f"{merge.SOURCE_KEY}unknown")]["content"] == "no name"
+    assert set(edges_of(edges)) == {
+        ("MENTIONS", f"{merge.SOURCE_KEY}s1", "1"), ("MENTIONS", f"{merge.SOURCE_KEY}unknown", "2"),
+    }
 
 
 def test_hot_node_with_a_third_of_all_writes(spark):

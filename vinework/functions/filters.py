@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 # Fixed value: deepest nesting of $and / $or that is accepted.
 MAX_DEPTH = 10
 NUMERIC = "decimal(38,12)"
+# Beginnings of the two messages.
+TOO_DEEP = "Filter nesting exceeds maximum depth of"
+UNKNOWN_OPERATOR = "Unsupported filter operator"
 
 
 def as_text(value: Any) -> str:
@@ -33,7 +36,9 @@ class MetadataFilter:
 
     ``promoted`` maps a metadata key to a typed column that holds the same
     value. Such keys are compared on the typed column, which reaches the
-    Parquet reader as a pushed filter and needs no JSON parsing.
+    Parquet reader as a pushed filter and needs no JSON parsing; presence and
+    text patterns are still judged on the bag, so promotion changes no answer.
+    Keys beside ``$and`` or ``$or`` are ignored; ``strict=True`` raises instead.
     ``on_bad='null'`` drops non-numeric values in numeric comparisons, where
     the default raises.
     """
@@ -44,7 +49,7 @@ class MetadataFilter:
         *,
         is_map: bool = False,
         promoted: Mapping[str, Column | str] | None = None,
-        strict: bool = True,
+        strict: bool = False,
         on_bad: str = "error",
     ) -> None:
         column = F.col(metadata) if isinstance(metadata, str) else metadata
@@ -61,7 +66,7 @@ class MetadataFilter:
 
     def _all_of(self, spec: Mapping[str, Any], depth: int) -> Column:
         if depth > MAX_DEPTH:
-            raise ValueError(f"Filter nesting exceeds maximum depth of {MAX_DEPTH}.")
+            raise ValueError(f"{TOO_DEEP} {MAX_DEPTH}.")
         for logic in ("$and", "$or"):
             if logic in spec:
                 return self._logic(logic, spec, depth)
@@ -88,10 +93,7 @@ class MetadataFilter:
     def _compare(self, key: str, op: str, value: Any) -> Column:
         typed = self.promoted.get(key)
         if op == "$exists":
-            if typed is not None:
-                present = typed.isNotNull()
-            else:
-                present = F.coalesce(F.map_contains_key(self.bag, F.lit(key)), F.lit(False))
+            present = F.coalesce(F.map_contains_key(self.bag, F.lit(key)), F.lit(False))
             return present if value else ~present
         text = F.try_element_at(self.bag, F.lit(key)) if typed is None else typed.cast("string")
         if op in ("$eq", "$ne"):
@@ -106,12 +108,11 @@ class MetadataFilter:
             else:
                 found = typed.isin(list(value))
             return found if op == "$in" else ~found
-        if op == "$like":
-            return text.like(as_text(value))
-        if op == "$ilike":
-            return text.ilike(as_text(value))
+        if op in ("$like", "$ilike"):
+            written = F.try_element_at(self.bag, F.lit(key))
+            return written.like(as_text(value)) if op == "$like" else written.ilike(as_text(value))
         if op not in ("$lt", "$lte", "$gt", "$gte", "$between"):
-            raise ValueError(f"Unsupported filter operator: {op!r}")
+            raise ValueError(f"{UNKNOWN_OPERATOR}: {op!r}")
         if typed is not None:
             number, bound = typed, F.lit
         else:

@@ -32,20 +32,27 @@ def check_query(text: Column) -> Column:
     return F.when(body == "", EMPTY).when(body.contains("$$"), DOLLARS).when(~body.rlike(clause), NO_CLAUSE)
 
 
+# An item of a list: everything up to a comma outside of brackets and quotes.
+ITEM = r"""(?:[^,()\[\]{}'"]|\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\)|\[[^\]]*\]|\{[^}]*\}|'[^']*'|"[^"]*")+"""
+
+
 def return_columns(text: Column) -> Column:
     """Output names of the first RETURN clause.
 
+    An item is named by what follows its AS, else by the last name in it:
     ``expr AS x`` gives ``x``, ``n.name`` gives ``name``, ``n`` gives ``n``.
-    Items are split on every comma, also inside function calls.
+    Commas inside brackets (three deep for round ones) and quotes belong to
+    their item.
     """
-    clause = F.regexp_extract(text, r"(?is)\bRETURN\b(.+?)(?:\bLIMIT\b|\bSKIP\b|\bORDER\b|$)", 1)
+    after = F.try_element_at(F.split(text, r"(?i)\breturn\b", 2), F.lit(2))
+    clause = F.element_at(F.split(after, r"(?i)\b(?:order\s+by|skip|limit)\b", 2), 1)
+    items = F.regexp_extract_all(F.coalesce(clause, F.lit("")), F.lit(ITEM), 0)
 
     def name(item: Column) -> Column:
-        item = strip_blank(item)
-        alias = F.regexp_extract(item, r"(?i)\bAS\s+(\w+)\s*$", 1)
-        return F.when(alias != "", alias).otherwise(F.regexp_extract(item, r"(\w+)\W*$", 1))
+        named = F.element_at(F.split(item, r"(?i)\bas\b"), -1)
+        return F.try_element_at(F.regexp_extract_all(named, F.lit("[0-9A-Za-z_]+"), 0), F.lit(-1))
 
-    names = F.filter(F.transform(F.split(clause, ","), name), lambda n: n != "")
+    names = F.filter(F.transform(items, name), lambda n: n.isNotNull())
     return F.when(F.size(names) > 0, names).otherwise(F.array(F.lit(FALLBACK)))
 
 

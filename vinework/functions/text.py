@@ -29,12 +29,11 @@ STOP_WORDS = tuple(
     """.split()
 )
 
-# Fixed values of the proximity rank: weight of a plain term, most positions
-# kept per term, highest position, limit of the sum of 1/j^2.
+# Fixed values of the proximity rank: weight of a plain term, limit of the sum
+# of 1/j^2, and the number of words beyond which two occurrences are unrelated.
 TERM_WEIGHT = 0.1
-MAX_POSITIONS = 256
-MAX_POSITION = 16383
 ZETA_2 = 1.64493406685
+REACH = 100
 
 # BM25 parameters.
 K1, B = 1.2, 0.75
@@ -98,45 +97,14 @@ def bm25(tf: Column, df: Column, length: Column, n_docs: Column, mean_length: Co
 
 def frequency_rank(tf: Column) -> Column:
     """Rank of a one-term query: weighted sum of 1/j^2 over occurrences."""
-    counted = F.sequence(F.lit(1), F.least(tf.cast("int"), F.lit(MAX_POSITIONS)))
-    total = F.aggregate(counted, F.lit(0.0), lambda acc, j: acc + F.lit(TERM_WEIGHT) / (j * j))
+    total = F.aggregate(F.sequence(F.lit(1), tf.cast("int")), F.lit(0.0), lambda acc, j: acc + F.lit(TERM_WEIGHT) / (j.cast("double") * j))
     return total / ZETA_2
 
 
-def nearness(gap: Column) -> Column:
-    """Weight of two occurrences by the number of words between them."""
-    near = 1.0 / (F.exp(gap / 1.5 - 2.0) * 0.05 + 1.005)
-    return F.when(gap > 100, F.lit(1e-30)).otherwise(near)
-
-
-def indexed_positions(positions: Column) -> Column:
-    """Positions as a text index keeps them: the first ones, up to a highest."""
-    return F.transform(F.slice(positions, 1, MAX_POSITIONS), lambda x: F.least(x, F.lit(MAX_POSITION)))
-
-
-def proximity_rank(positions: Column) -> Column:
-    """Rank of a query of several terms from ``array<array<int>>`` positions.
-
-    Every pair of occurrences of two different terms adds evidence that falls
-    with their distance. Each term is compared with the terms before it.
-    ``positions`` should be a plain column, since it is read many times.
-    """
-    others = F.sequence(F.lit(1), F.size(positions) - 1)
-
-    def missed(acc: Column, i: Column) -> Column:
-        earlier = F.flatten(F.slice(positions, 1, i))
-        return F.aggregate(
-            F.element_at(positions, i + 1),
-            acc,
-            lambda outer, a: F.aggregate(earlier, outer, lambda inner, b: inner * _miss(F.abs(a - b))),
-        )
-
-    return 1.0 - F.aggregate(others, F.lit(1.0), missed)
-
-
-def _miss(gap: Column) -> Column:
-    evidence = F.lit(TERM_WEIGHT) * F.sqrt(nearness(gap))
-    return F.when(gap > 0, 1.0 - evidence).otherwise(F.lit(1.0))
+def miss(gap: Column) -> Column:
+    """Logarithm of what two occurrences of different terms leave of doubt, by the number of words from one to the other."""
+    nearness = 1.0 / (F.exp(gap / 1.5 - 2.0) * 0.05 + 1.005)
+    return F.log(1.0 - F.lit(TERM_WEIGHT) * F.sqrt(nearness))
 
 
 # --- English stemmer (Porter, 1980) ---------------------------------------

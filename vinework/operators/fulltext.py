@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vinework.functions import text as words
 from vinework.functions.text import ENGLISH, TextConfig
-from vinework.runtime import cut_lineage, spread
+from vinework.runtime import cut_lineage
 
 # Term that stands for the whole document.
 WHOLE = ""
@@ -31,7 +31,7 @@ def postings(
     A document's words are counted in the task that reads it; one row per
     document and term is shuffled.
     """
-    texts = spread(corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")), "id")
+    texts = corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
     entries = texts.select("id", words.marked_terms(F.coalesce("_text", F.lit("")), config).alias("_entries"))
     itself = F.concat("_entries", F.array(F.lit(WHOLE)))
     each = entries.select("id", F.size("_entries").alias("length"), F.posexplode(itself).alias("pos", "term"))
@@ -72,14 +72,36 @@ def query_terms(queries: DataFrame, config: TextConfig = ENGLISH, *, text_col: s
     return asked.select("qid", F.size("_terms").alias("n_terms"), F.explode("_terms").alias("term"))
 
 
+def hits(index: DataFrame, asked: DataFrame, *columns: str) -> DataFrame:
+    """Postings of the documents that may match: ``qid, id, term, n_terms, df, *columns``.
+
+    A document must have the query's rarest term. Only those documents are
+    looked up under the other terms, so a frequent word that many queries ask
+    costs what their rare words leave, and never queries times documents.
+    """
+    terms = asked.select("term").distinct()
+    frequency = index.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weighed = cut_lineage(asked.join(frequency, "term", "left").withColumn("df", F.coalesce("df", F.lit(0))), "weighed")
+    rarest = weighed.groupBy("qid").agg(F.min(F.struct("df", "term")).alias("_r")).filter("_r.df > 0")
+    possible = index.select("term", "id").join(rarest.select("qid", F.col("_r.term").alias("term")), "term").select("qid", "id")
+    wanted = cut_lineage(possible, "possible").join(weighed, "qid")
+    return wanted.join(index.select("term", "id", *columns), ["term", "id"])
+
+
+def _all_terms(found: DataFrame) -> DataFrame:
+    return found.filter(F.col("_n") == F.col("n_terms"))
+
+
+def _matching(*more) -> tuple:
+    return F.count(F.lit(1)).alias("_n"), F.first("n_terms").alias("n_terms"), *more
+
+
 def match(index: DataFrame, asked: DataFrame) -> DataFrame:
     """Documents that contain all terms of a query: ``qid, id, n_terms``.
 
     A query without terms matches nothing.
     """
-    hits = index.select("term", "id").join(asked, "term")
-    found = hits.groupBy("qid", "id").agg(F.count(F.lit(1)).alias("_n"), F.first("n_terms").alias("n_terms"))
-    return found.filter(F.col("_n") == F.col("n_terms")).select("qid", "id", "n_terms")
+    return _all_terms(hits(index, asked).groupBy("qid", "id").agg(*_matching())).select("qid", "id", "n_terms")
 
 
 def rank_bm25(index: DataFrame, asked: DataFrame) -> DataFrame:
@@ -91,35 +113,36 @@ def rank_bm25(index: DataFrame, asked: DataFrame) -> DataFrame:
     corpus = index.filter(F.col("term") == WHOLE).agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
     n_docs = corpus.select(F.col("n").cast("double")).scalar()
     mean_length = corpus.select("mean").scalar()
-    frequency = index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    # Written, so that a term found everywhere can be split when it is joined.
-    weighted = cut_lineage(asked.join(frequency, "term"), "weighted")
-    hits = index.select("term", "id", "tf", "length").join(weighted, "term")
     share = words.bm25(F.col("tf"), F.col("df"), F.col("length"), n_docs, mean_length)
-    scored = hits.groupBy("qid", "id").agg(
-        F.count(F.lit(1)).alias("_n"), F.first("n_terms").alias("n_terms"), F.sum(share).alias("score")
-    )
-    return scored.filter(F.col("_n") == F.col("n_terms")).select("qid", "id", "score")
+    scored = hits(index, asked, "tf", "length").groupBy("qid", "id").agg(*_matching(F.sum(share).alias("score")))
+    return _all_terms(scored).select("qid", "id", "score")
 
 
 def rank_proximity(index: DataFrame, asked: DataFrame) -> DataFrame:
     """Frequency and proximity rank of matching documents: ``qid, id, score``.
 
-    One term ranks by its occurrences, several by how close they stand. The
-    index needs positions; a group holds one row per term of the query.
+    One term ranks by its occurrences, several by how close they stand: every
+    two occurrences of different terms within ``REACH`` words add evidence that
+    falls with their distance. The index needs positions. All occurrences count;
+    each is compared with those in the words before it, so the work grows with
+    the text and not with its square.
     """
-    hits = index.select("term", "id", "tf", "positions").join(asked, "term")
-    found = hits.groupBy("qid", "id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.first("n_terms").alias("n_terms"),
-        F.max("tf").alias("_tf"),
-        F.sort_array(F.collect_list(F.struct("term", "positions"))).alias("_found"),
+    found = cut_lineage(hits(index, asked, "tf", "positions"), "hits")
+    matched = _all_terms(found.groupBy("qid", "id").agg(*_matching(F.max("tf").alias("_tf"))))
+    matched = cut_lineage(matched, "matched")
+    several = found.join(matched.filter("n_terms > 1").select("qid", "id"), ["qid", "id"], "left_semi")
+    placed = several.select("qid", "id", "term", F.explode("positions").alias("pos"))
+    before = Window.partitionBy("qid", "id").orderBy("pos").rangeBetween(-words.REACH, -1)
+    placed = placed.withColumn("_near", F.collect_list(F.struct("term", "pos")).over(before))
+    doubt = F.aggregate(
+        "_near",
+        F.lit(0.0),
+        lambda total, x: total + F.when(x["term"] != F.col("term"), words.miss(F.col("pos") - x["pos"])).otherwise(F.lit(0.0)),
     )
-    found = found.filter(F.col("_n") == F.col("n_terms"))
-    found = found.withColumn("_positions", F.transform("_found", lambda x: words.indexed_positions(x["positions"])))
-    single = words.frequency_rank(F.col("_tf"))
-    several = words.proximity_rank(F.col("_positions"))
-    return found.select("qid", "id", F.when(F.col("n_terms") == 1, single).otherwise(several).alias("score"))
+    close = placed.groupBy("qid", "id").agg(F.sum(doubt).alias("_doubt"))
+    scored = matched.join(close, ["qid", "id"], "left")
+    rank = F.when(F.col("n_terms") == 1, words.frequency_rank(F.col("_tf"))).otherwise(1.0 - F.exp(F.coalesce("_doubt", F.lit(0.0))))
+    return scored.select("qid", "id", rank.alias("score"))
 
 
 def top_texts(scored: DataFrame, k: int, digits: int | None = None) -> DataFrame:

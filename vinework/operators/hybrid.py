@@ -23,7 +23,7 @@ def hybrid(
     *,
     where: Column | None = None,
     config: TextConfig = ENGLISH,
-    ranking: str = "proximity",
+    ranking: str = "bm25",
     index: DataFrame | None = None,
     keep_text_only: bool = False,
     digits: int | None = None,

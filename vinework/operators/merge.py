@@ -35,6 +35,8 @@ DOCUMENT_SCHEMA = (
 SOURCE_LABEL = "Document"
 SOURCE_EDGE = "MENTIONS"
 UNKNOWN_SOURCE = "unknown"
+# Sources have keys of their own, so that a user's node with the same label and id stays apart.
+SOURCE_KEY = "source\x1f"
 EXCERPT = 500
 
 
@@ -103,20 +105,21 @@ def overlay(existing: DataFrame | None, writes: DataFrame, keys: Sequence[str])
     if existing is not None:
         never = F.lit(None).cast(writes.schema["seq"].dataType).alias("seq")
         every = existing.select(*keys, "props", never).unionByName(every)
-    # The entry "" marks that the row exists, also when its bag is empty.
-    marked = F.map_concat(F.coalesce(F.col("props"), F.create_map().cast("map<string,string>")), _mark())
-    each = every.select(*keys, F.explode(marked).alias("_key", "_value"), _after("seq"))
+    # The entry without a key says that the row exists, also when its bag is empty.
+    entries = F.map_entries(F.coalesce(F.col("props"), F.create_map().cast("map<string,string>")))
+    each = every.select(*keys, F.explode(F.concat(entries, F.array(_mark()))).alias("_entry"), _after("seq"))
+    each = each.select(*keys, F.col("_entry.key").alias("_key"), F.col("_entry.value").alias("_value"), "_order")
     last = each.groupBy(*keys, "_key").agg(F.max_by(F.struct("_value"), "_order").alias("_last"))
     kept = F.filter(F.collect_list(F.struct("_key", F.col("_last._value"))), _stays)
     return last.groupBy(*keys).agg(F.map_from_entries(kept).alias("props"))
 
 
 def _mark() -> Column:
-    return F.create_map(F.lit(""), F.lit("")).cast("map<string,string>")
+    return F.lit(None).cast("struct<key:string,value:string>")
 
 
 def _stays(entry: Column) -> Column:
-    return (entry["_key"] != "") & entry["_value"].isNotNull()
+    return entry["_key"].isNotNull() & entry["_value"].isNotNull()
 
 
 def _after(seq: str) -> Column:
@@ -147,7 +150,7 @@ def node_writes(documents: DataFrame, include_source: bool = False) -> DataFrame
     if not include_source:
         return nodes
     sources = _sources(documents).select(
-        F.lit(SOURCE_LABEL).alias("label"), F.col("_source").alias("id"),
+        F.lit(SOURCE_LABEL).alias("label"), F.concat(F.lit(SOURCE_KEY), "_source").alias("id"),
         F.create_map(
             F.lit("source"), json_text(F.col("_source"), T.StringType()),
             F.lit("content"), json_text(F.substring(F.col("source.content"), 1, EXCERPT), T.StringType()),
@@ -181,7 +184,7 @@ def edge_writes(documents: DataFrame, include_source: bool = False) -> DataFrame
         return edges
     mentions = _sources(documents).select("seq", "_source", F.posexplode("nodes").alias("_at", "_node"))
     links = mentions.select(
-        F.lit(SOURCE_EDGE).alias("type"), F.lit(SOURCE_LABEL).alias("src_label"), F.col("_source").alias("src_id"),
+        F.lit(SOURCE_EDGE).alias("type"), F.lit(SOURCE_LABEL).alias("src_label"), F.concat(F.lit(SOURCE_KEY), "_source").alias("src_id"),
         F.col("_node.type").alias("dst_label"), F.col("_node.id").alias("dst_id"),
         F.create_map().cast("map<string,string>").alias("props"),
         F.struct(F.col("seq").alias("doc"), (F.lit(1 << 40) + F.col("_at")).cast("bigint").alias("at")).alias("seq"),
@@ -192,8 +195,8 @@ def edge_writes(documents: DataFrame, include_source: bool = False) -> DataFrame
 def with_existing_ends(writes: DataFrame, first_seen: DataFrame) -> DataFrame:
     """Edge writes whose two ends exist by the time of their document.
 
-    ``first_seen`` has ``label, id, first_doc`` (null: stored before). Edges
-    first shrink to one row per key and document, so a hub's edges spread.
+    ``first_seen`` has ``label, id, first_doc`` (null: stored before). Both
+    joins read written tables, so that a hub's edges can be split.
     """
     source = first_seen.select(
         F.col("label").alias("src_label"), F.col("id").alias("src_id"), F.col("first_doc").alias("_src_doc")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vinework.functions.filters import equals_all
-from vinework.runtime import cut_lineage, is_small
+from vinework.runtime import cut_lineage
 from vinework.sources.graph import PropertyGraph
 
 # Node columns that every edge already knows about its ends.
@@ -202,7 +202,7 @@ def paths(graph: PropertyGraph, edge_type: str, hops: int, starts: DataFrame | N
         raise ValueError("hops must be at least 1")
     single = graph.edge_ends(edge_type).select("start_id", "end_id", F.array("id").alias("edge_ids"))
     if starts is None:
-        return _halves(single, hops, keep=not is_small(single))
+        return _halves(single, hops)
     walks = single.join(starts.select(F.col("id").alias("start_id")), "start_id", "left_semi")
     for hop in range(2, hops + 1):
         walks = _concatenate(walks, single)
@@ -211,14 +211,14 @@ def paths(graph: PropertyGraph, edge_type: str, hops: int, starts: DataFrame | N
     return walks
 
 
-def _halves(single: DataFrame, hops: int, keep: bool) -> DataFrame:
-    """Walks from walks of half the length; ``keep`` writes halves that are used twice."""
+def _halves(single: DataFrame, hops: int) -> DataFrame:
+    """Walks from walks of half the length; a half of several edges is used twice and written once."""
     if hops == 1:
         return single
     if hops % 2:
-        return _concatenate(_halves(single, hops - 1, keep), single)
-    half = _halves(single, hops // 2, keep)
-    if keep and hops > 2:
+        return _concatenate(_halves(single, hops - 1), single)
+    half = _halves(single, hops // 2)
+    if hops > 2:
         half = cut_lineage(half, "half-walks")
     return _concatenate(half, half)
 

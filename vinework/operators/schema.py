@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vinework.functions.filters import label_allowed
@@ -35,9 +35,8 @@ def typed_properties(graph: PropertyGraph, kind: str) -> DataFrame:
     """Property columns per label or edge type, read from the schemas alone."""
     frames, hidden = (graph.node_frames, {"id"}) if kind == "node" else (graph.edge_frames, set(EDGE_COLUMNS))
     names = graph.labels if kind == "node" else graph.types
-    spark = next(iter(frames.values())).sparkSession
     rows = [(n, sorted(c for c in frames[n].columns if c not in hidden)) for n in names]
-    return spark.createDataFrame(rows, "label string, properties array<string>")
+    return SparkSession.active().createDataFrame(rows, "label string, properties array<string>")
 
 
 def triples(edges: DataFrame) -> DataFrame:
@@ -49,8 +48,10 @@ def triples(edges: DataFrame) -> DataFrame:
 
 
 def graph_triples(graph: PropertyGraph) -> DataFrame:
-    """Triples of a typed graph; each type is reduced before the union."""
-    return reduce(DataFrame.unionByName, [triples(graph.edge_ends(name)) for name in graph.types])
+    """Triples of a typed graph; each type is reduced before the union. A graph without edge types has none."""
+    found = [triples(graph.edge_ends(name)) for name in graph.types]
+    none = [] if found else [SparkSession.active().createDataFrame([], "start string, type string, end string")]
+    return reduce(DataFrame.unionByName, found or none)
 
 
 def restrict_store(profile: DataFrame, found: DataFrame, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:

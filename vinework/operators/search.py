@@ -34,7 +34,7 @@ class Search:
     mode: str = "vector"
     score_fn: ScoreFn | None = None
     config: TextConfig = ENGLISH
-    ranking: str = "proximity"
+    ranking: str = "bm25"
     index: DataFrame | None = None
     keep_text_only: bool = False
     digits: int | None = None

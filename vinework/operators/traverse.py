@@ -6,16 +6,16 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vinework.functions.filters import text_equals_all
-from vinework.runtime import cut_lineage, is_small
+from vinework.runtime import cut_lineage
 from vinework.sources.graph import PropertyGraph
 
 
-# Levels of one plan when the edges are small.
-SMALL_CUT = 4
+# Levels of one plan.
+LEVELS = 4
 
 
 def traverse(
@@ -28,7 +28,7 @@ def traverse(
     direction: str = "outgoing",
     properties: Sequence[str] | None = None,
     return_properties: bool = True,
-    cut_every: int | None = None,
+    cut_every: int = LEVELS,
 ) -> DataFrame:
     """Distinct ``(depth, node_id)`` pairs reached from the start nodes.
 
@@ -40,11 +40,10 @@ def traverse(
 
     A level is the set of ends of edges that leave the previous level: a
     semi-join and a distinct, so hubs and parallel edges shrink before every
-    shuffle. Every ``cut_every`` levels are written to the shared folder, and the
-    loop stops if the last frontier is empty. The default is every level, unless
-    the edges are small: from a written frontier Spark knows whether to
-    broadcast it and leave the edges in place, and where it shuffles, it can
-    split the edges of a hub over many tasks.
+    shuffle; within a plan a level that several later ones need is shuffled once,
+    and Spark sees its size before it joins the edges. Every ``cut_every`` levels
+    are written to the shared folder by one job, which also counts the last
+    frontier: the loop stops if it is empty.
     """
     options = dict(properties=properties, return_properties=return_properties, cut_every=cut_every)
     if direction == "both":
@@ -56,18 +55,18 @@ def traverse(
     starts = graph.nodes(start_label)
     chosen = text_equals_all(start_filter or {})
     starts = starts if chosen is None else starts.filter(chosen)
-    if cut_every is None:
-        cut_every = SMALL_CUT if is_small(steps) else 1
     level = _follow(steps, starts.select(F.col("id").alias("_near")))
     written: list[DataFrame] = []
     pending = [level.withColumn("depth", F.lit(1))]
     for depth in range(2, max_depth + 1):
         if len(pending) == cut_every:
+            last = Observation()
+            pending[-1] = pending[-1].observe(last, F.count(F.lit(1)).alias("n"))
             table = cut_lineage(_all(pending), "frontiers")
             written.append(table)
             pending = []
             level = table.filter(F.col("depth") == depth - 1).select("node_id")
-            if level.isEmpty():
+            if not last.get["n"]:
                 break
         level = _follow(steps, level.select(F.col("node_id").alias("_near")))
         pending.append(level.withColumn("depth", F.lit(depth)))

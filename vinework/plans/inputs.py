@@ -212,24 +212,19 @@ CENTRES_SQL = """
 """
 
 
+def benchmark_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query per benchmark item: its whole text."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), "text")
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One query per benchmark item: its two longest words of up to five letters and the vector of its number."""
-    items = table(spark, sf_dir, "benchmark")
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), 1))
-    words = F.filter(words, lambda w: F.char_length(w) <= 5)
-    by_length = F.array_sort(F.transform(words, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w"))))
-    longest = F.array_join(F.transform(F.slice(by_length, 1, 2), lambda p: p["w"]), " ")
-    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
-    return items.join(vectors, "item_id").select(F.col("item_id").alias("qid"), longest.alias("text"), "embedding")
+    """The same with the vector of the item's number, for items that have one."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("qid"), "embedding")
+    return benchmark_texts(spark, sf_dir).join(vectors, "qid")
 
 
 BENCHMARK_SQL = r"""
-  item_words AS (
-    SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM benchmark),
-  asked AS (
-    SELECT item_id AS qid, w AS term
-    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY length(w) DESC, w) AS i FROM item_words WHERE length(w) <= 5)
-    WHERE i <= 2 AND item_id IN (SELECT vec_id FROM embeddings)),
+  asked AS (SELECT DISTINCT item_id AS qid, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM benchmark),
   asked_n AS (SELECT qid, count(*) AS n_terms FROM asked GROUP BY qid),
   words AS (
     SELECT doc_id, unnest(toks) AS term, generate_subscripts(toks, 1) AS pos, len(toks) AS n

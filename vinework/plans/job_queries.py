@@ -70,7 +70,7 @@ _LOG_SQL = r"""
       WHEN '4-NOT SPECIFIED' THEN 'please show order ' || o_orderkey
       ELSE ' ' || chr(9) || chr(10) END AS q FROM orders)"""
 _CHECK_SQL = rf"""CASE WHEN regexp_full_match(q, '\s*') THEN '{querylog.EMPTY}' WHEN contains(q, '$$') THEN '{querylog.DOLLARS.replace("'", "''")}'
-  WHEN NOT regexp_matches(q, '(?i)\b(MATCH|CREATE|MERGE|RETURN|WITH|WHERE|DELETE|SET|REMOVE|UNWIND|OPTIONAL)\b') THEN '{querylog.NO_CLAUSE}' END"""
+  WHEN NOT regexp_matches(q, '(?i)\b({"|".join(querylog.CLAUSES)})\b') THEN '{querylog.NO_CLAUSE}' END"""
 
 
 @query("query_log_check", f"WITH {_LOG_SQL} SELECT o_orderkey, {_CHECK_SQL} AS problem FROM log")

@@ -8,7 +8,7 @@ from vinework.functions import text as words
 from vinework.functions.text import ENGLISH, SIMPLE, STOP_WORDS, UNSTEMMED
 from vinework.operators import fulltext
 from vinework.operators.hybrid import hybrid
-from vinework.plans.inputs import BENCHMARK_SQL, COLLECTION_SQL, benchmark_queries, collection, table
+from vinework.plans.inputs import BENCHMARK_SQL, COLLECTION_SQL, benchmark_queries, benchmark_texts, collection, table
 from vinework.plans.registry import query
 
 _STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
@@ -72,7 +72,7 @@ _BM25_SQL = f"""
 
 @query("bm25_rank", f"WITH {_BM25_SQL} SELECT qid, id, round(score, 6) AS score FROM scored")
 def bm25_rank(spark, sf_dir):
-    asked = fulltext.query_terms(benchmark_queries(spark, sf_dir), SIMPLE)
+    asked = fulltext.query_terms(benchmark_texts(spark, sf_dir), SIMPLE)
     index = fulltext.query_postings(_documents(spark, sf_dir), asked, SIMPLE)
     scored = fulltext.rank_bm25(index, asked)
     return scored.select("qid", "id", F.round("score", 6).alias("score"))
@@ -80,27 +80,27 @@ def bm25_rank(spark, sf_dir):
 
 _PROXIMITY_SQL = f"""
   {BENCHMARK_SQL},
-  found AS (
-    SELECT qid, doc_id AS id, term, least(pos, 16383) AS pos, row_number() OVER (PARTITION BY qid, doc_id, term ORDER BY pos) AS occ
-    FROM asked JOIN words USING (term)),
+  counted AS (SELECT doc_id AS id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
   matched AS (
-    SELECT qid, id, n_terms, count(DISTINCT term) AS n, count(*) AS tf FROM found JOIN asked_n USING (qid) GROUP BY ALL),
+    SELECT qid, id, n_terms, max(tf) AS tf FROM counted JOIN asked USING (term) JOIN asked_n USING (qid)
+    GROUP BY qid, id, n_terms HAVING count(*) = n_terms),
+  found AS (
+    SELECT qid, id, term, pos FROM matched JOIN asked USING (qid) JOIN words ON words.doc_id = matched.id AND words.term = asked.term),
   pairs AS (
-    SELECT a.qid, a.id, 1 - exp(sum(ln(1 - 0.1 * sqrt(
-             CASE WHEN abs(a.pos - b.pos) > 100 THEN 1e-30 ELSE 1 / (1.005 + 0.05 * exp(abs(a.pos - b.pos) / 1.5 - 2)) END)))) AS score
-    FROM found a JOIN found b ON a.qid = b.qid AND a.id = b.id AND a.term < b.term
-    WHERE a.occ <= 256 AND b.occ <= 256 AND a.pos <> b.pos GROUP BY 1, 2),
+    SELECT a.qid, a.id, 1 - exp(sum(ln(1 - 0.1 * sqrt(1 / (1.005 + 0.05 * exp((b.pos - a.pos) / 1.5 - 2)))))) AS score
+    FROM found a JOIN found b ON a.qid = b.qid AND a.id = b.id AND a.term <> b.term AND b.pos - a.pos BETWEEN 1 AND 100
+    GROUP BY 1, 2),
   scored AS (
     SELECT qid, id, CASE WHEN n_terms = 1
-             THEN list_sum([0.1 / (j * j) FOR j IN range(1, least(tf, 256) + 1)]) / 1.64493406685
+             THEN list_sum([0.1 / (j * j) FOR j IN range(1, tf + 1)]) / 1.64493406685
              ELSE coalesce(score, 0) END AS score
-    FROM matched LEFT JOIN pairs USING (qid, id) WHERE n = n_terms)
+    FROM matched LEFT JOIN pairs USING (qid, id))
 """
 
 
 @query("proximity_rank", f"WITH {_PROXIMITY_SQL} SELECT qid, id, round(score, 6) AS score FROM scored")
 def proximity_rank(spark, sf_dir):
-    asked = fulltext.query_terms(benchmark_queries(spark, sf_dir), SIMPLE)
+    asked = fulltext.query_terms(benchmark_texts(spark, sf_dir), SIMPLE)
     index = fulltext.query_postings(_documents(spark, sf_dir), asked, SIMPLE, positions=True)
     scored = fulltext.rank_proximity(index, asked)
     return scored.select("qid", "id", F.round("score", 6).alias("score"))
@@ -119,7 +119,7 @@ def _hybrid_sql(ranked: str, join: str, k: int = 4) -> str:
       fused AS (
         SELECT coalesce(n.qid, w.qid) AS qid, coalesce(n.id, w.id) AS id,
                round(coalesce(1.0::DOUBLE / (60 + n.rn), 0) + coalesce(1.0::DOUBLE / (60 + w.rn), 0), 6) AS score
-        FROM near n {join} JOIN worded w ON n.qid = w.qid AND n.id = w.id)
+        FROM near n {join} JOIN (SELECT * FROM worded WHERE qid IN (SELECT qid FROM vectors)) w ON n.qid = w.qid AND n.id = w.id)
       SELECT qid, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, id))::INTEGER AS rank, id, score, round(1 - score, 6) AS distance
       FROM fused QUALIFY rank <= {k}"""
 
@@ -133,7 +133,7 @@ def _hybrid(spark, sf_dir, **options):
 
 @query("hybrid_rrf", _hybrid_sql(_PROXIMITY_SQL, "LEFT"))
 def hybrid_rrf(spark, sf_dir):
-    return _hybrid(spark, sf_dir)
+    return _hybrid(spark, sf_dir, ranking="proximity")
 
 
 @query("hybrid_rrf_bm25", _hybrid_sql(_BM25_SQL, "LEFT"))

@@ -191,13 +191,16 @@ def edge_merge(spark, sf_dir):
 )
 def source_links(spark, sf_dir):
     nodes, edges = merge.merge_documents(dialog_documents(spark, sf_dir), include_source=True)
+
+    def name(key):
+        return F.replace(F.col(key), F.lit(merge.SOURCE_KEY), F.lit("")).alias("src_id")
+
     links = edges.filter(F.col("type") == merge.SOURCE_EDGE).select(
-        F.lit("link").alias("kind"), "src_id", "dst_label", "dst_id", F.lit(None).cast("string").alias("content")
+        F.lit("link").alias("kind"), name("src_id"), "dst_label", "dst_id", F.lit(None).cast("string").alias("content")
     )
     content = F.try_variant_get(F.parse_json(F.element_at("props", "content")), "$", "string")
     sources = nodes.filter(F.col("label") == merge.SOURCE_LABEL).select(
-        F.lit("node").alias("kind"), F.col("id").alias("src_id"), F.col("label").alias("dst_label"), F.col("id").alias("dst_id"),
-        content.alias("content"),
+        F.lit("node").alias("kind"), name("id"), F.col("label").alias("dst_label"), name("id").alias("dst_id"), content.alias("content"),
     )
     return links.unionByName(sources)
 

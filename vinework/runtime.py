@@ -86,27 +86,3 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 def _hadoop(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
-
-
-# A task with less input than this leaves cores idle in compute-heavy scans.
-TASK_BYTES = 32 << 20
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a small input.
-
-    A Parquet row group is read by one task, so a small file would keep one
-    core busy. Inputs that fill the cores are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if is_small(df) else df
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the inputs of ``df`` amount to less than one small task per core.
-
-    Sizes are those of the sources; estimates above joins are products.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return size < df.sparkSession.sparkContext.defaultParallelism * TASK_BYTES

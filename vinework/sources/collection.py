@@ -15,6 +15,8 @@ from vinework.sources.buckets import BucketedTable, latest
 COLLECTION_SCHEMA = (
     "id string, content string, embedding array<float>, metadata string, node_id string, terms array<string>"
 )
+# A batch without an order holds different rows of one id.
+REPEATED = "a seq column must order the rows of a repeated id: "
 # Metadata key that moves into the column of the same name.
 NODE_KEY = "node_id"
 
@@ -71,10 +73,18 @@ def upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def last_of_batch(incoming: DataFrame) -> DataFrame:
-    """One row per id: the one with the highest ``seq`` when the batch has one."""
-    if "seq" not in incoming.columns:
-        return incoming.dropDuplicates(["id"])
-    return latest(incoming, ["id"], ["seq"]).drop("seq")
+    """One row per id: the one with the highest ``seq``.
+
+    Rows of a DataFrame have no order, so a batch without ``seq`` may repeat an
+    id only with equal rows; others raise.
+    """
+    if "seq" in incoming.columns:
+        return latest(incoming, ["id"], ["seq"]).drop("seq")
+    row = F.struct(*incoming.columns)
+    mark = F.xxhash64(F.to_json(row))
+    rows = incoming.groupBy("id").agg(F.first(row).alias("_row"), F.min(mark).alias("_low"), F.max(mark).alias("_high"))
+    known = F.when(F.col("_low") != F.col("_high"), F.raise_error(F.concat(F.lit(REPEATED), "id"))).otherwise(F.col("_row"))
+    return rows.select(known.alias("_row")).select("_row.*")
 
 
 def delete(existing: DataFrame, ids: DataFrame) -> DataFrame:
@@ -140,9 +150,9 @@ class CollectionStore:
         return self.table.read()
 
     def add(self, documents: DataFrame) -> None:
-        """Embed and upsert documents."""
-        fresh = prepare(documents, self.embedder, dim=self.dim, config=self.config)
-        self.table.put(last_of_batch(fresh))
+        """Embed and upsert documents; replaced rows of a batch are not embedded."""
+        fresh = last_of_batch(documents) if "id" in documents.columns else documents
+        self.table.put(prepare(fresh, self.embedder, dim=self.dim, config=self.config))
 
     def add_nodes(self, nodes: DataFrame, label: str, properties: Sequence[str]) -> None:
         """Embed and upsert the text of graph nodes."""
