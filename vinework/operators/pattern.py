@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vinework.functions.filters import equals_all
 from vinework.runtime import cut_lineage
-from vinework.sources.graph import PropertyGraph
+from vinework.sources.graph import EDGE_COLUMNS, PropertyGraph, bag, empty_bag
 
 # Node columns that every edge already knows about its ends.
 KNOWN = ("id", "label")
@@ -231,6 +231,40 @@ def _concatenate(left: DataFrame, right: DataFrame) -> DataFrame:
     return joined.select("start_id", "end_id", F.concat("_head", "_tail").alias("edge_ids"))
 
 
+def path_values(graph: PropertyGraph, edge_type: str, walks: DataFrame) -> DataFrame:
+    """Walks as path values: ``start_id, end_id, path``, entities of nodes and edges in turn.
+
+    ``walks`` is the output of :func:`paths`. An entity is
+    ``struct<id,label,start_id,end_id,properties>``; for nodes the two ends are
+    null. Ids are text.
+    """
+    properties = [c for c in graph.edge_frames[edge_type].columns if c not in EDGE_COLUMNS]
+    text = lambda name: F.col(name).cast("string")
+    edges = graph.edges(edge_type).select(
+        F.col("id").alias("_edge"), text("start_id").alias("_from"), text("end_id").alias("_to"),
+        F.struct(
+            text("id").alias("id"), F.col("type").alias("label"), text("start_id").alias("start_id"), text("end_id").alias("end_id"),
+            (bag(*properties) if properties else empty_bag()).alias("properties"),
+        ).alias("_entity"),
+    )
+    no_end = F.lit(None).cast("string")
+    nodes = graph.entities().select(
+        F.col("id").alias("_node"),
+        F.struct("entity.id", "entity.label", no_end.alias("start_id"), no_end.alias("end_id"), "entity.properties").alias("_entity"),
+    )
+    walk = ["start_id", "end_id", "edge_ids"]
+    steps = cut_lineage(walks.select(*walk, F.posexplode("edge_ids").alias("_at", "_edge")).join(edges, "_edge"), "steps")
+    # The edge at place i stands at 2i + 1, the node after it at 2i + 2, the first node at 0.
+    ends = steps.select(*walk, (F.col("_at") * 2 + 2).alias("_place"), F.col("_to").alias("_node"))
+    first = steps.filter("_at = 0").select(*walk, F.lit(0).alias("_place"), F.col("_from").alias("_node"))
+    placed = cut_lineage(ends.unionByName(first), "ends").join(nodes, "_node").select(*walk, "_place", "_entity")
+    placed = placed.unionByName(steps.select(*walk, (F.col("_at") * 2 + 1).alias("_place"), "_entity"))
+    # Maps have no order, so places are sorted and entities looked up by place.
+    found = placed.groupBy(*walk).agg(F.map_from_entries(F.collect_list(F.struct("_place", "_entity"))).alias("_all"))
+    in_order = F.transform(F.array_sort(F.map_keys("_all")), lambda place: F.element_at("_all", place))
+    return found.select("start_id", "end_id", in_order.alias("path"))
+
+
 def keyed_pairs(rows: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str, key: str) -> DataFrame:
     """Two keyed node look-ups per row: ``start_id, end_id`` and the row.
 

@@ -21,10 +21,14 @@ def expand(
     node_col: str = "node_id",
     edge_type: str | None = None,
     direction: str = "both",
+    entities: bool = False,
     context: ContextFn | None = None,
 ) -> DataFrame:
     """Neighbours of every hit: hit columns plus ``rel_type, direction, neighbour_id, neighbour_label``.
 
+    ``entities`` adds ``neighbour``, the neighbour's id, label and properties;
+    it is null where the graph has an edge to a node it does not hold.
+
     ``direction`` is ``out``, ``in`` or ``both``, where a self-loop counts once.
     Hits are written first: their size is then known, so Spark broadcasts them
     to the edge scan when they are few and shuffles otherwise. ``context`` may
@@ -52,6 +56,11 @@ def expand(
         raise ValueError("direction must be 'out', 'in' or 'both'")
     neighbours = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     expanded = hits.join(neighbours, node_col)
+    if entities:
+        # Written, so that a node which many hits share can be split when its entity is joined.
+        nodes = graph.entities().withColumnsRenamed({"id": "_neighbour", "entity": "neighbour"})
+        expanded = cut_lineage(expanded.withColumn("_neighbour", F.col("neighbour_id").cast("string")), "expanded")
+        expanded = expanded.join(nodes, "_neighbour", "left").drop("_neighbour")
     return expanded if context is None else context(expanded)
 
 

@@ -85,7 +85,7 @@ _PROXIMITY_SQL = f"""
     SELECT qid, id, n_terms, max(tf) AS tf FROM counted JOIN asked USING (term) JOIN asked_n USING (qid)
     GROUP BY qid, id, n_terms HAVING count(*) = n_terms),
   found AS (
-    SELECT qid, id, term, pos FROM matched JOIN asked USING (qid) JOIN words ON words.doc_id = matched.id AND words.term = asked.term),
+    SELECT qid, id, asked.term, pos FROM matched JOIN asked USING (qid) JOIN words ON words.doc_id = matched.id AND words.term = asked.term),
   pairs AS (
     SELECT a.qid, a.id, 1 - exp(sum(ln(1 - 0.1 * sqrt(1 / (1.005 + 0.05 * exp((b.pos - a.pos) / 1.5 - 2)))))) AS score
     FROM found a JOIN found b ON a.qid = b.qid AND a.id = b.id AND a.term <> b.term AND b.pos - a.pos BETWEEN 1 AND 100

@@ -143,6 +143,17 @@ class PropertyGraph:
             {n: spark.read.parquet(f"{path}/edges/{n}") for n in types},
         )
 
+    def entities(self) -> DataFrame:
+        """Every node as ``id`` and ``entity``, its ``struct<id,label,properties>``; ids as text, so labels may differ in type."""
+        parts = []
+        for name in self.labels:
+            frame = self.node_frames[name]
+            properties = [c for c in frame.columns if c != "id"]
+            filled = bag(*properties) if properties else empty_bag()
+            id_ = F.col("id").cast("string")
+            parts.append(frame.select(id_.alias("id"), F.struct(id_.alias("id"), F.lit(name).alias("label"), filled.alias("properties")).alias("entity")))
+        return _union(parts)
+
     def duplicate_ids(self) -> DataFrame:
         """Node ids that occur more than once over all labels; empty when sound."""
         ids = reduce(DataFrame.unionAll, [self.node_frames[n].select("id") for n in self.labels])
