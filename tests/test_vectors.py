@@ -66,11 +66,14 @@ def data():
 
 
 @pytest.mark.parametrize("metric", [m.value for m in Metric])
-@pytest.mark.parametrize(("k", "partitions", "shipped"), [(4, 1, 100), (4, 7, 100), (60, 3, 100), (4, 5, 2), (200, 2, 2)])
-def test_knn_against_brute_force(spark, data, metric, k, partitions, shipped):
+@pytest.mark.parametrize(
+    ("k", "partitions", "options"),
+    [(4, 1, {}), (4, 7, {"shipped_queries": 2}), (60, 3, {}), (4, 5, {"plan": "blocks"}), (200, 2, {"plan": "blocks"})],
+)
+def test_knn_against_brute_force(spark, data, metric, k, partitions, options):
     rows, queries = data
     corpus = frame(spark, rows).repartition(partitions)
-    found = knn(corpus, frame(spark, queries, "qid"), k, metric, digits=6, shipped_queries=shipped)
+    found = knn(corpus, frame(spark, queries, "qid"), k, metric, digits=6, **options)
     same(as_dict(found), {q: brute(rows, v, k, metric) for q, v in queries})
 
 
@@ -79,7 +82,7 @@ def test_knn_small_blocks(spark, data, monkeypatch):
 
     rows, queries = data
     monkeypatch.setattr(module.blockwise, "__kwdefaults__", {**module.blockwise.__kwdefaults__, "block_rows": 11, "block_queries": 2})
-    found = knn(frame(spark, rows), frame(spark, queries, "qid"), 5, "l2", digits=6, shipped_queries=2)
+    found = knn(frame(spark, rows), frame(spark, queries, "qid"), 5, "l2", digits=6, plan="blocks")
     same(as_dict(found), {q: brute(rows, v, 5, "l2") for q, v in queries})
 
 

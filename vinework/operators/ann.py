@@ -6,7 +6,6 @@ with ``partitionBy("cell")``, a search reads only the cells it probes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,11 +14,11 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vinework.functions import kernels, vectors
 from vinework.functions.vectors import Metric
 from vinework.operators import knn as exact
+from vinework.runtime import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -56,7 +55,8 @@ class CellIndex:
             F.col(qid_col).alias("_qid"), F.col(query_vec).cast("array<double>").alias("_qvec")
         )
         probes = _nearest_centres(asked, "_qvec", self.centres, min(nprobe, len(self.centres)), self.metric)
-        probes = probes.select("_qid", "_qvec", F.explode("_cells").alias("_cell"))
+        # Written: the grid and the search both read them.
+        probes = cut_lineage(probes.select("_qid", "_qvec", F.explode("_cells").alias("_cell")), "probes")
         near = exact.blockwise(
             rows, probes, k, self.metric,
             digits=digits, columns=columns, id_col=self.id_col, vec_col=self.vec_col, dim=self.centres.shape[1],
@@ -111,24 +111,23 @@ def build_cells(
     model = KMeans(k=n_lists, maxIter=iterations, seed=seed).fit(features)
     centres = np.array(model.clusterCenters())
     placed = _nearest_centres(known, vec_col, centres, 1, metric)
-    cells = placed.withColumn("cell", F.col("_cells")[0]).drop("_cells")
+    cells = cut_lineage(placed.withColumn("cell", F.col("_cells")[0]).drop("_cells"), "cells")
     return CellIndex(cells, centres, metric, id_col, vec_col)
 
 
 def _nearest_centres(df: DataFrame, vec_col: str, centres: np.ndarray, n: int, metric: str) -> DataFrame:
     """Add ``_cells``: the n centres nearest to each vector, nearest first."""
-    schema = T.StructType([*df.schema.fields, T.StructField("_cells", T.ArrayType(T.IntegerType()))])
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, _ = kernels.matrix(batch.column(vec_col), centres.shape[1])
-            dist = np.nan_to_num(kernels.rough_distances(rows, centres, metric), nan=np.inf)
-            picks = np.argsort(dist, axis=1, kind="stable")[:, :n].astype(np.int32)
-            offsets = np.arange(0, picks.size + 1, n, dtype=np.int32)
-            cells = pa.ListArray.from_arrays(pa.array(offsets), pa.array(picks.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, cells], [*batch.schema.names, "_cells"])
-
-    return df.mapInArrow(assign, schema)
+
+    # Only the vectors go through Python, not the row's other columns.
+    @F.arrow_udf("array<int>")
+    def assign(column: pa.Array) -> pa.Array:
+        rows, _ = kernels.matrix(column, centres.shape[1])
+        dist = np.nan_to_num(kernels.rough_distances(rows, centres, metric), nan=np.inf)
+        picks = np.argsort(dist, axis=1, kind="stable")[:, :n].astype(np.int32)
+        offsets = np.arange(0, picks.size + 1, n, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(picks.ravel()))
+
+    return df.withColumn("_cells", assign(F.col(vec_col)))
 
 
 def recall(approximate: DataFrame, truth: DataFrame, qid_col: str = "qid", id_col: str = "id") -> DataFrame:

@@ -8,6 +8,7 @@ ever a DataFrame row.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -17,8 +18,7 @@ from pyspark.sql import types as T
 from vinework.functions import kernels
 from vinework.functions.vectors import Metric
 
-# A query batch is shipped to the tasks up to these sizes and otherwise
-# distributed in blocks.
+# Queries that are shipped to the tasks at a time.
 SHIPPED_QUERIES = 8_192
 SHIPPED_BYTES = 64 << 20
 # Vectors of one block of rows, and of queries, when both are distributed.
@@ -39,6 +39,7 @@ def knn(
     vec_col: str = "embedding",
     qid_col: str = "qid",
     query_vec: str = "embedding",
+    plan: str = "ship",
     shipped_queries: int = SHIPPED_QUERIES,
 ) -> DataFrame:
     """k nearest corpus rows of every query: ``qid, rank, id, distance, *carry``.
@@ -47,23 +48,36 @@ def knn(
     id; undefined distances come after all numbers and rows without a vector
     last. ``digits`` rounds distances before ranking. ``carry`` names corpus
     columns to hand through, such as the vector or the content.
+
+    With ``plan="ship"`` queries travel to the rows, ``shipped_queries`` and
+    64 MB at a time, and the corpus is read once for each such batch: for
+    query sets that fit a few batches. With ``plan="blocks"`` both sides are
+    cut to blocks that meet in a grid: for large query sets. Both are exact.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
+    if plan not in ("ship", "blocks"):
+        raise ValueError("plan must be 'ship' or 'blocks'")
     metric = Metric(metric).value
     rows = corpus if where is None else corpus.filter(where)
     rows = rows.select(*dict.fromkeys([id_col, vec_col, *carry]))
     asked = queries.filter(F.col(query_vec).isNotNull()).select(
         F.col(qid_col).alias("_qid"), F.col(query_vec).cast("array<double>").alias("_qvec")
     )
-    batch = asked.limit(shipped_queries + 1).toArrow()
     columns = list(dict.fromkeys([id_col, *carry]))
-    if batch.num_rows <= shipped_queries and batch.nbytes <= SHIPPED_BYTES:
-        near = _with_shipped_queries(rows, batch, asked, k, metric, digits, columns, id_col, vec_col)
+    n, dim = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("_qvec")), F.lit(0))).first()
+    if plan == "ship":
+        batches = max(1, -(-n // shipped_queries), -(-n * 8 * dim // SHIPPED_BYTES))
+        dealt = asked.withColumn("_batch", F.pmod(F.xxhash64("_qid"), F.lit(batches)))
+        parts = [dealt.filter(F.col("_batch") == i).drop("_batch").toArrow() for i in range(batches)]
+        near = reduce(
+            DataFrame.unionByName,
+            [_with_shipped_queries(rows, batch, asked, k, metric, digits, columns, id_col, vec_col) for batch in parts],
+        )
     else:
         near = blockwise(
             rows.withColumn("_cell", F.lit(0)), asked.withColumn("_cell", F.lit(0)),
-            k, metric, digits=digits, columns=columns, id_col=id_col, vec_col=vec_col, dim=len(batch.column("_qvec")[0]),
+            k, metric, digits=digits, columns=columns, id_col=id_col, vec_col=vec_col, dim=max(1, dim),
         )
     return ranked(near, k, id_col).withColumnRenamed("_qid", qid_col)
 

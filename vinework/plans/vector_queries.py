@@ -8,7 +8,7 @@ from vinework.functions import vectors
 from vinework.functions.embed import length_embedder
 from vinework.functions.filters import MetadataFilter, metadata_filter
 from vinework.functions.vectors import Metric
-from vinework.operators.ann import build_cells
+from vinework.operators.ann import build_cells, recall
 from vinework.operators.knn import knn
 from vinework.operators.rag import expand
 from vinework.operators.search import Search
@@ -61,7 +61,7 @@ for _metric in Metric:
 def knn_blocks(spark, sf_dir):
     """The distributed form for query batches too large to ship."""
     corpus, queries = scaled_vectors(spark, sf_dir), _scaled_queries(spark, sf_dir)
-    return knn(corpus, queries, 4, Metric.L2, digits=6, shipped_queries=100)
+    return knn(corpus, queries, 4, Metric.L2, digits=6, plan="blocks")
 
 
 @query("knn_batch", f"WITH {COLLECTION_SQL}, {CENTRES_SQL} {_knn_sql('cosine', 'collection', 'centres', 10)}")
@@ -242,6 +242,23 @@ def ann_ivf(spark, sf_dir):
     return build_cells(rows, n_lists=16, iterations=5).search(_scaled_queries(spark, sf_dir), 4, nprobe=6, digits=6)
 
 
+@query("ann_all_cells", f"WITH vectors AS (SELECT vec_id AS id, embedding::DOUBLE[] AS embedding FROM embeddings), {_ASKED_SQL} {_knn_sql('cosine', 'vectors', 'asked', 4)}")
+def ann_all_cells(spark, sf_dir):
+    """A search of all cells is exact."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return build_cells(rows, n_lists=16, iterations=5).search(_scaled_queries(spark, sf_dir), 4, nprobe=16, digits=6)
+
+
+@query("ann_recall", "SELECT count(*)::BIGINT AS queries, TRUE AS enough FROM embeddings")
+def ann_recall(spark, sf_dir):
+    """Mean share of the exact neighbours that a search of six cells of sixteen finds."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    queries = _scaled_queries(spark, sf_dir)
+    found = build_cells(rows, n_lists=16, iterations=5).search(queries, 4, nprobe=6, digits=6)
+    shares = recall(found, knn(rows, queries, 4, digits=6))
+    return shares.agg(F.count(F.lit(1)).alias("queries"), (F.avg("recall") >= 0.8).alias("enough"))
+
+
 def document_graph(spark, sf_dir) -> PropertyGraph:
     """Documents with their source and language."""
     documents = table(spark, sf_dir, "documents")
