@@ -455,7 +455,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     log10 probability of the lower-cased text and its end, ``_lm_bits`` its
     code length per byte; ``_lm_base`` is the score of the word unigrams.
     """
-    n = packed.parts(docs.sparkSession)
+    chunks = packed.parts(docs.sparkSession)
+    n = chunks // packed.PER_PARTITION  # where keys are counted and answered
     sums = docs.filter(F.coalesce(train, F.lit(True))).select(text_col).mapInArrow(_count(n), "bucket int, keys binary, counts binary")
     sums = sums.groupBy("bucket").applyInArrow(_sum, "bucket int, keys binary, counts binary, total bigint, distinct bigint")
     sums = cut_lineage(sums.withColumn("kind", F.col("bucket") % 2), "counts")
@@ -472,7 +473,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     words = sums.filter(F.col("kind") == WORDS).select("kind", F.floor(F.col("bucket") / 2).cast("int").alias("part"), F.lit(0).alias("copy"), "keys", "counts")
     model = words.unionByName(model)
 
-    chunk = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n)).cast("int")
+    chunk = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(chunks)).cast("int")
     keyed = docs.select(*[c for c in docs.columns if c != text_col], chunk.alias(CHUNK), F.col(text_col).alias(TEXT))
     asked = keyed.groupBy(CHUNK).applyInArrow(_ask(n, deal), f"kind int, part int, copy int, {CHUNK} int, keys binary")
     place = ["kind", "part", "copy"]
