@@ -38,12 +38,12 @@ def traverse(
     ``both`` merges two one-way traversals into one row per node, where an
     outgoing depth goes before an incoming one. Rows are not sorted.
 
-    A level is the set of ends of edges that leave the previous level: a
-    semi-join and a distinct, so hubs and parallel edges shrink before every
-    shuffle; within a plan a level that several later ones need is shuffled once,
-    and Spark sees its size before it joins the edges. Every ``cut_every`` levels
-    are written to the shared folder by one job, which also counts the last
-    frontier: the loop stops if it is empty.
+    A level is the ends of the edges that leave the previous level: a semi-join,
+    which never gives more rows than there are edges. Spark sees the size of each
+    frontier before it joins the edges. Ends that several edges share are made
+    distinct once for every ``cut_every`` levels, when these are written to the
+    shared folder; the job that does it also counts the last frontier, and the
+    loop stops if it is empty.
     """
     options = dict(properties=properties, return_properties=return_properties, cut_every=cut_every)
     if direction == "both":
@@ -62,7 +62,7 @@ def traverse(
         if len(pending) == cut_every:
             last = Observation()
             pending[-1] = pending[-1].observe(last, F.count(F.lit(1)).alias("n"))
-            table = cut_lineage(_all(pending), "frontiers")
+            table = cut_lineage(_all(pending).distinct(), "frontiers")
             written.append(table)
             pending = []
             level = table.filter(F.col("depth") == depth - 1).select("node_id")
@@ -70,7 +70,9 @@ def traverse(
                 break
         level = _follow(steps, level.select(F.col("node_id").alias("_near")))
         pending.append(level.withColumn("depth", F.lit(depth)))
-    reached = _all(written + pending).select("depth", "node_id")
+    if pending:
+        written.append(_all(pending).distinct())
+    reached = _all(written).select("depth", "node_id")
     if not return_properties:
         return reached
     return attach_properties(reached, graph, start_label, properties)
@@ -81,7 +83,7 @@ def _all(frames: list[DataFrame]) -> DataFrame:
 
 
 def _follow(steps: DataFrame, frontier: DataFrame) -> DataFrame:
-    return steps.join(frontier, "_near", "left_semi").select("node_id").distinct()
+    return steps.join(frontier, "_near", "left_semi").select("node_id")
 
 
 def attach_properties(
