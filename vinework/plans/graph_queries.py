@@ -294,14 +294,13 @@ def union_distinct(spark, sf_dir):
 @query(
     "first_wins",
     """SELECT coalesce(a.node_id, b.node_id) AS node_id, coalesce(a.depth, b.depth) AS depth
-       FROM (SELECT c_nationkey AS node_id, min(c_custkey) AS depth FROM customer WHERE c_acctbal > 9900 GROUP BY 1) a
-       FULL JOIN (SELECT s_nationkey AS node_id, min(s_suppkey) AS depth FROM supplier GROUP BY 1) b
+       FROM (SELECT o_custkey AS node_id, min(o_orderkey) AS depth FROM orders GROUP BY 1) a
+       FULL JOIN (SELECT c_custkey AS node_id, min(c_nationkey)::BIGINT AS depth FROM customer GROUP BY 1) b
        ON a.node_id = b.node_id""",
 )
 def first_wins_query(spark, sf_dir):
-    rich = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 9900)
-    first = rich.select(F.col("c_nationkey").alias("node_id"), F.col("c_custkey").alias("depth"))
-    second = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("node_id"), F.col("s_suppkey").alias("depth"))
+    first = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("node_id"), F.col("o_orderkey").alias("depth"))
+    second = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("node_id"), F.col("c_nationkey").cast("bigint").alias("depth"))
     return first_wins(first, second)
 
 
