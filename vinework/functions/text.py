@@ -107,94 +107,119 @@ def miss(gap: Column) -> Column:
     return F.log(1.0 - F.lit(TERM_WEIGHT) * F.sqrt(nearness))
 
 
-# --- English stemmer (Porter, 1980) ---------------------------------------
-
-def _shape(word: str) -> str:
-    """Word as v/c letters; y is a vowel after a consonant."""
-    out = ""
-    for i, letter in enumerate(word):
-        vowel = letter in "aeiou" or (letter == "y" and i > 0 and out[-1] == "c")
-        out += "v" if vowel else "c"
-    return out
-
-
-def _m(part: str) -> int:
-    return len(re.findall(r"v+c+", _shape(part)))
+# --- English stemmer (the second Porter algorithm, as text search configurations use it) ---
+
+VOWELS = "aeiouy"
+
+# Words with a stem of their own, and words that end after the first step.
+IRREGULAR = {
+    "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl",
+    "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl", "sky": "sky", "news": "news", "howe": "howe",
+    "atlas": "atlas", "cosmos": "cosmos", "bias": "bias", "andes": "andes",
+}
+UNCHANGED = frozenset("inning outing canning herring earring proceed exceed succeed".split())
+# Beginnings after which the first region starts, double letters, letters before a removed -li.
+PREFIXES = ("gener", "commun", "arsen")
+DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
+BEFORE_LI = "cdeghkmnrt"
+# Suffixes of steps 2 to 4 and what replaces them; the longest that a word has counts.
+STEP_2 = {
+    "tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent", "izer": "ize", "ization": "ize",
+    "ational": "ate", "ation": "ate", "ator": "ate", "alism": "al", "aliti": "al", "alli": "al", "fulness": "ful",
+    "ousli": "ous", "ousness": "ous", "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble", "ogi": "og",
+    "fulli": "ful", "lessli": "less", "li": "",
+}
+STEP_3 = {
+    "tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic", "ful": "",
+    "ness": "", "ative": "",
+}
+STEP_4 = dict.fromkeys(
+    "al ance ence er ic able ible ant ement ment ent ism ate iti ous ive ize ion".split(), ""
+)
 
 
-def _has_vowel(part: str) -> bool:
-    return "v" in _shape(part)
+def _region(word: str, start: int) -> int:
+    """Where the part after the first consonant that follows a vowel begins."""
+    found = re.compile("[aeiouy][^aeiouy]").search(word, start)
+    return found.end() if found else len(word)
 
 
-def _ends_cvc(part: str) -> bool:
-    return _shape(part)[-3:] == "cvc" and part[-1] not in "wxy"
+def _short_end(word: str) -> bool:
+    """Whether a word ends in a short syllable."""
+    if len(word) == 2:
+        return word[0] in VOWELS and word[1] not in VOWELS
+    return len(word) > 2 and word[-1] not in VOWELS + "wxY" and word[-2] in VOWELS and word[-3] not in VOWELS
 
 
-# Suffix rules of the published algorithm, longest match first.
-_STEP_2 = (
-    ("ational", "ate"), ("ization", "ize"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
-    ("tional", "tion"), ("biliti", "ble"), ("entli", "ent"), ("ousli", "ous"), ("ation", "ate"),
-    ("alism", "al"), ("aliti", "al"), ("iviti", "ive"), ("enci", "ence"), ("anci", "ance"),
-    ("izer", "ize"), ("abli", "able"), ("alli", "al"), ("ator", "ate"), ("eli", "e"),
-)
-_STEP_3 = (
-    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ness", ""), ("ful", ""),
-)
-_STEP_4 = (
-    "ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate", "iti", "ous", "ive", "ize",
-    "ion", "al", "er", "ic", "ou",
-)
+def _replaced(word: str, rules: dict[str, str], allowed) -> str:
+    """The word with its longest listed suffix replaced, if ``allowed(rest, suffix)``."""
+    suffix = next((word[i:] for i in range(len(word)) if word[i:] in rules), None)
+    if suffix is None or not allowed(word[: len(word) - len(suffix)], suffix):
+        return word
+    return word[: len(word) - len(suffix)] + rules[suffix]
 
 
 def stem_word(word: str) -> str:
-    """Porter stem of a lower-case word; words of other scripts pass through."""
+    """English stem of a lower-case word; words of other scripts pass through."""
     if len(word) < 3 or not word.isascii() or not word.isalpha():
         return word
-    word = _plurals(word)
-    word = _past_and_gerund(word)
-    if word.endswith("y") and _has_vowel(word[:-1]):
+    if word in IRREGULAR:
+        return IRREGULAR[word]
+    # A y that is a consonant is written Y until the end.
+    word = re.sub("(?<=[aeiouy])y", "Y", "Y" + word[1:] if word[0] == "y" else word)
+    prefix = next((p for p in PREFIXES if word.startswith(p)), None)
+    first = len(prefix) if prefix else _region(word, 0)
+    second = _region(word, first)
+    word = _plural(word)
+    if word in UNCHANGED:
+        return word
+    word = _ending(word, first)
+    if len(word) > 2 and word[-1] in "yY" and word[-2] not in VOWELS:
         word = word[:-1] + "i"
-    for rules in (_STEP_2, _STEP_3):
-        for suffix, new in rules:
-            if word.endswith(suffix):
-                if _m(word[: -len(suffix)]) > 0:
-                    word = word[: -len(suffix)] + new
-                break
-    for suffix in _STEP_4:
-        if word.endswith(suffix):
-            base = word[: -len(suffix)]
-            if _m(base) > 1 and (suffix != "ion" or base.endswith(("s", "t"))):
-                word = base
-            break
-    if word.endswith("e"):
-        base = word[:-1]
-        if _m(base) > 1 or (_m(base) == 1 and not _ends_cvc(base)):
-            word = base
-    if word.endswith("ll") and _m(word) > 1:
-        word = word[:-1]
-    return word
+    word = _replaced(word, STEP_2, lambda rest, suffix: len(rest) >= first and _fits(rest, suffix))
+    word = _replaced(word, STEP_3, lambda rest, suffix: len(rest) >= (second if suffix == "ative" else first))
+    word = _replaced(word, STEP_4, lambda rest, suffix: len(rest) >= second and (suffix != "ion" or rest.endswith(("s", "t"))))
+    rest = word[:-1]
+    if word[-1] == "e" and (len(rest) >= second or (len(rest) >= first and not _short_end(rest))):
+        word = rest
+    elif word.endswith("ll") and len(rest) >= second:
+        word = rest
+    return word.lower()
+
 
+def _fits(rest: str, suffix: str) -> bool:
+    if suffix == "ogi":
+        return rest.endswith("l")
+    return suffix != "li" or rest[-1:] in BEFORE_LI
 
-def _plurals(word: str) -> str:
-    if word.endswith("sses") or word.endswith("ies"):
+
+def _plural(word: str) -> str:
+    if word.endswith("sses"):
         return word[:-2]
-    return word[:-1] if word.endswith("s") and not word.endswith("ss") else word
-
-
-def _past_and_gerund(word: str) -> str:
-    if word.endswith("eed"):
-        return word[:-1] if _m(word[:-3]) > 0 else word
-    for suffix in ("ed", "ing"):
-        base = word[: -len(suffix)]
-        if word.endswith(suffix) and _has_vowel(base):
-            if base.endswith(("at", "bl", "iz")):
-                return base + "e"
-            if base[-1:] == base[-2:-1] and _shape(base)[-1] == "c" and base[-1] not in "lsz":
-                return base[:-1]
-            return base + "e" if _m(base) == 1 and _ends_cvc(base) else base
+    if word.endswith(("ied", "ies")):
+        return word[:-2] if len(word) > 4 else word[:-1]
+    if word.endswith("s") and not word.endswith(("us", "ss")) and any(c in VOWELS for c in word[:-2]):
+        return word[:-1]
+    return word
+
+
+def _ending(word: str, first: int) -> str:
+    """The word without -ed, -ing and the like, mended where that leaves an odd end."""
+    for suffix in ("eedly", "ingly", "edly", "eed", "ing", "ed"):
         if word.endswith(suffix):
             break
-    return word
+    else:
+        return word
+    rest = word[: len(word) - len(suffix)]
+    if suffix in ("eed", "eedly"):
+        return rest + "ee" if len(rest) >= first else word
+    if not any(c in VOWELS for c in rest):
+        return word
+    if rest.endswith(("at", "bl", "iz")):
+        return rest + "e"
+    if rest.endswith(DOUBLES):
+        return rest[:-1]
+    return rest + "e" if len(rest) <= first and _short_end(rest) else rest
 
 
 def stem(words: Column, drop_stop_words: bool = True) -> Column:
