@@ -272,7 +272,10 @@ def _smallest_ids(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _search_length(entries: DataFrame, asked: DataFrame, length: int, k: int) -> DataFrame:
-    chosen = entries.orderBy(F.xxhash64("entry"), "entry").limit(min(SAMPLE, max(1, SAMPLE_BYTES // (8 * length))))
+    # A hash below a threshold leaves little more than the sample; only that is ordered.
+    size, wanted, whole = entries.count(), min(SAMPLE, max(1, SAMPLE_BYTES // (8 * length))), 1 << 30
+    mark = F.pmod(F.xxhash64("entry"), F.lit(whole))
+    chosen = entries.filter(mark < int(min(1.0, 1.2 * wanted / max(size, 1)) * whole)).orderBy(mark, "entry").limit(wanted)
     sample = chosen.select("vector").toArrow()
     centroids = fit(_unit(_rows(sample.column("vector"))))
     listed = entries.select("entry", "vector").mapInArrow(_assign(centroids), "entry bigint, vector array<double>, list int")

@@ -217,7 +217,12 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     entries = _choose(toxic, clean, n1, n0)
     entries |= _exceptions(toxic_rows, clean_rows, entries, n1, n0)
     entries |= {fold(p): 0.0 for p in phrases if fold(p).strip()}
-    sample = rows.orderBy(F.xxhash64("text"), "text").limit(SAMPLE) if n1 + n0 > SAMPLE else rows
+    sample = rows
+    if n1 + n0 > SAMPLE:
+        # A hash below a threshold leaves little more than the sample; only that is ordered.
+        whole = 1 << 30
+        mark = F.pmod(F.xxhash64("text"), F.lit(whole))
+        sample = rows.filter(mark < int(1.2 * SAMPLE / (n1 + n0) * whole)).orderBy(mark).limit(SAMPLE)
     found = sample.mapInArrow(_measure(entries, "text", None), "weight double, words bigint, label int").toArrow()
     columns = (np.asarray(found.column(c)).astype(float) for c in ("weight", "words", "label"))
     return Lexicon(entries, _fit(*columns))
