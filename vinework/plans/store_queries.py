@@ -16,34 +16,49 @@ from vinework.sources import collection as docs
 from vinework.sources.collection import CollectionStore
 from vinework.sources.graph import GraphStore
 from vinework.sources.layout import cluster_by_property
+from vinework.streaming.upsert import stream_graph
 
 
 def _place(spark, name: str) -> str:
     return f"{shared_dir(spark)}/vinework/{name}-{uuid.uuid4().hex}"
 
 
-@query(
-    "graph_store_cycle",
-    """SELECT 'Turn' AS label, conv_id || ':' || turn AS id FROM conversations
-       UNION ALL SELECT DISTINCT 'Speaker', role FROM conversations""",
-)
+_TURNS_SQL = """SELECT 'Turn' AS label, conv_id || ':' || turn AS id FROM conversations
+  UNION ALL SELECT DISTINCT 'Speaker', role FROM conversations"""
+
+
+@query("graph_store_cycle", _TURNS_SQL)
 def graph_store_cycle(spark, sf_dir):
     """A graph is created, filled, dropped, created again and filled; creating what exists changes nothing."""
+    documents = _turns(table(spark, sf_dir, "conversations"))
+    store = GraphStore(spark, _place(spark, "graph"), buckets=4).create()
+    store.merge(documents.filter("seq % 2 = 1"))
+    store.drop()
+    store.create().merge(documents)
+    return store.create().nodes().select("label", "id")
+
+
+@query("graph_stream", _TURNS_SQL)
+def graph_stream(spark, sf_dir):
+    """The same graph from a stream of documents."""
+    path, turns = _place(spark, "graph"), table(spark, sf_dir, "conversations")
+    arriving = spark.readStream.schema(turns.schema).parquet(f"{sf_dir}/conversations.parquet*")
+    store = GraphStore(spark, f"{path}/store", buckets=4).create()
+    stream_graph(_turns(arriving), store, f"{path}/checkpoint").awaitTermination()
+    return store.nodes().select("label", "id")
+
+
+def _turns(conversations):
+    """Conversation turns as graph documents: a turn and its speaker."""
     bag = F.create_map().cast("map<string,string>")
     key = F.concat_ws(":", "conv_id", "turn")
     turn = F.struct(key.alias("id"), F.lit("Turn").alias("type"), bag.alias("properties"))
     speaker = F.struct(F.col("role").alias("id"), F.lit("Speaker").alias("type"), bag.alias("properties"))
     rels = F.from_json(F.lit("[]"), "array<struct<src_id:string,src_type:string,dst_id:string,dst_type:string,type:string,properties:map<string,string>>>")
     source = F.lit(None).cast("struct<content:string,metadata:string>")
-    documents = table(spark, sf_dir, "conversations").select(
+    return conversations.select(
         (F.col("conv_id") * (1 << 20) + F.col("turn")).alias("seq"), F.array(turn, speaker).alias("nodes"), rels.alias("rels"), source.alias("source")
     )
-    store = GraphStore(spark, _place(spark, "graph"), buckets=4).create()
-    store.merge(documents.filter("turn > 0"))
-    store.drop()
-    store.create().merge(documents)
-    return store.create().nodes().select("label", "id")
-
 
 @query("collection_replace", "SELECT item_id::VARCHAR AS id, md5(text) AS content FROM benchmark")
 def collection_replace(spark, sf_dir):

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,11 +59,30 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     gives the optimizer true sizes, so later joins pick broadcast or shuffle
     from facts.
     """
-    path = f"{_own_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(df.sparkSession)}{_scope.get()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that :func:`cut_lineage` writes inside, at the end.
+
+    For steps whose results are written elsewhere before they end, such as the
+    batches of a stream.
+    """
+    folder = f"/{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        delete_folder(spark, f"{_own_dir(spark)}{folder}")
+
+
 def _own_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/vinework/{spark.sparkContext.applicationId}"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from vinework.runtime import scratch
 from vinework.sources.collection import CollectionStore
 from vinework.sources.graph import GraphStore
 
@@ -17,7 +18,8 @@ def stream_documents(documents: DataFrame, store: CollectionStore, checkpoint: s
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        store.add(batch)
+        with scratch(batch.sparkSession):
+            store.add(batch)
 
     return _start(documents, apply, checkpoint, trigger)
 
@@ -26,7 +28,8 @@ def stream_graph(documents: DataFrame, store: GraphStore, checkpoint: str, inclu
     """Upsert a stream of graph documents into a graph."""
 
     def apply(batch: DataFrame, _: int) -> None:
-        store.merge(batch, include_source)
+        with scratch(batch.sparkSession):
+            store.merge(batch, include_source)
 
     return _start(documents, apply, checkpoint, trigger)
 
