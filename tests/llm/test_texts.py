@@ -146,6 +146,15 @@ def test_toxicity_held_out(spark):
     assert caught >= 0.85 * sum(t for _, t in held) and sum(p for p, t in held if not t) <= 0.02 * len(held)
 
 
+def test_curve_is_fitted_on_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 60)
+    rows = [(f"plain words {chr(97 + i // 8) * 3} {'idiot moron' if i % 4 == 0 else ''}", int(i % 4 == 0)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "text string, toxic int")
+    lexicon = toxicity.learn(docs)
+    found = toxicity.toxicity(docs.withColumn("truth", F.col("toxic")), lexicon).collect()
+    assert all((r._tx_score >= 0.5) == bool(r.truth) for r in found)
+
+
 def test_folding():
     assert toxicity.fold("An 1D10T, stуpid!! $cum​ ｍoron") == " an idiot stypid scum moron " or toxicity.fold("1D10T") == " idiot "
     assert toxicity.fold("ѕсum") == " scum " and toxicity.fold("") == " " and toxicity.fold("...") == " "

@@ -60,6 +60,14 @@ def test_long_lists_in_parts(spark, monkeypatch):
     assert len(found) == 50 and hits >= 45
 
 
+def test_small_samples_still_index_every_row(spark, monkeypatch):
+    monkeypatch.setattr(spann, "SAMPLE", 50)
+    rng = np.random.default_rng(3)
+    vectors = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(300)], "vec_id bigint, embedding array<double>")
+    found = spann.search(vectors, vectors.filter("vec_id % 10 = 0"), 3)
+    assert found.count() == 90 and {r["id"] % 7 for r in found.collect()} == set(range(7))
+
+
 def test_centroids_are_balanced_and_found():
     points = spann._unit(np.random.default_rng(1).normal(size=(4000, 16)))
     centroids = spann.fit(points)
