@@ -161,25 +161,35 @@ def _prefix(runs: np.ndarray) -> np.ndarray:
     return (runs >> np.uint64(8 * (DEPTH + 1 - PREFIX))).astype(np.int64)
 
 
-def _by_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The summed runs of a bucket, one row for each prefix."""
+def _ascending(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Summed runs of a bucket in the order of their bytes, and their counts."""
+    runs = _unmix(packed.unpack(keys))
+    order = np.argsort(runs)
+    return runs[order], packed.from_planes(counts, np.uint64)[order]
+
+
+def _prefix_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each bucket: how many runs have which prefix, one row for each latest byte."""
     for batch in batches:
         for keys, counts in zip(*(batch.column(c).to_pylist() for c in ("keys", "counts")), strict=True):
-            runs = _unmix(packed.unpack(keys))
-            order = np.argsort(runs)
-            runs, total = runs[order], packed.from_planes(counts, np.uint64)[order]
-            prefix = _prefix(runs)
-            cuts = np.append(np.flatnonzero(np.diff(prefix, prepend=-1)), len(runs))
-            spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            names, n = np.unique(_prefix(_ascending(keys, counts)[0]), return_counts=True)
+            latest = names >> 8
+            cuts = np.append(np.flatnonzero(np.diff(latest, prepend=-1)), len(names))
+            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
             columns = {
-                "prefix": (prefix[cuts[:-1]], pa.int32()),
-                "n": ([j - i for i, j in spans], pa.int64()),
-                "keys": ([packed.pack(runs[i:j]) for i, j in spans], pa.binary()),
-                "counts": ([packed.planes(total[i:j]) for i, j in spans], pa.binary()),
+                "latest": (latest[cuts[:-1]], pa.int32()),
+                "prefixes": ([names[i:j].tolist() for i, j in spans], pa.list_(pa.int32())),
+                "n": ([n[i:j].tolist() for i, j in spans], pa.list_(pa.int64())),
             }
             yield from _table(columns).to_batches()
 
 
+def _sum_sizes(table):
+    names, index = np.unique(np.asarray(table.column("prefixes").combine_chunks().flatten()), return_inverse=True)
+    n = np.bincount(index, weights=np.asarray(table.column("n").combine_chunks().flatten())).astype(np.int64)
+    return _table({"prefix": (names, pa.int32()), "n": (n, pa.int64())})
+
+
 class _Deal:
     """Groups of prefixes with about equal numbers of runs; copies of those that alone exceed a share."""
 
@@ -198,17 +208,20 @@ class _Deal:
 
 
 def _dealt(deal: _Deal):
-    """Summed runs with their group, once for each copy."""
+    """Summed runs of a bucket by their groups, once for each copy."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            groups = deal.group[np.asarray(batch.column("prefix"))]
-            copies = deal.copies[groups]
-            at = np.repeat(np.arange(len(groups)), copies)
-            copy = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
-            arrays = [pa.array(np.full(len(at), RUNS, np.int32)), pa.array(groups[at], pa.int32()), pa.array(copy, pa.int32())]
-            arrays += [batch.column(c).take(pa.array(at)) for c in ("keys", "counts")]
-            yield pa.RecordBatch.from_arrays(arrays, ["kind", "part", "copy", "keys", "counts"])
+            rows = []
+            for keys, counts in zip(*(batch.column(c).to_pylist() for c in ("keys", "counts")), strict=True):
+                runs, total = _ascending(keys, counts)
+                for part, at in _split(RUNS, runs, 0, deal):
+                    packed_runs, packed_counts = packed.pack(runs[at]), packed.planes(total[at])
+                    rows += [(RUNS, part, copy, packed_runs, packed_counts) for copy in range(int(deal.copies[part]))]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            kinds = [*[pa.int32()] * 3, pa.binary(), pa.binary()]
+            names = ("kind", "part", "copy", "keys", "counts")
+            yield from _table({name: (c, k) for name, c, k in zip(names, columns, kinds, strict=True)}).to_batches()
 
     return assign
 
@@ -463,8 +476,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     total, distinct = sums.filter(F.col("kind") == WORDS).agg(F.sum("total"), F.sum("distinct")).first()
     total, distinct = total or 0, distinct or 0
     runs = sums.filter(F.col("kind") == RUNS).select("keys", "counts")
-    runs = cut_lineage(runs.mapInArrow(_by_prefix, "prefix int, n bigint, keys binary, counts binary"), "runs")
-    sizes = runs.groupBy("prefix").agg(F.sum("n")).toArrow()
+    sizes = runs.mapInArrow(_prefix_sizes, "latest int, prefixes array<int>, n array<bigint>")
+    sizes = sizes.groupBy("latest").applyInArrow(_sum_sizes, "prefix int, n bigint").toArrow()
     deal = _Deal(*(c.to_pylist() for c in sizes.columns), n)
     model = runs.mapInArrow(_dealt(deal), "kind int, part int, copy int, keys binary, counts binary")
     upper = model.filter("copy = 0").groupBy("part").applyInArrow(_upper_sums, "node bigint, zeros double, ones double, weight double")
