@@ -92,6 +92,24 @@ def test_blocks_of_a_page():
     assert html.blocks("<script>x") == [] and html.blocks("<p " + "'" * 3001 + ">t") != []
 
 
+def test_names_of_wrappers_do_not_hide_an_article():
+    article = "<article><p>Text</p></article>"
+    for start in (
+        '<body class="no-sidebar">',
+        '<html class="comments"><body class="one-sidebar sidebar-first">',
+        '<body><div id="content" class="has-sidebar">',
+        '<body><div class="comments-open">',
+        '<body><div class="sidebar-left"><div class="related">',
+        "<body><form>",
+        '<body><main id="comments">',
+        '<body><div class="comments"><main>',
+    ):
+        assert html.blocks(f"{start}<h1>Head</h1>{article}")[-1] == ("Text", html.ARTICLE), start
+    assert html.blocks(f'<div class="sidebar-left"><h1>Head</h1>{article}</div>') == [("Head", html.OPEN), ("Text", html.ARTICLE)]
+    for start in ('<div class="comments-open"><div id="comments">', '<ol class="comment-list"><li>', '<div class="related-posts">', "<aside>"):
+        assert html.blocks(f"{article}{start}<article>Other</article>") == [("Text", html.ARTICLE), ("Other", html.ASIDE)], start
+
+
 def test_differences_decide_unmarked_blocks(spark):
     plain = "<body><div>Name of the site</div><p>{}</p><div>Last line</div>"
     rows = [

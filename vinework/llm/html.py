@@ -7,7 +7,7 @@ import re
 
 # A block's place: inside an article, inside something that never is one, or neither.
 ARTICLE, OPEN, ASIDE = 2, 1, 0
-_LOOSE = -1  # aside, but an article in it is more likely one after an unclosed element
+_LOOSE = -1  # aside, but an article in it is one: after an unclosed element, or in a wrapper that is named after a part
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -32,98 +32,155 @@ ASIDE_WORDS = frozenset(
     "navigation newsletter notice notices notification pagination pager popup promo promoted recommended related respond share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar widget widgets".split()
 )
-STRICT_WORDS = frozenset("comment comments disqus footer recommended related respond sidebar".split())
+COMMENT_WORDS = frozenset("comment comments disqus respond".split())
+# Lists of other articles, if the page has its own elsewhere.
+LIST_WORDS = frozenset("recommended related".split())
+LISTS = frozenset("aside footer dialog".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
+# A name with one of these tells the state of a wrapper: "no-sidebar", "comments-open".
+STATE_WORDS = frozenset("has no with without and open closed enabled disabled".split())
 ARTICLE_WORDS = frozenset("articlebody".split())
+WHOLE = frozenset("html body main article".split())  # their class and id names say nothing about their place
 
+# What an element's marks say.
+_MAIN, _IN_ARTICLE, _TAG_ASIDE, _WORD_ASIDE, _TAG_LIST, _WORD_LIST, _COMMENT, _TAG_HEADER, _WORD_HEADER = (1 << i for i in range(9))
+_WORDS = _WORD_ASIDE | _WORD_LIST | _COMMENT | _WORD_HEADER
 
-def _marks(name: str, attrs: str) -> tuple[bool, bool, bool, bool]:
-    """Whether an element is an article, never article text, strictly so, or a header."""
-    article, aside, header = name in ("article", "main"), name in ASIDES, name == "header"
-    strict = name in ("aside", "footer", "dialog", "form")
+
+def _marks(name: str, attrs: str) -> int:
+    found = (_MAIN | _IN_ARTICLE) * (name == "main") | _IN_ARTICLE * (name == "article")
+    found |= _TAG_ASIDE * (name in ASIDES) | _TAG_LIST * (name in LISTS) | _TAG_HEADER * (name == "header")
     if attrs.strip(" /\n\t"):
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
-                words = {w.lower() for w in _NAME_PART.findall(value)}
-                aside |= bool(words & ASIDE_WORDS)
-                strict |= bool(words & STRICT_WORDS)
-                header |= bool(words & HEADER_WORDS)
+                for token in value.split():
+                    words = {w.lower() for w in _NAME_PART.findall(token)}
+                    if not words & STATE_WORDS:
+                        found |= _WORD_ASIDE * bool(words & ASIDE_WORDS) | _WORD_LIST * bool(words & LIST_WORDS)
+                        found |= _COMMENT * bool(words & COMMENT_WORDS) | _WORD_HEADER * bool(words & HEADER_WORDS)
             elif key == "role":
-                aside |= value.lower() in ASIDE_ROLES
-                article |= value.lower() in ("main", "article")
+                found |= _TAG_ASIDE * (value.lower() in ASIDE_ROLES)
+                found |= (_MAIN | _IN_ARTICLE) * (value.lower() == "main") | _IN_ARTICLE * (value.lower() == "article")
             elif key == "itemprop":
-                article |= value.lower() in ARTICLE_WORDS
+                found |= _IN_ARTICLE * (value.lower() in ARTICLE_WORDS)
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-                aside = True
-    return article, aside, strict, header
+                found |= _TAG_ASIDE
+    return found & ~_WORDS if name in WHOLE or found & _IN_ARTICLE else found
 
 
-def blocks(page: str) -> list[tuple[str, int]]:
-    """(text, place) of every block in page order; character references decoded, white space single, empty blocks left out."""
-    out: list[tuple[str, int]] = []
-    stack: list[tuple[str, int]] = []
-    place, parts, at = OPEN, [], 0
+def _places(parents: list[int], marks: list[int]) -> list[int]:
+    """Place of every element; parents come before their children, the first is the page.
+
+    Class and id names do not count on what holds an article or a main element,
+    unless the article is in a comment section, or in a list of other articles
+    while the page has its own elsewhere. A main element always counts.
+    """
+    marks, holds = list(marks), [0] * len(marks)
+    articles = [i for i, m in enumerate(marks) if m & _IN_ARTICLE]
+    for i in articles:
+        if marks[i] & _MAIN:
+            at = parents[i]
+            while at >= 0 and not holds[at] & _MAIN:
+                holds[at] |= _MAIN
+                marks[at] &= ~(_WORDS | _TAG_LIST)
+                at = parents[at]
+    if articles:
+        above = [0] * len(marks)  # comment sections and lists around
+        for i in range(1, len(marks)):
+            above[i] = above[parents[i]] | marks[parents[i]] & (_COMMENT | _WORD_LIST | _TAG_LIST)
+        own = any(not above[i] for i in articles)
+        for i in articles:
+            if not above[i] & _COMMENT:
+                at = parents[i]
+                while at >= 0 and not holds[at] & _IN_ARTICLE:
+                    holds[at] |= _IN_ARTICLE
+                    at = parents[at]
+    else:
+        own = False
+    places = [OPEN] * len(marks)
+    for i in range(1, len(marks)):
+        mark, place = marks[i], places[parents[i]]
+        if not own:
+            mark &= ~_TAG_LIST
+        if holds[i] and not (own and mark & _WORD_LIST):
+            mark &= ~_WORDS
+        if mark & (_TAG_ASIDE | _WORD_ASIDE) or (mark & (_TAG_HEADER | _WORD_HEADER) and place != ARTICLE):
+            firm = place == ASIDE or mark & (_COMMENT | _WORD_LIST | _TAG_LIST)
+            places[i] = ASIDE if firm else _LOOSE
+        elif mark & _IN_ARTICLE and place != ASIDE:
+            places[i] = ARTICLE
+        else:
+            places[i] = place
+    return places
 
-    def flush() -> None:
-        if parts:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
-            if text:
-                out.append((text, max(place, ASIDE)))
-            parts.clear()
 
+def blocks(page: str) -> list[tuple[str, int]]:
+    """(text, place) of every block in page order; character references decoded, white space single, empty blocks left out."""
+    parents, marks = [-1], [0]
+    stack: list[tuple[str, int]] = [("", 0)]
+    parts: list[tuple[int, str]] = []  # element and text; an element of -1 ends a block
+    at = 0
     while at < len(page):
         tag = _TAG.search(page, at)
         if tag is None:
-            parts.append(page[at:])
+            parts.append((stack[-1][1], page[at:]))
             break
         if tag.start() > at:
-            parts.append(page[at : tag.start()])
+            parts.append((stack[-1][1], page[at : tag.start()]))
         at = tag.end()
         name = (tag["name"] or tag["name2"] or "").lower()
         if not name:
             continue
         if tag["end"] or tag["end2"]:
-            if name in INLINE:
-                if stack and stack[-1][0] == name:
-                    place = _closed(stack, name, place, flush)
-                continue
-            flush()
-            place = _closed(stack, name, place, flush)
+            if name not in INLINE:
+                parts.append((-1, ""))
+                _close(stack, name)
+            elif stack[-1][0] == name:
+                del stack[-1]
             continue
         if name in UNSEEN:
             end = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
         if name == "br":
-            parts.append(" ")
+            parts.append((stack[-1][1], " "))
         if name not in INLINE:
-            flush()
+            parts.append((-1, ""))
         if name in VOID or (tag["attrs"] or "").endswith("/"):
             continue
-        if name == "p" and stack and stack[-1][0] == "p":
-            place = _closed(stack, "p", place, flush)
-        article, aside, strict, header = _marks(name, tag["attrs"] or "")
-        new = place
-        if aside or (header and place != ARTICLE):
-            new = ASIDE if strict or place == ASIDE else _LOOSE
-        elif article and place != ASIDE:
-            new = ARTICLE
-        if new != place and name in INLINE:
-            flush()
-        if new != place or name not in INLINE:
-            stack.append((name, place))
-            place = new
-    flush()
+        if name == "p" and stack[-1][0] == "p":
+            del stack[-1]
+        mark = _marks(name, tag["attrs"] or "")
+        if mark or name not in INLINE:
+            stack.append((name, len(parents)))
+            parts.append((len(parents), ""))
+            parents.append(stack[-2][1])
+            marks.append(mark)
+    return _blocks(parts, _places(parents, marks))
+
+
+def _blocks(parts: list[tuple[int, str]], places: list[int]) -> list[tuple[str, int]]:
+    """Runs of texts of one place, cut where blocks end."""
+    out: list[tuple[str, int]] = []
+    texts: list[str] = []
+    place = OPEN
+    for element, text in [*parts, (-1, "")]:
+        if texts and (element < 0 or places[element] != place):
+            joined = _SPACE.sub(" ", html.unescape("".join(texts))).strip()
+            if joined:
+                out.append((joined, max(place, ASIDE)))
+            texts.clear()
+        if element >= 0:
+            place = places[element]
+            if text:
+                texts.append(text)
     return out
 
 
-def _closed(stack: list[tuple[str, int]], name: str, place: int, flush) -> int:
-    """The place after the end of an element; ends without a beginning are ignored."""
-    for i in range(len(stack) - 1, -1, -1):
+def _close(stack: list[tuple[str, int]], name: str) -> None:
+    """End an element and those in it; ends without a beginning are ignored."""
+    for i in range(len(stack) - 1, 0, -1):
         if stack[i][0] == name:
-            flush()
-            place = stack[i][1]
             del stack[i:]
             break
-    return place
