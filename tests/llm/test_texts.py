@@ -110,6 +110,25 @@ def test_names_of_wrappers_do_not_hide_an_article():
         assert html.blocks(f"{article}{start}<article>Other</article>") == [("Text", html.ARTICLE), ("Other", html.ASIDE)], start
 
 
+def test_unclosed_and_empty_elements_cut_nothing_else():
+    article, both = "<article><p>one</p><p>two</p></article>", [("one", html.ARTICLE), ("two", html.ARTICLE)]
+    for start in (
+        "<head><title>T</title><body>",
+        "<html><head><meta charset=u><link rel=x>",
+        "<head><noscript><img src=x><body>",
+        '<svg width="1"/>',
+        "<svg><path/>",
+        "<math/>",
+        *(f"<div><{name}></div>" for name in ("object", "canvas", "select", "noscript", "audio")),
+    ):
+        assert html.blocks(start + article) == both, start
+    assert html.blocks("<article><p>a<object data=x><p>b</p></article><p>c") == [("a", html.ARTICLE), ("c", html.OPEN)]
+    assert html.blocks("<p>a<object>f<p>g</object>b<svg><text>n</text></svg>c") == [("abc", html.OPEN)]
+    formula = "<math><semantics><mi>a</mi><mo>+</mo><mi>b</mi><annotation>TeX</annotation></semantics></math>"
+    assert html.blocks(f"<article><p>x {formula} y</p></article>") == [("x a+b y", html.ARTICLE)]
+    assert html.blocks("<p>x<style>p") == html.blocks("<p>x<textarea><p>y") == [("x", html.OPEN)]
+
+
 def test_differences_decide_unmarked_blocks(spark):
     plain = "<body><div>Name of the site</div><p>{}</p><div>Last line</div>"
     rows = [

@@ -7,6 +7,7 @@ import re
 
 # A block's place: inside an article, inside something that never is one, or neither.
 ARTICLE, OPEN, ASIDE = 2, 1, 0
+_UNSEEN = -2  # not shown
 _LOOSE = -1  # aside, but an article in it is one: after an unclosed element, or in a wrapper that is named after a part
 
 _TAG = re.compile(
@@ -20,10 +21,22 @@ _SPACE = re.compile(r"\s+")
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style template noscript iframe object svg math head title textarea select canvas audio video".split())
+# Text up to their end tag, whatever it looks like.
+RAW = frozenset("script style iframe noembed noframes textarea title xmp".split())
+UNSEEN = frozenset("template noscript object svg head select canvas audio video annotation annotation-xml".split())
+# What may stand in a head whose end tag is left out.
+HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
+FOREIGN = frozenset("svg math".split())
+# Elements of svg and math that hold HTML, and HTML elements that end an svg or math elsewhere.
+HOLDERS = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset(
+    "article aside b big blockquote body br center code dd div dl dt em embed footer form h1 h2 h3 h4 h5 h6 head header hr i img li listing main menu meta nav nobr ol p "
+    "pre ruby s section small span strike strong sub sup table tt u ul var".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split()
 )
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 ASIDES = frozenset("nav footer aside form dialog menu button".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 # Words of class and id names that mark what is no article text.
@@ -69,7 +82,7 @@ def _marks(name: str, attrs: str) -> int:
     return found & ~_WORDS if name in WHOLE or found & _IN_ARTICLE else found
 
 
-def _places(parents: list[int], marks: list[int]) -> list[int]:
+def _places(parents: list[int], marks: list[int], hidden: list[bool]) -> list[int]:
     """Place of every element; parents come before their children, the first is the page.
 
     Class and id names do not count on what holds an article or a main element,
@@ -77,7 +90,7 @@ def _places(parents: list[int], marks: list[int]) -> list[int]:
     while the page has its own elsewhere. A main element always counts.
     """
     marks, holds = list(marks), [0] * len(marks)
-    articles = [i for i, m in enumerate(marks) if m & _IN_ARTICLE]
+    articles = [i for i, m in enumerate(marks) if m & _IN_ARTICLE and not hidden[i]]
     for i in articles:
         if marks[i] & _MAIN:
             at = parents[i]
@@ -101,6 +114,9 @@ def _places(parents: list[int], marks: list[int]) -> list[int]:
     places = [OPEN] * len(marks)
     for i in range(1, len(marks)):
         mark, place = marks[i], places[parents[i]]
+        if hidden[i]:
+            places[i] = _UNSEEN
+            continue
         if not own:
             mark &= ~_TAG_LIST
         if holds[i] and not (own and mark & _WORD_LIST):
@@ -117,55 +133,84 @@ def _places(parents: list[int], marks: list[int]) -> list[int]:
 
 def blocks(page: str) -> list[tuple[str, int]]:
     """(text, place) of every block in page order; character references decoded, white space single, empty blocks left out."""
-    parents, marks = [-1], [0]
+    parents, marks, hidden = [-1], [0], [False]
     stack: list[tuple[str, int]] = [("", 0)]
     parts: list[tuple[int, str]] = []  # element and text; an element of -1 ends a block
-    at = 0
+    at = foreign = 0  # foreign: place in the stack of the outermost svg or math that is open, 0 if none is
     while at < len(page):
         tag = _TAG.search(page, at)
         if tag is None:
+            if stack[-1][0] == "head":
+                del stack[-1]
             parts.append((stack[-1][1], page[at:]))
             break
         if tag.start() > at:
+            if stack[-1][0] == "head" and not page[at : tag.start()].isspace():
+                del stack[-1]
             parts.append((stack[-1][1], page[at : tag.start()]))
         at = tag.end()
         name = (tag["name"] or tag["name2"] or "").lower()
         if not name:
             continue
+        if foreign >= len(stack):
+            foreign = 0
         if tag["end"] or tag["end2"]:
-            if name not in INLINE:
-                parts.append((-1, ""))
-                _close(stack, name)
-            elif stack[-1][0] == name:
-                del stack[-1]
+            if name in INLINE or foreign and name not in BREAKOUT and _inside(stack, name, foreign):
+                if stack[-1][0] == name or name not in INLINE:
+                    _close(stack, name)
+            else:
+                at_end = _close(stack, name)
+                if not hidden[at_end] and name not in UNSEEN and name not in FOREIGN:
+                    parts.append((-1, ""))
             continue
-        if name in UNSEEN:
-            end = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+        slash = (tag["attrs"] or "").endswith("/")
+        if foreign and name in BREAKOUT and stack[-1][0] not in HOLDERS:
+            if not any(n in HOLDERS for n, _ in stack[foreign:]):
+                del stack[foreign:]
+                foreign = 0
+        if stack[-1][0] == "head" and name not in HEAD:
+            del stack[-1]
+        if name == "body":
+            # All that is open before a body is a head left open.
+            if any(n == "body" for n, _ in stack):
+                continue
+            del stack[1 + (len(stack) > 1 and stack[1][0] == "html") :]
+        if name in RAW and not (foreign and (slash or name == "title")):
+            end = _RAW_END[name].search(page, at)
+            at = end.end() if end else at if slash and name not in ("script", "style") else len(page)
             continue
         if name == "br":
             parts.append((stack[-1][1], " "))
-        if name not in INLINE:
+        seen = name not in UNSEEN
+        if seen and name not in INLINE and name not in FOREIGN and not foreign and not hidden[stack[-1][1]]:
             parts.append((-1, ""))
-        if name in VOID or (tag["attrs"] or "").endswith("/"):
+        if name in VOID or slash:
             continue
         if name == "p" and stack[-1][0] == "p":
             del stack[-1]
         mark = _marks(name, tag["attrs"] or "")
         if mark or name not in INLINE:
+            foreign = foreign or len(stack) * (name in FOREIGN)
             stack.append((name, len(parents)))
             parts.append((len(parents), ""))
             parents.append(stack[-2][1])
             marks.append(mark)
-    return _blocks(parts, _places(parents, marks))
+            hidden.append(hidden[parents[-1]] or not seen)
+    return _blocks(parts, _places(parents, marks, hidden))
+
+
+def _inside(stack: list[tuple[str, int]], name: str, at: int) -> bool:
+    return any(n == name for n, _ in stack[at:])
 
 
 def _blocks(parts: list[tuple[int, str]], places: list[int]) -> list[tuple[str, int]]:
-    """Runs of texts of one place, cut where blocks end."""
+    """Runs of texts of one place, cut where blocks end; what is not shown cuts nothing."""
     out: list[tuple[str, int]] = []
     texts: list[str] = []
     place = OPEN
     for element, text in [*parts, (-1, "")]:
+        if element >= 0 and places[element] == _UNSEEN:
+            continue
         if texts and (element < 0 or places[element] != place):
             joined = _SPACE.sub(" ", html.unescape("".join(texts))).strip()
             if joined:
@@ -178,9 +223,11 @@ def _blocks(parts: list[tuple[int, str]], places: list[int]) -> list[tuple[str,
     return out
 
 
-def _close(stack: list[tuple[str, int]], name: str) -> None:
-    """End an element and those in it; ends without a beginning are ignored."""
+def _close(stack: list[tuple[str, int]], name: str) -> int:
+    """End an element and those in it, and return it; ends without a beginning are ignored and give the open element."""
     for i in range(len(stack) - 1, 0, -1):
         if stack[i][0] == name:
+            element = stack[i][1]
             del stack[i:]
-            break
+            return element
+    return stack[-1][1]
