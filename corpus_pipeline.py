@@ -15,7 +15,7 @@ from vinework.runtime import cut_lineage
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be found go."""
+    """Documents without letters go, whatever languages are known."""
     return langid.drop_unidentified(docs, langid.learn(docs))
 
 

@@ -119,3 +119,12 @@ def test_stages_on_odd_rows(spark, odd, sf):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf).count() <= docs.count()
         assert stage(spark, docs.limit(0), sf).count() == 0
+
+
+def test_languages_stage_without_known_languages(spark, odd, sf):
+    """Null languages, or one named like the label of unknown ones, cost no document with letters."""
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    for lang in (None, "und"):
+        kept = corpus_pipeline.identify_languages(spark, docs.withColumn("lang", F.lit(lang).cast("string")), sf)
+        expected = sorted(str((r.doc_id, r.text)) for r in docs.collect() if any(c.isalpha() for c in r.text or ""))
+        assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == expected

@@ -176,6 +176,11 @@ class _Products:
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
     """All columns of ``docs``, ``_li_lang`` and ``_li_score``: the best cosine's share of all positive cosines."""
+    return _identified(docs, model, text_col).drop("_li_letters")
+
+
+def _identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str) -> DataFrame:
+    """``identify`` and ``_li_letters``: whether the text has letters."""
     langs, profiles = model
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +188,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
         names = np.array([*langs, UNKNOWN], object)
         for batch in batches:
             data, offsets = kernels.buffers(batch.column(batch.schema.names.index(text_col)))
-            best, score = [], []
+            best, score, letters = [], [], []
             for _, _, part, cuts in kernels.pieces(data, offsets):
                 keys, index, first = _trigrams(part, cuts)
                 values = products.of(keys)
@@ -191,17 +196,20 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                 positive = np.maximum(near, 0)
                 top, total = near.argmax(axis=0), positive.sum(axis=0)
                 share = positive.max(axis=0) / np.where(total > 0, total, 1)
-                none = (np.diff(first) == 0) | (not langs)
+                some = np.diff(first) > 0
+                none = ~some | (not langs)
+                letters.append(some)
                 best.append(np.where(none, len(langs), top))
                 score.append(np.where(none, 0.0, share))
             found = np.concatenate(best) if best else np.zeros(0, int)
             extra = [pa.array(names[found], pa.string()), pa.array(np.concatenate(score) if score else np.zeros(0))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "_li_lang", "_li_score"])
+            extra.append(pa.array(np.concatenate(letters) if letters else np.zeros(0, bool)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "_li_lang", "_li_score", "_li_letters"])
 
-    schema = T.StructType([*docs.schema.fields]).add("_li_lang", "string").add("_li_score", "double")
+    schema = T.StructType([*docs.schema.fields]).add("_li_lang", "string").add("_li_score", "double").add("_li_letters", "boolean")
     return docs.mapInArrow(add, schema)
 
 
 def drop_unidentified(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
-    """``docs`` without those in which no language can be found."""
-    return identify(docs, model).filter(F.col("_li_lang") != UNKNOWN).select(*docs.columns)
+    """``docs`` without those that have no letters; where nothing was learned, all others stay too."""
+    return _identified(docs, model, "text").filter("_li_letters").select(*docs.columns)
