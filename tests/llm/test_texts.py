@@ -243,3 +243,38 @@ def test_scores_without_training_texts(spark, odd):
 def test_large_prefixes_get_copies():
     deal = ctw._Deal([5, 6, 7], [100, 3, 2], 4)
     assert deal.copies[deal.group[5]] == 4 and deal.copies[deal.group[6]] == 1
+
+
+def test_licence_files_and_headers_of_real_projects(spark):
+    """Whole licence files, standard headers in comments, and their directories."""
+    gnu = """/* This {what} is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU {name}
+ * as published by the Free Software Foundation; either version {version} of the License, or
+ * (at your option) any later version.
+ *
+ * This {what} is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU {name} for more details.
+ */
+
+int main;
+"""
+    headers = {
+        "GPL-2.0": gnu.format(what="program", name="General Public License", version="2"),
+        "GPL-3.0": gnu.format(what="program", name="General Public License", version="3"),
+        "AGPL-3.0": gnu.format(what="program", name="Affero General Public License", version="3"),
+        "LGPL-2.1": gnu.format(what="library", name="Lesser General Public License", version="2.1"),
+        "LGPL-3.0": gnu.format(what="library", name="Lesser General Public License", version="3"),
+    }
+    texts = dict(licences.whole_texts())
+    owner = "Copyright (c) 2020, Some Owner\nAll rights reserved.\n\n"
+    files = [(f"{name}/LICENSE", owner * name.startswith("BSD") + text) for name, text in texts.items()]
+    files += [(f"{name}/x.c", "int x;") for name in texts]
+    files += [(f"h/{name}.c", text) for name, text in headers.items()]
+    files += [(f"b/{name}.c", "\n".join(f"# {line}" for line in texts[name].split("\n")) + "\n\nx = 1") for name in licences.SHORT_TEXTS]
+    found = {r.path: r for r in licences.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    for name in texts:
+        assert (found[f"{name}/LICENSE"]._lc_licence, found[f"{name}/x.c"]._lc_licence) == (name, name)
+    assert {name: found[f"h/{name}.c"]._lc_licence for name in headers} == {name: name for name in headers}
+    assert {name: found[f"b/{name}.c"]._lc_licence for name in licences.SHORT_TEXTS} == {name: name for name in licences.SHORT_TEXTS}

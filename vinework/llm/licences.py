@@ -7,6 +7,11 @@ and a word that no template has counts as the rarest. A bound on the cosine,
 from the words that a unit shares with any template and the number of others,
 leaves few units for the exact comparison, and none is lost.
 
+Templates are statements, standard headers and short licences; a file as a whole
+is also compared with whole licence texts, by their own words. What such a file
+or a header of several lines holds, as the line "All rights reserved" of a BSD
+licence, is a part of it and no licence of its own.
+
 A file whose whole text is a licence, or that is named like one and holds one,
 licenses its directory. A file without a licence of its own inherits that of
 its nearest ancestor directory: distinct directories are joined with the
@@ -20,7 +25,9 @@ columns are untouched.
 
 from __future__ import annotations
 
+import importlib.resources
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,6 +41,7 @@ from vinework.llm import kernels
 from vinework.runtime import cut_lineage
 
 LEAST = 0.7  # cosine of a licence
+TEXT_LEAST = 0.85  # cosine of a file with a whole licence text, and of a header that decides on what it holds
 FILE_NAMES = r"(?i)^(un)?licen[cs]e|^copying|^notice"
 
 # Usual statements of licences, and the beginnings of their texts.
@@ -42,7 +50,6 @@ TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -60,6 +67,89 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
+# Standard headers: names of the GNU licences, and the first paragraphs of the others.
+_GNU = (
+    ("AGPL-3.0", "Affero General Public License", "3"),
+    ("GPL-2.0", "General Public License", "2"),
+    ("GPL-3.0", "General Public License", "3"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "Lesser General Public License", "3"),
+)
+_LATER = "either version {} of the License, or (at your option) any later version."
+_GNU_GRANTS = (
+    "{what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, " + _LATER,
+    "{what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; " + _LATER,
+    "{what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; version {}.",
+    "{what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} version {} as published by the Free Software Foundation.",
+)
+_GNU_WARRANTY = (
+    "{what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. You should have received a copy of the GNU {name} along with "
+    "{what}. If not, see <https://www.gnu.org/licenses/>."
+)
+_OTHER_HEADERS = (
+    (
+        "Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the "
+        "License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is "
+        "distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+        "permissions and limitations under the License.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one "
+        "at https://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    (
+        "EPL-1.0",
+        "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this "
+        "distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    ),
+)
+TEXTS = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")
+SHORT_TEXTS = ("BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "Unlicense")
+_AFFERO_13 = """  13. Remote Network Interaction; Use with the GNU General Public License.
+
+  Notwithstanding any other provision of this License, if you modify the Program, your modified version must prominently offer all users
+interacting with it remotely through a computer network (if your version supports such interaction) an opportunity to receive the Corresponding
+Source of your version by providing access to the Corresponding Source from a network server at no charge, through some standard or customary
+means of facilitating copying of software.
+
+"""
+
+
+def _text(name: str) -> str:
+    return (importlib.resources.files(__package__) / "texts" / f"{name}.txt").read_text(encoding="utf-8")
+
+
+def headers() -> list[tuple[str, str]]:
+    """Standard headers and short licences, whole and by the paragraph that grants."""
+    out = list(_OTHER_HEADERS)
+    for licence, name, version in _GNU:
+        for what in ("This program", "This library") if name.startswith("Lesser") else ("This program",):
+            grants = [g.format(version, what=what, name=name) for g in _GNU_GRANTS]
+            warranty = _GNU_WARRANTY.format(what=what, name=name)
+            out += [(licence, g) for g in grants] + [(licence, f"{g} {warranty}") for g in grants]
+    for name in SHORT_TEXTS:
+        out.append((name, _text(name)))
+    # Conditions of BSD licences are shared, so only those that grant by themselves stand alone.
+    out += [(name, next(p for p in _text(name).split("\n\n") if p.startswith(("Permission", "Anyone")))) for name in ("ISC", "MIT", "Unlicense")]
+    return out
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """Whole licence texts; that of the AGPL is the GPL's with its name and its section 13."""
+    out = [(name, _text(name)) for name in TEXTS]
+    affero = re.sub(r"(?i)\bGNU (?=General Public License)", "GNU Affero ", _text("GPL-3.0"))
+    affero = re.sub(r"(?s)  13\. Use with.*?(?=  14\. )", lambda _: _AFFERO_13, affero)
+    return [*out, ("AGPL-3.0", affero)]
+
+
 HIT = T.StructType().add("licence", "string").add("score", "double").add("start", "long").add("stop", "long")
 _HIT_TYPE = pa.list_(pa.struct([("licence", pa.string()), ("score", pa.float64()), ("start", pa.int64()), ("stop", pa.int64())]))
 
@@ -108,6 +198,11 @@ class _Templates:
         out[at[same]] = place[same]
         return out
 
+    def weighted(self, templates, lines: int, frequency: dict[int, int]) -> _Templates:
+        """Those of ``templates`` whose words are all among these, by the frequencies of these."""
+        plain = _Templates(templates)
+        return _Templates(templates, lines, {i: frequency.get(int(w), 0) for i, w in enumerate(np.searchsorted(self.keys, plain.keys))})
+
     def best(self, found: np.ndarray, hashes: np.ndarray) -> tuple[str, float]:
         """Licence and cosine of one unit."""
         known = np.bincount(found[found >= 0], minlength=len(self.idf)) * self.idf
@@ -163,7 +258,7 @@ def _units(raw: bytes) -> Iterator[tuple[int, int]]:
         yield 0, len(raw)
 
 
-def _scan(model: _Templates, text_col: str, least: float):
+def _scan(model: _Templates, texts: _Templates, text_col: str, least: float):
     def bound(known: np.ndarray, others: np.ndarray) -> np.ndarray:
         """No cosine of a unit is larger, given the idf of its known words and the number of the others."""
         return known / np.sqrt(np.maximum(known**2 + others * model.rarest**2, 1e-300))
@@ -195,8 +290,23 @@ def _scan(model: _Templates, text_col: str, least: float):
                 if b"\n" in raw:
                     for a, b in _units(raw):
                         judge(row, int(cuts[row]) + a, int(cuts[row]) + b)
+                    out[row] = largest(out[row], raw)
+        # A file that is a whole licence text has that licence only.
+        found = texts.find(hashes)
+        known = np.concatenate([[0.0], np.cumsum(np.where(found >= 0, texts.idf[found], 0))])[first]
+        others = np.concatenate([[0], np.cumsum(found < 0)])[first]
+        for row in np.flatnonzero((np.diff(first) > 0) & (bound(np.diff(known), np.diff(others)) >= TEXT_LEAST)).tolist():
+            name, score = texts.best(found[first[row] : first[row + 1]], hashes[first[row] : first[row + 1]])
+            if score >= TEXT_LEAST:
+                out[row] = [{"licence": name, "score": score, "start": 0, "stop": int(cuts[row + 1] - cuts[row])}]
         return out
 
+    def largest(found: list[dict], raw: bytes) -> list[dict]:
+        """Hits without those inside a larger one of several lines that decides."""
+        large = [h for h in found if h["score"] >= TEXT_LEAST and b"\n" in raw[h["start"] : h["stop"]].strip()]
+        inner = lambda h, o: o is not h and o["start"] <= h["start"] and h["stop"] <= o["stop"] and o["stop"] - o["start"] > h["stop"] - h["start"]
+        return [h for h in found if not any(inner(h, o) for o in large)]
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = kernels.buffers(batch.column(batch.schema.names.index(text_col)))
@@ -218,13 +328,16 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", templ
     ``_lc_origin`` is ``own``, ``inherited`` or null; ``_lc_from`` is the
     directory whose licence is inherited.
     """
-    texts, plain = files.select(text_col), _Templates(templates)
+    whole = whole_texts()
+    templates = [*templates, *headers()]
+    texts, plain = files.select(text_col), _Templates([*templates, *whole])
     counts = texts.mapInArrow(_frequencies(plain), "word int, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
     frequency = {r["word"]: r["n"] for r in counts}
-    model = _Templates(templates, frequency.pop(-1, 0), frequency)
+    lines = frequency.pop(-1, 0)
+    model, large = plain.weighted(templates, lines, frequency), plain.weighted(whole, lines, frequency)
     own_columns = [c for c in files.columns if c != text_col]
     schema = T.StructType([f for f in files.schema.fields if f.name != text_col]).add("_lc_hits", T.ArrayType(HIT)).add("_lc_whole", "boolean")
-    found = cut_lineage(files.mapInArrow(_scan(model, text_col, least), schema), "licences")
+    found = cut_lineage(files.mapInArrow(_scan(model, large, text_col, least), schema), "licences")
     best = F.aggregate(
         "_lc_hits",
         F.lit(None).cast(HIT),
