@@ -169,3 +169,58 @@ def subsequence(a, b):
         for j, y in enumerate(b):
             table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
     return table[-1][-1]
+
+
+def shingle_set(text, width=3):
+    words = raw(text).translate(LOWER).split()
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + width]) for i in range(max(len(words) - width + 1, 1)))
+
+
+def set_components(docs, percent=85):
+    """Rows (id, set size, smallest id) of (id, text) rows, by comparing all pairs of distinct sets."""
+    sets = [shingle_set(t) for _, t in docs]
+    distinct = sorted({s for s in sets if s}, key=lambda s: (len(s), sorted(s)))
+    parent = {s: s for s in distinct}
+
+    def root(x):
+        while parent[x] is not x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(distinct):
+        for b in distinct[i + 1 :]:
+            if 100 * len(a) < percent * len(b):
+                break
+            shared = len(a & b)
+            if 100 * shared >= percent * (len(a) + len(b) - shared):
+                parent[root(b)] = root(a)
+    least = {}
+    for (i, _), s in zip(docs, sets, strict=True):
+        if s and i is not None:
+            least[root(s)] = min(i, least.get(root(s), i))
+    return [(i, len(s), least.get(root(s)) if s else i) for (i, _), s in zip(docs, sets, strict=True)]
+
+
+def clusters(rows, k=40, rounds=5, scale=256):
+    """Rows (id, cluster, distance, cluster inertia, inertia, centroid digest) of (id, vector) rows, in Python integers."""
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in rows]
+    order = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"2:{r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [x for _, x in order[:k]]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = {}
+        for _, x in kept:
+            members.setdefault(nearest(x)[1], []).append(x)
+        for j, xs in members.items():
+            centroids[j] = [sum(column) // len(xs) for column in zip(*xs, strict=True)]
+    found = [(i, *nearest(x)[::-1]) for i, x in kept]
+    per = Counter()
+    for _, j, d in found:
+        per[j] += d
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return [(i, j, d, per[j], sum(per.values()), digests[j]) for i, j, d in found]

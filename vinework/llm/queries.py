@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinework.llm import ctw, decontaminate, langid, licences, mixing, pages, simhash, spann, substrings, toxicity
+from vinework.llm import centroids, ctw, decontaminate, langid, licences, minhash, mixing, pages, simhash, spann, substrings, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,6 +161,100 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(
+        "vec_id",
+        F.col("_ce_cluster").alias("cluster"),
+        F.col("_ce_distance").alias("distance"),
+        F.col("_ce_cluster_inertia").alias("cluster_inertia"),
+        F.col("_ce_inertia").alias("inertia"),
+        centroids.digest().alias("centroid_sha256"),
+    )
+
+
+def _op11_sql(k: int, rounds: int, width: int, scale: int) -> str:
+    """The rounds one after the other, over one row per vector and component."""
+    floor = "(sum(x.v) - ((sum(x.v) % count(*)) + count(*)) % count(*)) // count(*)"
+    steps = [f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor({scale} * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {width}
+), x AS (
+  SELECT r, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM kept
+), first AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, x) - 1 AS j, x FROM kept QUALIFY j < {k}
+), c0 AS (
+  SELECT j, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM first
+)"""]
+    for t in range(rounds + 1):
+        steps.append(f""", d{t} AS MATERIALIZED (
+  SELECT r, j, sum((x.v - c.v) * (x.v - c.v))::BIGINT AS d FROM x JOIN c{t} c USING (i) GROUP BY r, j
+), a{t} AS MATERIALIZED (
+  SELECT r, arg_min(j, (d, j)) AS j, min(d) AS d FROM d{t} GROUP BY r
+)""")
+        if t < rounds:
+            steps.append(f""", m{t} AS (
+  SELECT a.j, x.i, ({floor})::BIGINT AS v FROM a{t} a JOIN x USING (r) GROUP BY a.j, x.i
+), c{t + 1} AS MATERIALIZED (
+  SELECT j, i, coalesce(m.v, c.v) AS v FROM c{t} c LEFT JOIN m{t} m USING (j, i)
+)""")
+    steps.append(f""", sums AS (
+  SELECT j, sum(d)::BIGINT AS cluster_inertia FROM a{rounds} GROUP BY j
+), digests AS (
+  SELECT j, sha256(string_agg(v::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY j
+)
+SELECT vec_id, a.j::INT AS cluster, a.d AS distance, cluster_inertia, (SELECT sum(cluster_inertia)::BIGINT FROM sums) AS inertia, centroid_sha256
+FROM kept JOIN a{rounds} a USING (r) JOIN sums USING (j) JOIN digests USING (j)
+""")
+    return "".join(steps)
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.col("doc_id").eqNullSafe(F.col("_mh_id")).alias("kept")
+    return found.select("doc_id", F.col("_mh_size").alias("n_shingles"), F.col("_mh_id").alias("component_id"), kept)
+
+
+OP12_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS an, b.n AS bn, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * c >= 85 * (an + bn - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = whitening.whiten(vectors, whitening.learn(vectors))
+    return found.select(
+        "vec_id",
+        F.col("_wh_component").alias("component"),
+        F.col("_wh_n").alias("n"),
+        # Null where the exact value passes 64 bits; the operator's own column has 38 digits.
+        F.col("_wh_deviation").try_cast("bigint").alias("deviation"),
+        F.col("_wh_value").alias("whitened"),
+        F.col("_wh_explained").alias("explained"),
+        F.col("_wh_identity_error").alias("identity_error"),
+    )
+
+
 QUERIES.update({f.__name__: f for f in (
     op1_simhash,
     op2_decontamination,
@@ -172,5 +266,10 @@ QUERIES.update({f.__name__: f for f in (
     op8_toxicity,
     op9_ann_search,
     op10_lm_scoring,
+    op11_centroid_clustering,
+    op12_minhash,
+    op13_whitening,
 )})
 ORACLES["op4_source_mixing"] = OP4_SQL
+ORACLES["op11_centroid_clustering"] = _op11_sql(centroids.CLUSTERS, centroids.ROUNDS, centroids.WIDTH, centroids.SCALE)
+ORACLES["op12_minhash"] = OP12_SQL
