@@ -8,7 +8,7 @@ the signatures the posterior distribution of the similarity, given how many
 agree, tells whether the similarity can still reach the threshold; the pair is
 given up when its probability falls below ``MISS``. What remains connected is
 brought together, each class once, and links are confirmed by intersecting the
-full sets.
+full sets. Until then only signatures move; texts move once, by their digests.
 
 A pair of exactly the threshold 0.85 shares no band with probability
 (1 - 0.85^4)^32 = 5e-11.
@@ -88,8 +88,13 @@ def signatures(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return kernels.mix(out)
 
 
+def _text_key(text_col: str):
+    """128 bits that tell texts apart."""
+    return F.unhex(F.substring(F.sha2(text_col, 256), 1, 32))
+
+
 def _marks(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """All columns, and set size, digest of the set, signature bytes and band keys (null for empty sets)."""
+    """All columns but the text, and set size, digest of the set, signature bytes and band keys (null for empty sets)."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,11 +121,12 @@ def _marks(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
                     bands.append(keys[nth[row]].view(np.int64) if some else None)
             sizes = np.concatenate(size) if size else np.zeros(0, np.int64)
             extra = [pa.array(sizes), pa.array(digests, pa.binary()), pa.array(bytes_, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *names])
+            kept = [(c, n) for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != text_col]
+            yield pa.RecordBatch.from_arrays([*(c for c, _ in kept), *extra], [*(n for _, n in kept), *names])
 
     names = ["_mh_size", "_mh_set", "_mh_bytes", "_mh_bands"]
     types = [T.LongType(), T.BinaryType(), T.BinaryType(), T.ArrayType(T.LongType())]
-    schema = T.StructType([*docs.schema.fields, *map(T.StructField, names, types)])
+    schema = T.StructType([*(f for f in docs.schema.fields if f.name != text_col), *map(T.StructField, names, types)])
     return docs.mapInArrow(add, schema)
 
 
@@ -227,27 +233,29 @@ def near_duplicates(
 
     Documents are linked where 100 * |A n B| >= ``percent`` * |A u B|.
     """
-    numbered = docs.withColumn("_mh_row", F.monotonically_increasing_id())
+    # Tables and joins below grow with the documents, so nothing here is sent to all tasks.
+    numbered = docs.withColumn("_mh_row", F.monotonically_increasing_id()).withColumn("_mh_text", _text_key(text_col))
     marked = cut_lineage(_marks(numbered, text_col, shingle), "marked")
     sets = marked.filter("_mh_size > 0").groupBy("_mh_set").agg(F.min("_mh_row").alias("node"), F.min(id_col).alias("least"))
     sets = cut_lineage(sets, "classes")
-    # The text of a class is that of its first row.
-    chosen = marked.join(sets.select(F.col("node").alias("_mh_row")), "_mh_row", "left_semi")
-    classes = chosen.select(F.col("_mh_row").alias("node"), "_mh_bytes", "_mh_bands", F.col(text_col).alias("text"))
-    classes = cut_lineage(classes, "sets")
+    # A class is known by its first row.
+    slim = marked.select(F.col("_mh_row").alias("node"), "_mh_bytes", "_mh_bands", "_mh_text")
+    classes = cut_lineage(slim.join(sets.select("node").hint("merge"), "node", "left_semi"), "signatures")
     found = cut_lineage(_band_links(classes, percent), "candidates")
-    roots = cut_lineage(connected(found).select("node", F.col("root").alias("list")), "candidate-groups")
-    members = cut_lineage(
-        classes.join(roots, "node").select("list", "node", F.octet_length("text").cast("bigint").alias("weight"), "text", "_mh_bytes"), "members"
-    )
+    roots = connected(found).select("node", F.col("root").alias("list"))
+    asked = cut_lineage(classes.drop("_mh_bands").join(roots.hint("merge"), "node"), "candidate-groups")
+    texts = docs.select(_text_key(text_col).alias("_mh_text"), F.col(text_col).alias("text"))
+    # Copies of a text meet its class once more; one of them stays.
+    members = texts.join(asked.hint("merge"), "_mh_text").groupBy("list", "node").agg(F.first("text").alias("text"), F.first("_mh_bytes").alias("_mh_bytes"))
+    members = cut_lineage(members.withColumn("weight", F.octet_length("text").cast("bigint")), "members")
     confirmed = lists.links(members, ["text", "_mh_bytes"], _confirmed(percent, shingle), TASK_BYTES)
     groups = connected(confirmed)
-    rooted = sets.join(groups, "node", "left").select("_mh_set", F.coalesce("root", "node").alias("root"), "least")
+    rooted = sets.join(groups.hint("merge"), "node", "left").select("_mh_set", F.coalesce("root", "node").alias("root"), "least")
     rooted = cut_lineage(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("_mh_id"))
-    labels = cut_lineage(rooted.join(named, "root").select("_mh_set", "_mh_id"), "labels")
+    labels = cut_lineage(rooted.join(named.hint("merge"), "root").select("_mh_set", "_mh_id"), "labels")
     others = [c for c in docs.columns if c != text_col]
-    out = marked.select(*others, "_mh_size", "_mh_set").join(labels, "_mh_set", "left")
+    out = marked.select(*others, "_mh_size", "_mh_set").join(labels.hint("merge"), "_mh_set", "left")
     own = F.when(F.col("_mh_size") > 0, F.col("_mh_id")).otherwise(F.col(id_col)).alias("_mh_id")
     return out.select(*others, "_mh_size", own)
 
@@ -256,6 +264,6 @@ def _band_links(classes: DataFrame, percent: int) -> DataFrame:
     """Links of classes that share a band and that no step of the verification gives up."""
     postings = classes.select("node", F.explode("_mh_bands").alias("list"))
     shared = cut_lineage(postings.groupBy("list").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select("list"), "bands")
-    met = cut_lineage(postings.join(shared, "list", "left_semi"), "postings")
-    members = met.join(classes.select("node", "_mh_bytes"), "node").withColumn("weight", F.lit(1).cast("bigint"))
-    return lists.links(members, ["_mh_bytes"], _candidates(percent), LONG_LIST)
+    met = cut_lineage(postings.join(shared.hint("merge"), "list", "left_semi"), "postings")
+    members = classes.select("node", "_mh_bytes").join(met.hint("merge"), "node").withColumn("weight", F.lit(1).cast("bigint"))
+    return lists.links(members.select("list", "node", "weight", "_mh_bytes"), ["_mh_bytes"], _candidates(percent), LONG_LIST)
