@@ -5,8 +5,14 @@ are folded, and everything else becomes blanks between words. Lexicon entries
 are whole words and beginnings of words; their weights are log odds of the
 documents of either label that hold them. In a word the longest entry counts.
 Exception phrases are entries of weight zero that hide what they contain: words
-that clean documents use, learned, and phrases given by the caller. The summed
-weights, also per word of the text, give the score by a logistic curve.
+and pairs of words that clean documents use, learned, and phrases given by the
+caller. The summed weights, also per word of the text, give the score by a
+logistic curve.
+
+An entry needs ``LEAST_ROWS`` toxic rows, whatever their number. Counts are
+joined and log odds computed in Spark; only entries of weight ``LEAST_WEIGHT``
+and more reach the driver. With at most ``ROWS`` labelled rows, the bound of
+what is learned from, their number is bounded by the vocabulary of these.
 
 Defined results: null and empty texts have the score of a text without matches;
 with one label only, or none, the score is the share of toxic rows (0 if there
@@ -31,9 +37,10 @@ from pyspark.sql import types as T
 from vinework.runtime import cut_lineage
 
 SHORTEST, LONGEST = 4, 8  # letters of a beginning
-SHARE = 0.002  # of the toxic rows must hold an entry
-LEAST_ROWS = 5
+LEAST_ROWS = 5  # toxic ones that hold an entry
+LEAST_CLEAN = 3  # clean rows that hold an exception
 LEAST_WEIGHT = 2.0
+ROWS = 1_000_000  # labelled rows from which a lexicon is learned, at most
 SAMPLE = 200_000  # rows on which the curve is fitted, at most
 
 # Letters that look like Latin ones, and digits and signs used as letters.
@@ -95,31 +102,35 @@ def _features(words: set[str]) -> Iterator[str]:
         yield from {f" {w[:n]}" for w in words if len(w) >= n}
 
 
-def _count_features(wanted: frozenset[str] | None, text_col: int = 0):
-    """Documents of a task that hold each entry."""
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of either label in a task that hold each entry."""
+    held: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+    for batch in batches:
+        for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
+            held[label].update(_features(set(fold(text.as_py() or "").split())))
+            if len(held[label]) > 1 << 19:
+                yield _counts(held[label], label)
+                held[label].clear()
+    for label in (0, 1):
+        yield _counts(held[label], label)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column(text_col):
-                words = set(fold(text.as_py() or "").split())
-                held.update(_features(words) if wanted is None else [f for f in _features(words) if f in wanted])
-                if len(held) > 1 << 19:
-                    yield _counts(held)
-                    held.clear()
-        yield _counts(held)
 
-    return count
+def _counts(held: Counter, label: int) -> pa.RecordBatch:
+    numbers = np.array(list(held.values()), np.int64)
+    arrays = [pa.array(list(held), pa.string()), pa.array(numbers * label), pa.array(numbers * (1 - label))]
+    return pa.RecordBatch.from_arrays(arrays, ["entry", "toxic", "clean"])
+
 
+_COUNTED = "entry string, toxic bigint, clean bigint"
 
-def _counts(held: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["entry", "n"])
 
+def _frequencies(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
-def _frequencies(texts: DataFrame, wanted: frozenset[str] | None, least: float) -> dict[str, int]:
-    """Entries in at least ``least`` documents. With ``least`` a share of the documents, their number doesn't grow with the corpus."""
-    found = texts.mapInArrow(_count_features(wanted), "entry string, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
-    return dict(zip(*(c.to_pylist() for c in found.filter(F.col("n") >= least).toArrow().columns), strict=True))
+
+def _weight(toxic, clean, n1: int, n0: int, log=np.log):
+    """Log odds of an entry."""
+    return log((toxic + 0.5) / (n1 + 1)) - log((clean + 0.5) / (n0 + 1))
 
 
 def _choose(toxic: dict[str, int], clean: dict[str, int], n1: int, n0: int) -> dict[str, float]:
@@ -129,7 +140,7 @@ def _choose(toxic: dict[str, int], clean: dict[str, int], n1: int, n0: int) -> d
     chosen: dict[str, float] = {}
     for entry in by_length:
         a, b = toxic[entry] - taken[entry][0], clean.get(entry, 0) - taken[entry][1]
-        weight = np.log((max(a, 0) + 0.5) / (n1 + 1)) - np.log((max(b, 0) + 0.5) / (n0 + 1))
+        weight = _weight(max(a, 0), max(b, 0), n1, n0)
         if a < LEAST_ROWS or weight < LEAST_WEIGHT:
             continue
         chosen[entry] = float(weight)
@@ -203,52 +214,63 @@ def _fit(sums: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> tuple[float
 
 
 def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", phrases: tuple[str, ...] = PHRASES) -> Lexicon:
-    """A lexicon from all rows with label 0 or 1, and the curve from at most ``SAMPLE`` of them (by a hash of the text)."""
+    """A lexicon from all rows with label 0 or 1, at most ``ROWS``, and the curve from at most ``SAMPLE`` of them (by a hash of the text)."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)")
     rows = cut_lineage(rows, "labelled")
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    rows, n1, n0 = _bounded(rows, ROWS)
     if not n1 or not n0:
         share = 1.0 if n1 else 0.0
         return Lexicon({}, (50.0 if share else -50.0, 0.0, 0.0))
-    toxic_rows, clean_rows = rows.filter("label = 1").select("text"), rows.filter("label = 0").select("text")
-    toxic = _frequencies(toxic_rows, None, max(LEAST_ROWS, SHARE * n1))
-    clean = _frequencies(clean_rows, frozenset(toxic), 1)
-    entries = _choose(toxic, clean, n1, n0)
-    entries |= _exceptions(toxic_rows, clean_rows, entries, n1, n0)
+    counted = _frequencies(rows.mapInArrow(_count_features, _COUNTED))
+    # What longer entries leave of a beginning has no larger weight than all of it.
+    large = counted.filter((F.col("toxic") >= LEAST_ROWS) & (_weight(F.col("toxic"), F.col("clean"), n1, n0, F.log) >= LEAST_WEIGHT))
+    found = {r["entry"]: (r["toxic"], r["clean"]) for r in large.collect()}
+    entries = _choose({e: a for e, (a, _) in found.items()}, {e: b for e, (_, b) in found.items()}, n1, n0)
+    entries |= _exceptions(rows, entries, n1, n0)
     entries |= {fold(p): 0.0 for p in phrases if fold(p).strip()}
-    sample = rows
-    if n1 + n0 > SAMPLE:
-        # A hash below a threshold leaves little more than the sample; only that is ordered.
-        whole = 1 << 30
-        mark = F.pmod(F.xxhash64("text"), F.lit(whole))
-        sample = rows.filter(mark < int(1.2 * SAMPLE / (n1 + n0) * whole)).orderBy(mark).limit(SAMPLE)
-    found = sample.mapInArrow(_measure(entries, "text", None), "weight double, words bigint, label int").toArrow()
+    found = _bounded(rows, SAMPLE)[0].mapInArrow(_measure(entries, "text", None), "weight double, words bigint, label int").toArrow()
     columns = (np.asarray(found.column(c)).astype(float) for c in ("weight", "words", "label"))
     return Lexicon(entries, _fit(*columns))
 
 
-def _exceptions(toxic_rows: DataFrame, clean_rows: DataFrame, entries: dict[str, float], n1: int, n0: int) -> dict[str, float]:
-    """Whole words that begin like an entry but stand in clean documents rather than in toxic ones."""
-    beginnings = tuple(e[1:] for e in entries if not e.endswith(" "))
+def _bounded(rows: DataFrame, most: int) -> tuple[DataFrame, int, int]:
+    """At most ``most`` of the rows, those with the smallest hashes of their texts, and how many are toxic and clean."""
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(sizes.values())
+    if n > most:
+        # A hash below a threshold leaves little more than the sample; only that is ordered.
+        whole = 1 << 30
+        mark = F.pmod(F.xxhash64("text"), F.lit(whole))
+        some = rows.filter(mark < int(1.2 * most / n * whole)).orderBy(mark, "text", "label").limit(most)
+        return _bounded(cut_lineage(some, "sample"), most)
+    return rows, sizes.get(1, 0), sizes.get(0, 0)
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths, known = sorted({len(b) for b in beginnings}), frozenset(beginnings)
-        for batch in batches:
-            held: Counter[str] = Counter()
-            for text in batch.column(0):
-                held.update(f" {w} " for w in set(fold(text.as_py() or "").split()) if any(w[:n] in known for n in lengths))
-            yield _counts(held)
 
-    def frequencies(texts: DataFrame, least: float) -> DataFrame:
-        found = texts.mapInArrow(words, "entry string, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
-        return found.filter(F.col("n") >= least)
+def _exceptions(rows: DataFrame, entries: dict[str, float], n1: int, n0: int) -> dict[str, float]:
+    """Words that begin like an entry, and pairs of words with an entry, that stand in clean documents rather than in toxic ones."""
+    beginnings = frozenset(e[1:] for e in entries if not e.endswith(" "))
+    whole = frozenset(e[1:-1] for e in entries if e.endswith(" "))
+    lengths = sorted({len(b) for b in beginnings})
 
-    if not beginnings:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+            for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
+                held[label].update(phrases(fold(text.as_py() or "").split()))
+            for label in (0, 1):
+                yield _counts(held[label], label)
+
+    def phrases(words: list[str]) -> set[str]:
+        begins = {w for w in set(words) if any(w[:n] in beginnings for n in lengths)}
+        hits = begins | (whole & set(words))
+        pairs = {f" {a} {b} " for a, b in zip(words, words[1:], strict=False) if a in hits or b in hits} if hits else set()
+        return pairs | {f" {w} " for w in begins}
+
+    if not entries:
         return {}
-    clean = frequencies(clean_rows, max(3, SHARE * n0)).withColumnRenamed("n", "clean")
-    both = clean.join(frequencies(toxic_rows, 1), "entry", "left").filter(F.coalesce("n", F.lit(0)) / n1 <= F.col("clean") / n0)
-    return {r["entry"]: 0.0 for r in both.select("entry").collect()}
+    found = _frequencies(rows.mapInArrow(count, _COUNTED))
+    kept = found.filter((F.col("clean") >= LEAST_CLEAN) & (F.col("toxic") / n1 <= F.col("clean") / n0))
+    return {r["entry"]: 0.0 for r in kept.select("entry").collect()}
 
 
 def toxicity(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
