@@ -18,6 +18,8 @@ _TAG = re.compile(
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
+_WORD = re.compile(r"[^\W_]+")
+_HIDDEN_INPUT = re.compile(r"""type\s*=\s*["']?hidden""", re.I)
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,39 +41,62 @@ INLINE = frozenset(
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 ASIDES = frozenset("nav footer aside form dialog menu button".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
-# Words of class and id names that mark what is no article text.
+# A class or id name marks what is no article text if it consists of these words, or of these and words of place and
+# kind: "cookie-notice", "left_sidebar", "relatedPosts". A name with any other word says nothing: "no-sidebar",
+# "ad-free", "social-impact", "share-price-table", "comments-open".
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr menu modal nav navbar "
     "navigation newsletter notice notices notification pagination pager popup promo promoted recommended related respond share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar widget widgets".split()
 )
+KIND_WORDS = frozenset(
+    "area article articles bar block body bottom box btn button buttons center col column container content drawer first float footer form global group header holder "
+    "icon icons inline inner item items last layer left link links list main media middle mobile module outer overlay page panel post posts primary region right "
+    "row secondary section site slot small sticky stories story sub third to toggle top unit up view wrap wrapper zone".split()
+)
 COMMENT_WORDS = frozenset("comment comments disqus respond".split())
 # Lists of other articles, if the page has its own elsewhere.
 LIST_WORDS = frozenset("recommended related".split())
 LISTS = frozenset("aside footer dialog".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
-# A name with one of these tells the state of a wrapper: "no-sidebar", "comments-open".
-STATE_WORDS = frozenset("has no with without and open closed enabled disabled".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Content by nature: their ids come from their texts, and only a class may mark them.
+CONTENT = frozenset("p blockquote pre figure figcaption table tbody tr td th dl dt dd".split())
+CONTROLS = frozenset("input select textarea button".split())
+WORDS_PER_CONTROL = 20  # a form with more words than that is a wrapper around text
 ARTICLE_WORDS = frozenset("articlebody".split())
+NAME_WORDS = ASIDE_WORDS | KIND_WORDS | HEADER_WORDS
 WHOLE = frozenset("html body main article".split())  # their class and id names say nothing about their place
 
 # What an element's marks say.
-_MAIN, _IN_ARTICLE, _TAG_ASIDE, _WORD_ASIDE, _TAG_LIST, _WORD_LIST, _COMMENT, _TAG_HEADER, _WORD_HEADER = (1 << i for i in range(9))
+_MAIN, _IN_ARTICLE, _TAG_ASIDE, _WORD_ASIDE, _TAG_LIST, _WORD_LIST, _COMMENT, _TAG_HEADER, _WORD_HEADER, _HEAD, _FORM = (1 << i for i in range(11))
 _WORDS = _WORD_ASIDE | _WORD_LIST | _COMMENT | _WORD_HEADER
 
 
-def _marks(name: str, attrs: str) -> int:
+def _named(names: str) -> int:
+    """What class or id names mark."""
+    found = 0
+    for token in names.split():
+        words = {w.lower() for w in _NAME_PART.findall(token)}
+        if words <= NAME_WORDS:
+            found |= _WORD_ASIDE * bool(words & ASIDE_WORDS) | _WORD_LIST * bool(words & LIST_WORDS)
+            found |= _COMMENT * bool(words & COMMENT_WORDS) | _WORD_HEADER * bool(words & HEADER_WORDS)
+    return found
+
+
+def _marks(name: str, attrs: str) -> tuple[int, int, str]:
+    """Marks of an element, those that come from its id alone, and the id."""
     found = (_MAIN | _IN_ARTICLE) * (name == "main") | _IN_ARTICLE * (name == "article")
-    found |= _TAG_ASIDE * (name in ASIDES) | _TAG_LIST * (name in LISTS) | _TAG_HEADER * (name == "header")
+    found |= _TAG_ASIDE * (name in ASIDES) | _TAG_LIST * (name in LISTS) | _TAG_HEADER * (name == "header") | _HEAD * (name == "h1") | _FORM * (name == "form")
+    of_class = of_id = 0
+    ident = ""
     if attrs.strip(" /\n\t"):
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'")
-            if key in ("class", "id"):
-                for token in value.split():
-                    words = {w.lower() for w in _NAME_PART.findall(token)}
-                    if not words & STATE_WORDS:
-                        found |= _WORD_ASIDE * bool(words & ASIDE_WORDS) | _WORD_LIST * bool(words & LIST_WORDS)
-                        found |= _COMMENT * bool(words & COMMENT_WORDS) | _WORD_HEADER * bool(words & HEADER_WORDS)
+            if key == "class":
+                of_class |= _named(value)
+            elif key == "id":
+                of_id, ident = _named(value), value
             elif key == "role":
                 found |= _TAG_ASIDE * (value.lower() in ASIDE_ROLES)
                 found |= (_MAIN | _IN_ARTICLE) * (value.lower() == "main") | _IN_ARTICLE * (value.lower() == "article")
@@ -79,7 +104,11 @@ def _marks(name: str, attrs: str) -> int:
                 found |= _IN_ARTICLE * (value.lower() in ARTICLE_WORDS)
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
                 found |= _TAG_ASIDE
-    return found & ~_WORDS if name in WHOLE or found & _IN_ARTICLE else found
+    if name in WHOLE or found & _IN_ARTICLE or name in INLINE or name in HEADINGS:
+        return found, 0, ""
+    if name in CONTENT:
+        return found | of_class, 0, ""
+    return found | of_class | of_id, of_id & ~of_class, ident
 
 
 def _places(parents: list[int], marks: list[int], hidden: list[bool]) -> list[int]:
@@ -87,9 +116,18 @@ def _places(parents: list[int], marks: list[int], hidden: list[bool]) -> list[in
 
     Class and id names do not count on what holds an article or a main element,
     unless the article is in a comment section, or in a list of other articles
-    while the page has its own elsewhere. A main element always counts.
+    while the page has its own elsewhere. A main element always counts. What
+    holds a first heading is named after a part of the page only if it is its
+    header.
     """
     marks, holds = list(marks), [0] * len(marks)
+    for i, m in enumerate(marks):
+        if m & _HEAD and not hidden[i]:
+            at = parents[i]
+            while at >= 0 and not holds[at] & _HEAD:
+                holds[at] |= _HEAD
+                marks[at] &= ~(_WORD_ASIDE | _WORD_LIST)
+                at = parents[at]
     articles = [i for i, m in enumerate(marks) if m & _IN_ARTICLE and not hidden[i]]
     for i in articles:
         if marks[i] & _MAIN:
@@ -119,7 +157,7 @@ def _places(parents: list[int], marks: list[int], hidden: list[bool]) -> list[in
             continue
         if not own:
             mark &= ~_TAG_LIST
-        if holds[i] and not (own and mark & _WORD_LIST):
+        if holds[i] & (_MAIN | _IN_ARTICLE) and not (own and mark & _WORD_LIST):
             mark &= ~_WORDS
         if mark & (_TAG_ASIDE | _WORD_ASIDE) or (mark & (_TAG_HEADER | _WORD_HEADER) and place != ARTICLE):
             firm = place == ASIDE or mark & (_COMMENT | _WORD_LIST | _TAG_LIST)
@@ -134,6 +172,11 @@ def _places(parents: list[int], marks: list[int], hidden: list[bool]) -> list[in
 def blocks(page: str) -> list[tuple[str, int]]:
     """(text, place) of every block in page order; character references decoded, white space single, empty blocks left out."""
     parents, marks, hidden = [-1], [0], [False]
+    ids: list[tuple[int, int, str]] = []  # elements that their ids alone mark
+    headings: list[int] = []
+    forms: list[int] = []  # per element, the form it is in
+    controls: dict[int, int] = {}
+    forms.append(0)
     stack: list[tuple[str, int]] = [("", 0)]
     parts: list[tuple[int, str]] = []  # element and text; an element of -1 ends a block
     at = foreign = 0  # foreign: place in the stack of the outermost svg or math that is open, 0 if none is
@@ -181,6 +224,8 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         if name == "br":
             parts.append((stack[-1][1], " "))
+        if name in CONTROLS and forms[stack[-1][1]] and not _HIDDEN_INPUT.search(tag["attrs"] or ""):
+            controls[forms[stack[-1][1]]] = controls.get(forms[stack[-1][1]], 0) + 1
         seen = name not in UNSEEN
         if seen and name not in INLINE and name not in FOREIGN and not foreign and not hidden[stack[-1][1]]:
             parts.append((-1, ""))
@@ -188,15 +233,73 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         if name == "p" and stack[-1][0] == "p":
             del stack[-1]
-        mark = _marks(name, tag["attrs"] or "")
+        mark, of_id, ident = _marks(name, tag["attrs"] or "")
         if mark or name not in INLINE:
             foreign = foreign or len(stack) * (name in FOREIGN)
             stack.append((name, len(parents)))
             parts.append((len(parents), ""))
             parents.append(stack[-2][1])
+            forms.append(len(marks) if name == "form" else forms[parents[-1]])
+            if of_id:
+                ids.append((len(marks), of_id, ident))
+            if name in HEADINGS:
+                headings.append(len(marks))
             marks.append(mark)
             hidden.append(hidden[parents[-1]] or not seen)
-    return _blocks(parts, _places(parents, marks, hidden))
+    _clear_ids(parts, parents, marks, ids, headings)
+    _clear_forms(parts, marks, hidden, forms, controls)
+    found = _blocks(parts, _places(parents, marks, hidden))
+    # A page without text and without an article element is inside a wrapper whose name misleads.
+    while not any(place for _, place in found) and not any(m & _IN_ARTICLE for m in marks):
+        wrapper = _largest(parts, parents, marks)
+        if wrapper is None:
+            break
+        marks[wrapper] &= ~(_WORDS | _TAG_ASIDE * bool(marks[wrapper] & _FORM))
+        found = _blocks(parts, _places(parents, marks, hidden))
+    return found
+
+
+def _clear_ids(parts, parents: list[int], marks: list[int], ids: list[tuple[int, int, str]], headings: list[int]) -> None:
+    """An id made from the first heading of its section marks nothing."""
+    for element, bits, ident in ids:
+        for heading in headings:
+            at = heading
+            while at > element:
+                at = parents[at]
+            if at == element:
+                text = "".join(t for e, t in parts if e == heading)
+                if _WORD.findall(html.unescape(text).lower()) == _WORD.findall(ident.lower()):
+                    marks[element] &= ~bits
+                break
+
+
+def _clear_forms(parts, marks: list[int], hidden: list[bool], forms: list[int], controls: dict[int, int]) -> None:
+    """A form around text, such as one around the whole page, marks nothing."""
+    if not any(forms):
+        return
+    words = dict.fromkeys(forms, 0)
+    for element, text in parts:
+        if element >= 0 and not hidden[element] and not marks[element] & _TAG_ASIDE or element in forms and forms[element] == element:
+            words[forms[element]] += len(text.split())
+    holding = {forms[i] for i, m in enumerate(marks) if m & (_IN_ARTICLE | _HEAD)}
+    for form, n in words.items():
+        if form and (form in holding or n > WORDS_PER_CONTROL * max(1, controls.get(form, 0))):
+            marks[form] &= ~_TAG_ASIDE
+
+
+def _largest(parts, parents: list[int], marks: list[int]) -> int | None:
+    """Of the outermost elements that only names, or a form, mark: that with the most text."""
+    top: list[int] = [0]  # outermost marked element around, -1 inside what its element name marks
+    for i in range(1, len(marks)):
+        above = top[parents[i]]
+        named = marks[i] & _WORDS or marks[i] & _FORM and marks[i] & _TAG_ASIDE
+        firm = marks[i] & (_TAG_ASIDE | _TAG_HEADER) and not marks[i] & _FORM
+        top.append(above or (-1 if firm else i if named else 0))
+    sizes: dict[int, int] = {}
+    for element, text in parts:
+        if element >= 0 and top[element] > 0 and not text.isspace():
+            sizes[top[element]] = sizes.get(top[element], 0) + len(text)
+    return max(sizes, key=lambda e: (sizes[e], -e)) if any(sizes.values()) else None
 
 
 def _inside(stack: list[tuple[str, int]], name: str, at: int) -> bool:

@@ -8,7 +8,8 @@ different pages share is the site's, not the article's.
 Where a page itself says what a block is, that counts first: blocks inside an
 article or main element stay even if shared, as articles of a site do repeat
 lines, and blocks inside menus, footers, adverts and the like go even if no
-other page has them. The difference decides on all others.
+other page has them. The difference decides on all others, and on all of a page
+whose only wrapper has the name of such a part.
 
 Pages with the same blocks are one page of their host, so a page is never
 compared with its own copies. What is paired, sorted and joined are hashes of
@@ -176,7 +177,7 @@ def shared_blocks(pages: DataFrame) -> DataFrame:
 
 
 def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """All columns of ``pages`` but the html, and ``_mt_text``: the blocks of the main text joined by line ends."""
+    """All columns of ``pages`` but the html, ``_mt_text`` (the blocks of the main text joined by line ends) and ``_mt_gone`` (blocks that the difference took)."""
     shared = cut_lineage(shared_blocks(pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))), "shared")
     own = [f for f in pages.schema.fields if f.name != html_col]
 
@@ -199,4 +200,4 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     gone = F.coalesce("_mt_shared", F.array().cast("array<int>"))
     kept = F.filter(F.arrays_zip("_mt_blocks", "_mt_places"), lambda x: ~F.array_contains(gone, x["_mt_places"]))
     text = F.array_join(F.transform(kept, lambda x: x["_mt_blocks"]), "\n")
-    return marked.select(*[f.name for f in own], text.alias("_mt_text"))
+    return marked.select(*[f.name for f in own], text.alias("_mt_text"), F.size(gone).alias("_mt_gone"))
