@@ -224,3 +224,122 @@ def clusters(rows, k=40, rounds=5, scale=256):
         per[j] += d
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
     return [(i, j, d, per[j], sum(per.values()), digests[j]) for i, j, d in found]
+
+
+def bundle(text):
+    """Sum of the bound trigram vectors of a text, letter by letter."""
+    from vinework.llm import langid
+
+    line = [0, *(ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in "".join(c if c.isalpha() else " " for c in text or "")), 0]
+    line = [0 if c == 32 else c for c in line]
+    total = np.zeros(langid.DIMENSIONS)
+    for grams, n in Counter((a, b, c) for a, b, c in zip(line, line[1:], line[2:], strict=False) if b).items():
+        vectors = [np.roll(langid._vector(x), k).astype(float) for x, k in zip(grams, (2, 1, 0), strict=True)]
+        total += n * (vectors[0] * vectors[1] * vectors[2])
+    return total
+
+
+def licence_score(unit, templates, lines):
+    """Largest TF-IDF cosine of a unit with a template and its licence; ``lines`` are all lines of the corpus as sets of words."""
+    idf = lambda w: math.log((len(lines) + 2) / (sum(w in line for line in lines) + 1))
+    known = {w for _, t in templates for w in ALNUM.findall(raw(t).translate(LOWER))}
+    weigh = lambda words: {w: n * (idf(w) if w in known else math.log(len(lines) + 2)) for w, n in Counter(words).items()}
+    own = weigh(ALNUM.findall(unit.translate(LOWER)))
+    norm = math.sqrt(sum(x * x for x in own.values()))
+    best = (0.0, "")
+    for name, text in templates:
+        other = weigh(ALNUM.findall(raw(text).translate(LOWER)))
+        product = sum(x * other.get(w, 0) for w, x in own.items())
+        cosine = product / (norm * math.sqrt(sum(x * x for x in other.values()))) if norm else 0.0
+        best = min(best, (-cosine, name))
+    return -best[0], best[1]
+
+
+def inherited(licensed, directory):
+    """Nearest directory with a licence, itself or above."""
+    parts = directory.split("/")
+    for n in range(len(parts), -1, -1):
+        if "/".join(parts[:n]) in licensed:
+            return "/".join(parts[:n])
+    return None
+
+
+def lexicon(rows, phrases=()):
+    """Entries and weights by the rules of the operator, from (text, label) rows."""
+    from vinework.llm import toxicity as op
+
+    counts, label_rows = {}, Counter(label for _, label in rows)
+    for text, label in rows:
+        words = set(op.fold(text).split())
+        features = {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in range(op.SHORTEST, op.LONGEST + 1) if len(w) >= n}
+        for f in features:
+            counts.setdefault(f, [0, 0])[label] += 1
+    weight = lambda a, b: math.log((a + 0.5) / (label_rows[1] + 1)) - math.log((b + 0.5) / (label_rows[0] + 1))
+    chosen, taken = {}, {}
+    for entry in sorted(counts, key=lambda e: (-len(e.strip()), not e.endswith(" "), e)):
+        clean, toxic = counts[entry]
+        if toxic < op.LEAST_ROWS or weight(toxic, clean) < op.LEAST_WEIGHT:
+            continue
+        gone = taken.get(entry, (0, 0))
+        a, b = toxic - gone[0], clean - gone[1]
+        if a < op.LEAST_ROWS or weight(max(a, 0), max(b, 0)) < op.LEAST_WEIGHT:
+            continue
+        chosen[entry] = weight(max(a, 0), max(b, 0))
+        word = entry.strip()
+        for n in range(op.SHORTEST, min(len(word), op.LONGEST) + 1):
+            if f" {word[:n]}" != entry:
+                old = taken.get(f" {word[:n]}", (0, 0))
+                taken[f" {word[:n]}"] = (old[0] + a, old[1] + b)
+    found = {}
+    for text, label in rows:
+        words = op.fold(text).split()
+        begins = {w for w in words if any(f" {w[:n]}" in chosen for n in range(1, len(w) + 1))}
+        hits = begins | {w for w in words if f" {w} " in chosen}
+        for p in {f" {w} " for w in begins} | {f" {a} {b} " for a, b in zip(words, words[1:], strict=False) if {a, b} & hits}:
+            found.setdefault(p, [0, 0])[label] += 1
+    for p, (clean, toxic) in found.items():
+        if clean >= op.LEAST_CLEAN and toxic / label_rows[1] <= clean / label_rows[0]:
+            chosen[p] = 0.0
+    return chosen | {op.fold(p): 0.0 for p in phrases}
+
+
+def matched_weight(entries, folded):
+    """Sum over words of the longest entry that begins there, outside of what an earlier one covers."""
+    total, free = 0.0, 0
+    for at in range(len(folded)):
+        here = [e for e in entries if folded.startswith(e, at)]
+        if here and at >= free:
+            longest = max(here, key=len)
+            total += entries[longest]
+            free = at + len(longest) - 1
+    return total
+
+
+def differenced(pages):
+    """Kept blocks of (host, path, blocks) pages in order: those not in the longest common subsequence with the nearer neighbour."""
+    from vinework.llm import pages as op
+
+    order = sorted(range(len(pages)), key=lambda i: pages[i][:2])
+    out = [None] * len(pages)
+    for at, i in enumerate(order):
+        near = [order[j] for j in (at - 1, at + 1) if 0 <= j < len(order) and pages[order[j]][0] == pages[i][0]]
+        if not near:
+            out[i] = pages[i][2]
+            continue
+        other = max(near, key=lambda j: op._common_path(pages[j][1], pages[i][1]))
+        a, b = pages[i][2], pages[other][2]
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for x in range(len(a)):
+            for y in range(len(b)):
+                table[x + 1][y + 1] = table[x][y] + 1 if a[x] == b[y] else max(table[x][y + 1], table[x + 1][y])
+        x, y, shared = len(a), len(b), set()
+        while x and y:
+            if a[x - 1] == b[y - 1]:
+                shared.add(x - 1)
+                x, y = x - 1, y - 1
+            elif table[x - 1][y] >= table[x][y - 1]:
+                x -= 1
+            else:
+                y -= 1
+        out[i] = [t for k, t in enumerate(a) if k not in shared]
+    return out

@@ -1,6 +1,8 @@
 import collections
 
 import duckdb
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -74,8 +76,41 @@ def test_languages_of_odd_rows(odd):
     by_id = {r.doc_id: r for r in found}
     assert by_id[1]._li_lang == by_id[2]._li_lang == by_id[3]._li_lang == "und" and by_id[2]._li_score == 0
     assert by_id[8]._li_lang in ("en", "de") and len(found) == odd.count()
-    kept = langid.drop_unidentified(odd, langid.learn(odd))
+    kept = langid.keep_identified(odd, langid.learn(odd))
     assert kept.columns == odd.columns and kept.count() == odd.count() - 3
+    assert kept.filter("lang IS NULL").count() == 0
+
+
+def test_language_query_matches_plain_bundles(spark, sf, documents):
+    """Texts bundled letter by letter, compared with bundled profiles by their cosines."""
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    bundles = {i: brute.bundle(t) for i, t in documents}
+    langs = sorted({r.lang for r in rows.values() if r.lang})
+    profiles = [sum(b for i, b in bundles.items() if brute.residue(i, 4) != 2 and rows[i].lang == lang) for lang in langs]
+    for r in queries.op3_language_id(spark, sf).collect():
+        own = bundles[r.doc_id]
+        cosines = np.array([own @ p / max(np.linalg.norm(own) * np.linalg.norm(p), 1e-300) for p in profiles])
+        assert r.held_out == (brute.residue(r.doc_id, 4) == 2)
+        if not own.any():
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        assert r.lang_pred == langs[int(cosines.argmax())]
+        assert r.score == pytest.approx(cosines.max() / np.maximum(cosines, 0).sum(), rel=1e-6)
+
+
+def test_texts_in_no_known_language_go(spark):
+    """The stage depends on what the model knows."""
+    texts = {
+        "en": "the quick brown fox jumps over the lazy dog and then it sleeps under the tree",
+        "de": "der schnelle braune Fuchs springt über den faulen Hund und schläft dann unter dem Baum",
+    }
+    rows = [(i, texts[lang], lang) for i in range(20) for lang in texts]
+    rows += [(100, "это предложение написано на языке которого никто здесь не знает", None), (101, texts["de"], None), (102, "ok", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = {(r.doc_id, r.lang) for r in langid.keep_identified(docs, langid.learn(docs)).collect()}
+    assert kept == {(i, lang) for i in range(20) for lang in texts} | {(101, "de"), (102, next(x for i, x in kept if i == 102))}
+    greek = spark.createDataFrame([("ένα κείμενο σε μια άλλη γλώσσα που δεν έχει τίποτα κοινό", "el")], "text string, lang string")
+    assert {r.doc_id for r in langid.keep_identified(docs, langid.learn(greek)).collect()} <= {100, 102}
 
 
 def test_nothing_learned(odd):

@@ -109,9 +109,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files ``source/lang/doc_id``."""
+    """Documents as files ``source/lang/doc_id``; those without a source or language lie in no known directory."""
     docs = _table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    path = F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), name).alias("path")
     found = licences.scan(docs.select("doc_id", path, "text"))
     return found.select(
         "doc_id",
@@ -125,7 +126,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return found.select("page_id", "url", F.col("_mt_text").alias("text"), F.char_length("_mt_text").cast("bigint").alias("n_chars"))
+    n_chars = F.char_length("_mt_text").cast("bigint").alias("n_chars")
+    return found.select("page_id", "url", F.col("_mt_text").alias("text"), n_chars, F.col("_mt_gone").alias("n_differenced"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

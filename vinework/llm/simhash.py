@@ -205,8 +205,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one row of each group: that with the smallest id (rows without an id last, then by a hash)."""
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
+    """``docs`` with one row of each group: that with the smallest id (rows without an id last, then by a hash).
+
+    Rows are told apart by 128 bits of id and text.
+    """
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    row = F.unhex(F.substring(F.sha2(F.concat(part(id_col), F.lit("|"), part(text_col)), 256), 1, 32))
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row.alias("_sh_row"))
     found = near_duplicates(slim, "id", "text", shingle, distance)
     first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("_sh_row"))).alias("first")

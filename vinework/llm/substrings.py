@@ -9,7 +9,8 @@ are merged to maximal intervals of words, which go.
 
 Defined results: a null text has no words and stays null; texts shorter than a
 window keep all words; rows without an id come after all others, in the order
-of their texts; rows with the same id count in the order of their texts;
+of a hash of their texts, by which they are dealt to chunks, and of their texts
+where that is equal; rows with the same id count in the order of their texts;
 identical rows repeat each other. Extra columns are untouched.
 """
 
