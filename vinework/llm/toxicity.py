@@ -30,6 +30,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +41,7 @@ SHORTEST, LONGEST = 4, 8  # letters of a beginning
 LEAST_ROWS = 5  # toxic ones that hold an entry
 LEAST_CLEAN = 3  # clean rows that hold an exception
 LEAST_WEIGHT = 2.0
+BUCKETS = 1 << 20  # of entries; one byte each travels to the tasks
 ROWS = 1_000_000  # labelled rows from which a lexicon is learned, at most
 SAMPLE = 200_000  # rows on which the curve is fitted, at most
 
@@ -102,30 +104,45 @@ def _features(words: set[str]) -> Iterator[str]:
         yield from {f" {w[:n]}" for w in words if len(w) >= n}
 
 
-def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of either label in a task that hold each entry."""
-    held: tuple[Counter[str], Counter[str]] = Counter(), Counter()
-    for batch in batches:
-        for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
-            held[label].update(_features(set(fold(text.as_py() or "").split())))
-            if len(held[label]) > 1 << 19:
-                yield _counts(held[label], label)
-                held[label].clear()
-    for label in (0, 1):
-        yield _counts(held[label], label)
+def _bucket(entry: str) -> int:
+    return xxhash.xxh64_intdigest(entry) & (BUCKETS - 1)
 
 
-def _counts(held: Counter, label: int) -> pa.RecordBatch:
-    numbers = np.array(list(held.values()), np.int64)
-    arrays = [pa.array(list(held), pa.string()), pa.array(numbers * label), pa.array(numbers * (1 - label))]
-    return pa.RecordBatch.from_arrays(arrays, ["entry", "toxic", "clean"])
+def _count_features(present: np.ndarray | None):
+    """Rows of a task that hold each entry; with ``present``, entries of these buckets only."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column("text"):
+                found = _features(set(fold(text.as_py() or "").split()))
+                held.update(found if present is None else [f for f in found if present[_bucket(f)]])
+                if len(held) > 1 << 19:
+                    yield _counts(held)
+                    held.clear()
+        yield _counts(held)
+
+    return count
+
+
+def _counts(held: Counter) -> pa.RecordBatch:
+    arrays = [pa.array(list(held), pa.string()), pa.array([_bucket(f) for f in held], pa.int32()), pa.array(list(held.values()), pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, ["entry", "bucket", "n"])
 
 
-_COUNTED = "entry string, toxic bigint, clean bigint"
+_COUNTED = "entry string, bucket int, n bigint"
 
 
-def _frequencies(counted: DataFrame) -> DataFrame:
-    return counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+def _frequencies(toxic: DataFrame, clean: DataFrame) -> DataFrame:
+    """``entry, toxic, clean``: how many rows of either label hold each entry that is in ``LEAST_ROWS`` toxic rows."""
+    first = toxic.mapInArrow(_count_features(None), _COUNTED).groupBy("entry", "bucket").agg(F.sum("n").alias("toxic"))
+    first = first.filter(F.col("toxic") >= LEAST_ROWS)
+    first = cut_lineage(first, "entries")
+    # Tasks leave out entries in buckets without any; the join leaves out the rest.
+    present = np.zeros(BUCKETS, bool)
+    present[np.asarray(first.select("bucket").distinct().toArrow().column(0))] = True
+    second = clean.mapInArrow(_count_features(present), _COUNTED).groupBy("entry").agg(F.sum("n").alias("clean"))
+    return first.join(second, "entry", "left").select("entry", "toxic", F.coalesce("clean", F.lit(0)).alias("clean"))
 
 
 def _weight(toxic, clean, n1: int, n0: int, log=np.log):
@@ -221,12 +238,13 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     if not n1 or not n0:
         share = 1.0 if n1 else 0.0
         return Lexicon({}, (50.0 if share else -50.0, 0.0, 0.0))
-    counted = _frequencies(rows.mapInArrow(_count_features, _COUNTED))
+    toxic, clean = rows.filter("label = 1"), rows.filter("label = 0")
+    counted = _frequencies(toxic, clean)
     # What longer entries leave of a beginning has no larger weight than all of it.
-    large = counted.filter((F.col("toxic") >= LEAST_ROWS) & (_weight(F.col("toxic"), F.col("clean"), n1, n0, F.log) >= LEAST_WEIGHT))
+    large = counted.filter(_weight(F.col("toxic"), F.col("clean"), n1, n0, F.log) >= LEAST_WEIGHT)
     found = {r["entry"]: (r["toxic"], r["clean"]) for r in large.collect()}
     entries = _choose({e: a for e, (a, _) in found.items()}, {e: b for e, (_, b) in found.items()}, n1, n0)
-    entries |= _exceptions(rows, entries, n1, n0)
+    entries |= _exceptions(toxic, clean, entries, n1, n0)
     entries |= {fold(p): 0.0 for p in phrases if fold(p).strip()}
     found = _bounded(rows, SAMPLE)[0].mapInArrow(_measure(entries, "text", None), "weight double, words bigint, label int").toArrow()
     columns = (np.asarray(found.column(c)).astype(float) for c in ("weight", "words", "label"))
@@ -246,7 +264,7 @@ def _bounded(rows: DataFrame, most: int) -> tuple[DataFrame, int, int]:
     return rows, sizes.get(1, 0), sizes.get(0, 0)
 
 
-def _exceptions(rows: DataFrame, entries: dict[str, float], n1: int, n0: int) -> dict[str, float]:
+def _exceptions(toxic: DataFrame, clean: DataFrame, entries: dict[str, float], n1: int, n0: int) -> dict[str, float]:
     """Words that begin like an entry, and pairs of words with an entry, that stand in clean documents rather than in toxic ones."""
     beginnings = frozenset(e[1:] for e in entries if not e.endswith(" "))
     whole = frozenset(e[1:-1] for e in entries if e.endswith(" "))
@@ -254,11 +272,10 @@ def _exceptions(rows: DataFrame, entries: dict[str, float], n1: int, n0: int) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: tuple[Counter[str], Counter[str]] = Counter(), Counter()
-            for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
-                held[label].update(phrases(fold(text.as_py() or "").split()))
-            for label in (0, 1):
-                yield _counts(held[label], label)
+            held: Counter[str] = Counter()
+            for text in batch.column("text"):
+                held.update(phrases(fold(text.as_py() or "").split()))
+            yield _counts(held)
 
     def phrases(words: list[str]) -> set[str]:
         begins = {w for w in set(words) if any(w[:n] in beginnings for n in lengths)}
@@ -268,8 +285,9 @@ def _exceptions(rows: DataFrame, entries: dict[str, float], n1: int, n0: int) ->
 
     if not entries:
         return {}
-    found = _frequencies(rows.mapInArrow(count, _COUNTED))
-    kept = found.filter((F.col("clean") >= LEAST_CLEAN) & (F.col("toxic") / n1 <= F.col("clean") / n0))
+    held = clean.mapInArrow(count, _COUNTED).groupBy("entry").agg(F.sum("n").alias("clean")).filter(F.col("clean") >= LEAST_CLEAN)
+    against = toxic.mapInArrow(count, _COUNTED).groupBy("entry").agg(F.sum("n").alias("toxic"))
+    kept = held.join(against, "entry", "left").filter(F.coalesce("toxic", F.lit(0)) / n1 <= F.col("clean") / n0)
     return {r["entry"]: 0.0 for r in kept.select("entry").collect()}
 
 
