@@ -121,7 +121,7 @@ def stored(store):
 
 
 def test_collection_store(spark, tmp_path):
-    store = CollectionStore(spark, str(tmp_path / "c"), buckets=4, config=UNSTEMMED).create()
+    store = CollectionStore(spark, str(tmp_path / "c"), buckets=4).create()
     store.add(texts(spark, ("a", "one", '{"node_id": "n1", "k": 1}', 0), ("b", "two", None, 0), ("a", "uno", '{"x": true}', 1)))
     assert stored(store) == {"a": ("uno", '{"x": true}', None), "b": ("two", "{}", None)}
     store.add(texts(spark, ("c", "three", '{"node_id": "n3", "k": 1, "s": "t"}', 0)))
@@ -146,7 +146,7 @@ def test_collection_store(spark, tmp_path):
 
 def test_collection_from_documents_and_nodes(spark, tmp_path):
     rows = spark.createDataFrame([("hello world",), ("bye",)], "content string")
-    store = CollectionStore.from_documents(spark, str(tmp_path / "c"), rows, buckets=2, config=UNSTEMMED)
+    store = CollectionStore.from_documents(spark, str(tmp_path / "c"), rows, buckets=2)
     found = store.read().collect()
     assert len({r.id for r in found}) == 2 and all(len(r.id) == 36 for r in found)
     nodes = spark.createDataFrame([(1, "Bolt", "steel"), (2, "Nut", None), (3, None, None)], "id bigint, name string, desc string")
@@ -193,13 +193,13 @@ def test_graph_store_and_stream(spark, tmp_path):
 
 def test_document_stream_equals_one_batch(spark, tmp_path):
     batches = [[("a", "one", "{}", 0), ("b", "two", "{}", 1)], [("b", "zwei", "{}", 2), ("c", "three", "{}", 3)]]
-    store = CollectionStore(spark, str(tmp_path / "c"), buckets=2, config=UNSTEMMED).create()
+    store = CollectionStore(spark, str(tmp_path / "c"), buckets=2).create()
     for rows in batches:
         texts(spark, *rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         schema = "id string, content string, metadata string, seq int"
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         stream_documents(stream, store, str(tmp_path / "cp")).awaitTermination()
-    once = docs.upsert(docs.prepare(texts(spark, *batches[0]), config=UNSTEMMED).drop("seq"), docs.prepare(texts(spark, *sum(batches, [])), config=UNSTEMMED))
+    once = docs.upsert(docs.prepare(texts(spark, *batches[0])).drop("seq"), docs.prepare(texts(spark, *sum(batches, []))))
     assert {i: c for i, (c, _, _) in stored(store).items()} == {r.id: r.content for r in once.collect()}
 
 

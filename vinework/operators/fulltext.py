@@ -56,10 +56,10 @@ def query_postings(corpus: DataFrame, asked: DataFrame, config: TextConfig = ENG
 
 
 def save_postings(index: DataFrame, path: str) -> None:
-    """Write postings ranged by term and id, so a term's rows sit together.
+    """Write postings ranged by term and id, so a term's rows sit together and a frequent term spans many files.
 
-    File statistics then skip all other terms, and a term found in a third of
-    all documents still spans many files.
+    Joins with asked terms read all of it; an index that is pruned by its terms
+    and kept up to date is :class:`vinework.sources.textindex.TextIndex`.
     """
     order = ["term", "id"]
     index.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)

@@ -9,6 +9,7 @@ from vinework.functions.text import ENGLISH, TextConfig
 from vinework.functions.vectors import Metric
 from vinework.operators import fulltext
 from vinework.operators.knn import knn
+from vinework.sources.textindex import TextIndex
 
 # Rank offset of the fusion, list length per requested row.
 RANK_OFFSET = 60
@@ -24,7 +25,7 @@ def hybrid(
     where: Column | None = None,
     config: TextConfig = ENGLISH,
     ranking: str = "bm25",
-    index: DataFrame | None = None,
+    index: DataFrame | TextIndex | None = None,
     keep_text_only: bool = False,
     digits: int | None = None,
     id_col: str = "id",
@@ -39,8 +40,9 @@ def hybrid(
     Output ``qid, rank, id, score, distance`` with distance = 1 - score. The
     filter holds for both lists. A row found only by its text is dropped
     unless ``keep_text_only``. ``ranking`` is ``proximity`` or ``bm25``.
-    ``index`` is a stored postings table of the corpus (with positions for
-    ``proximity``); a filter then selects its rows by document id.
+    ``index`` is a stored :class:`TextIndex` of the corpus, for ``bm25``, or a
+    postings table (with positions for ``proximity``); a filter then selects
+    its rows by document id.
     """
     fetch = OVERFETCH * k
     rows = corpus if where is None else corpus.filter(where)
@@ -48,7 +50,17 @@ def hybrid(
         rows, queries, fetch, metric, digits=digits,
         id_col=id_col, vec_col=vec_col, qid_col=qid_col, query_vec=query_vec,
     ).select(F.col(qid_col).alias("qid"), F.col(id_col).alias("id"), F.col("rank").alias("_near"))
+    if isinstance(index, TextIndex):
+        if ranking != "bm25":
+            raise ValueError("a text index ranks by bm25")
+        if where is None:
+            worded = index.search(queries, fetch, digits=digits, text_col=query_text, qid_col=qid_col)
+            worded = worded.select("qid", "id", F.col("rank").alias("_worded"))
+            return fuse(near, worded, k, keep_text_only, digits).withColumnsRenamed({"qid": qid_col, "id": id_col})
+        config = index.config
     asked = fulltext.query_terms(queries, config, text_col=query_text, qid_col=qid_col)
+    if isinstance(index, TextIndex):
+        index = index.postings(asked)
     if index is None:
         index = fulltext.query_postings(
             rows, asked, config, text_col=text_col, id_col=id_col, positions=ranking == "proximity"

@@ -17,6 +17,7 @@ from vinework.operators.hybrid import hybrid
 from vinework.operators.knn import knn
 from vinework.operators.mmr import mmr
 from vinework.runtime import cut_lineage
+from vinework.sources.textindex import TextIndex
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ class Search:
     score_fn: ScoreFn | None = None
     config: TextConfig = ENGLISH
     ranking: str = "bm25"
-    index: DataFrame | None = None
+    index: DataFrame | TextIndex | None = None
     keep_text_only: bool = False
     digits: int | None = None
     filters: MetadataFilter = field(default_factory=MetadataFilter)

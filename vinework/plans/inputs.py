@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vinework.runtime import shared_dir
 from vinework.sources.graph import PropertyGraph, graph_id, text_id
 
 LABEL_NO = {"Customer": 1, "Order": 2, "Part": 3, "Supplier": 4, "Nation": 5, "Region": 6}
@@ -39,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder that every executor can reach."""
+    return f"{shared_dir(spark)}/vinework/{name}-{uuid.uuid4().hex}"
+
+
 def node_id(label: str, key: str) -> Column:
     return graph_id(LABEL_NO[label], F.col(key))
 

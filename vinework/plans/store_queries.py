@@ -81,7 +81,7 @@ def collection_replace(spark, sf_dir):
 def collection_of_embedded_nodes(spark, sf_dir):
     """Graph nodes become documents with vectors, twice; the second time replaces the first."""
     nodes = commerce_graph(spark, sf_dir, ["Part"], []).nodes("Part")
-    store = CollectionStore(spark, _place(spark, "nodes"), length_embedder, buckets=4, config=docs.words.UNSTEMMED).create()
+    store = CollectionStore(spark, _place(spark, "nodes"), length_embedder, buckets=4).create()
     store.add_nodes(nodes.withColumn("p_name", F.upper("p_name")), "Part", ["p_name"])
     store.add_nodes(nodes, "Part", ["p_name"])
     ends = (F.element_at("embedding", at).cast("double").alias(name) for at, name in ((1, "first"), (-1, "last")))

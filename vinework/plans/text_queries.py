@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vinework.functions import text as words
 from vinework.functions.text import ENGLISH, SIMPLE, STOP_WORDS, UNSTEMMED
 from vinework.operators import fulltext
 from vinework.operators.hybrid import hybrid
-from vinework.plans.inputs import BENCHMARK_SQL, COLLECTION_SQL, benchmark_queries, benchmark_texts, collection, table
+from vinework.plans.inputs import BENCHMARK_SQL, COLLECTION_SQL, benchmark_queries, benchmark_texts, collection, scratch_path, table
 from vinework.plans.registry import query
+from vinework.sources.textindex import TextIndex
 
 _STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
 
@@ -156,3 +158,77 @@ def text_terms(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", terms.alias("t")).select(
         "doc_id", F.size("t").alias("n_terms"), F.size(F.array_distinct("t")).alias("n_distinct")
     )
+
+
+_TOP_SQL = """SELECT qid, rank, id, score FROM (
+    SELECT qid, id, round(score, 6) AS score, (row_number() OVER (PARTITION BY qid ORDER BY round(score, 6) DESC, id))::INTEGER AS rank FROM scored)
+  WHERE rank <= 10"""
+
+
+def _index(spark, **options):
+    return TextIndex(spark, scratch_path(spark, "text"), SIMPLE, id_type="bigint", buckets=16, **options).create()
+
+
+@query("text_index_search", f"WITH {_BM25_SQL} {_TOP_SQL}")
+def text_index_search(spark, sf_dir):
+    """The ten best documents of every benchmark passage, from a stored index."""
+    index = _index(spark)
+    index.add(_documents(spark, sf_dir))
+    return index.search(benchmark_texts(spark, sf_dir), 10, digits=6)
+
+
+# Statistics of the table "current", queries from "documents".
+_PAIRS_SQL = r"""
+  words AS (SELECT doc_id AS id, unnest(toks) AS term, len(toks) AS len
+            FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS toks FROM current)),
+  tf AS (SELECT term, id, count(*) AS tf, any_value(len) AS len FROM words GROUP BY 1, 2),
+  df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+  size AS (SELECT count(*) AS n_docs, avg(len(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))) AS mean FROM current),
+  frequent AS (
+    SELECT row_number() OVER (ORDER BY df DESC, term) AS qid, [term, lead(term) OVER (ORDER BY df DESC, term)] AS terms
+    FROM (SELECT term, count(DISTINCT doc_id) AS df FROM (
+      SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents) GROUP BY 1)),
+  asked AS (SELECT qid::INTEGER AS qid, unnest(terms) AS term, len(terms) AS n_terms FROM frequent WHERE qid <= 12),
+  scored AS (
+    SELECT qid, id, sum(ln((n_docs - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))) AS score
+    FROM asked JOIN tf USING (term) JOIN df USING (term), size
+    GROUP BY qid, id, n_terms HAVING count(*) = n_terms)
+"""
+
+
+def _frequent_pairs(spark, sf_dir):
+    """Queries of two frequent words: each of the twelve most frequent with the next one."""
+    found = fulltext.postings(_documents(spark, sf_dir), SIMPLE).filter(F.col("term") != fulltext.WHOLE)
+    order = Window.orderBy(F.col("df").desc(), "term")
+    ranked = found.groupBy("term").agg(F.count(F.lit(1)).alias("df")).orderBy(F.col("df").desc(), "term").limit(13)
+    ranked = ranked.select(F.row_number().over(order).alias("qid"), F.concat_ws(" ", "term", F.lead("term").over(order)).alias("text"))
+    return ranked.filter("qid <= 12")
+
+
+@query("text_index_frequent", f"WITH current AS (SELECT * FROM documents), {_PAIRS_SQL} {_TOP_SQL}")
+def text_index_frequent(spark, sf_dir):
+    """Words of nearly all documents: bounds leave most blocks unread."""
+    index = _index(spark, block_docs=16)
+    index.add(_documents(spark, sf_dir))
+    return index.search(_frequent_pairs(spark, sf_dir), 10, digits=6)
+
+
+@query(
+    "text_index_cycle",
+    f"""WITH current AS (
+          SELECT doc_id, CASE WHEN lang = 'en' THEN text || ' ' || source ELSE text END AS text FROM documents WHERE coalesce(source, '') <> 'src7'),
+        {_PAIRS_SQL} {_TOP_SQL}""",
+)
+def text_index_cycle(spark, sf_dir):
+    """Documents are added, some replaced, some deleted; the index is opened again, compacted, changed once more and searched."""
+    documents = table(spark, sf_dir, "documents")
+    index, content = _index(spark, block_docs=16), F.col("text").alias("content")
+    index.add(documents.select(F.col("doc_id").alias("id"), content))
+    english = documents.filter("lang = 'en'")
+    index.add(english.select(F.col("doc_id").alias("id"), F.reverse("text").alias("content")))
+    index.delete(documents.filter("source = 'src7'").select(F.col("doc_id").alias("id")))
+    index = TextIndex(spark, index.path, SIMPLE, id_type="bigint", buckets=16, block_docs=16)
+    index.compact()
+    changed = english.filter("coalesce(source, '') <> 'src7'")
+    index.add(changed.select(F.col("doc_id").alias("id"), F.concat_ws(" ", "text", "source").alias("content")))
+    return index.search(_frequent_pairs(spark, sf_dir), 10, digits=6)

@@ -256,7 +256,7 @@ def collection_upsert(spark, sf_dir):
 def stream_upsert(spark, sf_dir):
     """The same through a stored collection: a stream of documents, then one of passages."""
     base = f"{shared_dir(spark)}/vinework/stream-{uuid.uuid4().hex}"
-    store = CollectionStore(spark, f"{base}/collection", buckets=8, config=docs.words.UNSTEMMED).create()
+    store = CollectionStore(spark, f"{base}/collection", buckets=8).create()
     for name, shape in (("documents", _stored), ("benchmark", _incoming)):
         reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
         stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
@@ -311,7 +311,7 @@ def node_id_metadata(spark, sf_dir):
     """The node id leaves the metadata on the way in and returns in results."""
     bag = F.to_json(F.struct(F.concat(F.lit("part-"), "p_partkey").alias("node_id"), F.col("p_brand").alias("brand")))
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("content"), bag.alias("metadata"))
-    stored = docs.prepare(rows, config=docs.words.UNSTEMMED)
+    stored = docs.prepare(rows)
     shown = docs.metadata_with_node(F.col("metadata"), F.col("node_id"))
     return stored.select(
         "id", F.substring_index("node_id", "-", -1).alias("node_id"), F.get_json_object("metadata", "$.brand").alias("brand"),

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinework.functions import text as words
 from vinework.functions.embed import Embedder
 from vinework.functions.vectors import float32
+from vinework.runtime import cut_lineage
 from vinework.sources.buckets import BucketedTable, latest
 
+if TYPE_CHECKING:
+    from vinework.sources.textindex import TextIndex
+
 COLLECTION_SCHEMA = (
-    "id string, content string, embedding array<float>, metadata string, node_id string, terms array<string>"
+    "id string, content string, embedding array<float>, metadata string, node_id string"
 )
 # A batch without an order holds different rows of one id.
 REPEATED = "a seq column must order the rows of a repeated id: "
@@ -26,7 +30,6 @@ def prepare(
     embedder: Embedder | None = None,
     *,
     dim: int | None = None,
-    config: words.TextConfig = words.ENGLISH,
 ) -> DataFrame:
     """Bring incoming rows into the shape of a collection.
 
@@ -52,7 +55,6 @@ def prepare(
         float32(vector, dim).alias("embedding"),
         _without_key(bag, NODE_KEY).alias("metadata"),
         node.alias("node_id"),
-        words.terms(F.col("content"), config).alias("terms"),
         *([F.col("seq")] if "seq" in names else []),
     )
 
@@ -123,7 +125,12 @@ def node_texts(nodes: DataFrame, label: str, properties: Sequence[str]) -> DataF
 
 
 class CollectionStore:
-    """Collection on disk, partitioned by a hash bucket of the document id."""
+    """Collection on disk, partitioned by a hash bucket of the document id.
+
+    ``index`` is a text index (:class:`vinework.sources.textindex.TextIndex`)
+    that every change keeps up to date. It changes after the rows do: if a job
+    fails in between, repeating the call mends both.
+    """
 
     def __init__(
         self,
@@ -133,18 +140,22 @@ class CollectionStore:
         *,
         dim: int | None = None,
         buckets: int = 256,
-        config: words.TextConfig = words.ENGLISH,
+        index: TextIndex | None = None,
     ) -> None:
-        self.embedder, self.dim, self.config = embedder, dim, config
+        self.embedder, self.dim, self.index = embedder, dim, index
         self.table = BucketedTable(spark, path.rstrip("/"), COLLECTION_SCHEMA, ("id",), buckets)
 
     def create(self, replace: bool = False) -> CollectionStore:
         """Create unless it exists; ``replace`` empties an existing collection."""
         self.table.create(replace)
+        if self.index is not None:
+            self.index.create(replace)
         return self
 
     def drop(self) -> None:
         self.table.drop()
+        if self.index is not None:
+            self.index.drop()
 
     def read(self) -> DataFrame:
         return self.table.read()
@@ -152,7 +163,12 @@ class CollectionStore:
     def add(self, documents: DataFrame) -> None:
         """Embed and upsert documents; replaced rows of a batch are not embedded."""
         fresh = last_of_batch(documents) if "id" in documents.columns else documents
-        self.table.put(prepare(fresh, self.embedder, dim=self.dim, config=self.config))
+        rows = prepare(fresh, self.embedder, dim=self.dim)
+        if self.index is not None:
+            rows = cut_lineage(rows, "prepared")  # random ids must be the same in both
+        self.table.put(rows)
+        if self.index is not None:
+            self.index.add(rows.select("id", "content"))
 
     def add_nodes(self, nodes: DataFrame, label: str, properties: Sequence[str]) -> None:
         """Embed and upsert the text of graph nodes."""
@@ -160,6 +176,8 @@ class CollectionStore:
 
     def delete(self, ids: DataFrame) -> None:
         self.table.remove(ids)
+        if self.index is not None:
+            self.index.delete(ids)
 
     def get(self, ids: DataFrame) -> DataFrame:
         return get(self.read(), self.table_keys(ids))
