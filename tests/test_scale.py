@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vinework.functions.text import SIMPLE
 from vinework.operators import fulltext, merge
 from vinework.operators.pattern import match, paths
-from vinework.operators.traverse import _follow
+from vinework.operators.traverse import _masks, traverse
 from vinework.runtime import cut_lineage
 from vinework.sources.graph import PropertyGraph
 
@@ -59,9 +59,9 @@ def hub(spark, tmp_path_factory):
 
 def test_traversal_level_splits_a_hub(spark, hub):
     with settings(spark, SKEWED):
-        frontier = cut_lineage(hub.nodes("N").select(F.col("id").alias("_near")), "frontier")
+        frontier = cut_lineage(hub.nodes("N").select(F.col("id").alias("node_id")), "frontier")
         steps = hub.edge_ends("E").select(F.col("start_id").alias("_near"), F.col("end_id").alias("node_id"))
-        assert "skew=true" in final_plan(_follow(steps, frontier))
+        assert "skew=true" in final_plan(_masks(steps, frontier, 1))
 
 
 def test_pattern_splits_a_hub(spark, hub):
@@ -106,10 +106,22 @@ def test_edges_of_a_hot_endpoint_are_split(spark):
 
 
 def test_small_frontier_leaves_the_edges_in_place(spark, hub):
-    frontier = cut_lineage(hub.nodes("N").filter("id < 10").select(F.col("id").alias("_near")), "frontier")
+    frontier = cut_lineage(hub.nodes("N").filter("id < 10").select(F.col("id").alias("node_id")), "frontier")
     steps = hub.edge_ends("E").select(F.col("start_id").alias("_near"), F.col("end_id").alias("node_id"))
-    plan = _follow(steps, frontier)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    plan = _masks(steps, frontier, 1)._jdf.queryExecution().executedPlan().toString()
+    # What is shuffled are far ends, merged in each task before.
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(_near" not in plan
+    assert plan.count("Exchange hashpartitioning(node_id") == 1 and "partial_bit_or" in plan
+
+
+def test_a_level_shuffles_one_row_per_node_and_task(spark, hub):
+    """However many walks there are, no level shuffles more rows than tasks times nodes."""
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        found = traverse(hub, "N", None, "E", 5, return_properties=False)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_bit_or") >= 5 and "Join" in plan
+    assert plan.split("Initial Plan")[0].count("keys=[depth") == 0  # no distinct over levels
 
 
 def test_only_needed_columns_are_read(spark, hub):

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vinework.functions.filters import text_equals_all
@@ -14,8 +14,8 @@ from vinework.runtime import cut_lineage
 from vinework.sources.graph import PropertyGraph
 
 
-# Levels of one plan.
-LEVELS = 4
+# Levels of one plan; a mask of depths has 63 bits.
+LEVELS = 12
 
 
 def traverse(
@@ -38,52 +38,67 @@ def traverse(
     ``both`` merges two one-way traversals into one row per node, where an
     outgoing depth goes before an incoming one. Rows are not sorted.
 
-    A level is the ends of the edges that leave the previous level: a semi-join,
-    which never gives more rows than there are edges. Spark sees the size of each
-    frontier before it joins the edges. Ends that several edges share are made
-    distinct once for every ``cut_every`` levels, when these are written to the
-    shared folder; the job that does it also counts the last frontier, and the
-    loop stops if it is empty.
+    One pass carries all depths: a node has a mask in which bit d tells that it
+    was reached at depth d. A hop shifts the masks of the near ends by one bit
+    and joins, per far end, all that arrive with ``bit_or``, first in each task.
+    So a node is one row however many walks reach it, a hop shuffles one row per
+    reached node and task, and no level needs a union or a distinct of its own.
+    After ``cut_every`` levels the masks are written to the shared folder; the
+    job that does it also counts the last frontier, from which the next masks
+    start, and the loop stops if it is empty.
     """
     options = dict(properties=properties, return_properties=return_properties, cut_every=cut_every)
     if direction == "both":
         out = traverse(graph, start_label, start_filter, edge_type, max_depth, **options)
         back = traverse(graph, start_label, start_filter, edge_type, max_depth, direction="incoming", **options)
         return first_wins(out, back)
+    if not 1 <= cut_every < 63:
+        raise ValueError("cut_every must be from 1 to 62")
     near, far = ("end_id", "start_id") if direction == "incoming" else ("start_id", "end_id")
-    steps = graph.edge_ends(edge_type).select(F.col(near).alias("_near"), F.col(far).alias("node_id"))
+    # Without the filter every hop would add its own, and Spark could not use one exchange for all.
+    steps = graph.edge_ends(edge_type).select(F.col(near).alias("_near"), F.col(far).alias("node_id")).dropna()
     starts = graph.nodes(start_label)
     chosen = text_equals_all(start_filter or {})
     starts = starts if chosen is None else starts.filter(chosen)
-    level = _follow(steps, starts.select(F.col("id").alias("_near")))
-    written: list[DataFrame] = []
-    pending = [level.withColumn("depth", F.lit(1))]
-    for depth in range(2, max_depth + 1):
-        if len(pending) == cut_every:
+    frontier = starts.select(F.col("id").alias("node_id"))
+    parts: list[DataFrame] = []
+    done, depth = 0, max(1, max_depth)
+    while done < depth:
+        levels = min(cut_every, depth - done)
+        masks = _masks(steps, frontier, levels)
+        if done + levels < depth:
             last = Observation()
-            pending[-1] = pending[-1].observe(last, F.count(F.lit(1)).alias("n"))
-            table = cut_lineage(_all(pending).distinct(), "frontiers")
-            written.append(table)
-            pending = []
-            level = table.filter(F.col("depth") == depth - 1).select("node_id")
+            masks = cut_lineage(masks.observe(last, F.count_if(_at(F.lit(levels))).alias("n")), "masks")
+        each = masks.select(F.explode(F.sequence(F.lit(1), F.lit(levels))).alias("_level"), "node_id", "mask").filter(_at(F.col("_level")))
+        parts.append(each.select((F.col("_level") + done).alias("depth"), "node_id"))
+        done += levels
+        if done < depth:
             if not last.get["n"]:
                 break
-        level = _follow(steps, level.select(F.col("node_id").alias("_near")))
-        pending.append(level.withColumn("depth", F.lit(depth)))
-    if pending:
-        written.append(_all(pending).distinct())
-    reached = _all(written).select("depth", "node_id")
+            frontier = masks.filter(_at(F.lit(levels))).select("node_id")
+    reached = reduce(DataFrame.unionByName, parts)
     if not return_properties:
         return reached
     return attach_properties(reached, graph, start_label, properties)
 
 
-def _all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def _at(level) -> Column:
+    return F.getbit("mask", level) == 1
 
 
-def _follow(steps: DataFrame, frontier: DataFrame) -> DataFrame:
-    return steps.join(frontier, "_near", "left_semi").select("node_id")
+def _masks(steps: DataFrame, frontier: DataFrame, levels: int) -> DataFrame:
+    """``node_id, mask``: bit d is set where d edges lead from the frontier to the node.
+
+    One statement for all levels, so that Spark analyses the plan once and not again for every level.
+    """
+    parts = ["WITH m0 AS (SELECT node_id, 1L AS mask FROM {frontier})"]
+    for level in range(1, levels + 1):
+        seeds = " UNION ALL SELECT node_id, 1L FROM {frontier}" if level < levels else ""
+        parts.append(
+            f"m{level} AS (SELECT node_id, bit_or(mask) AS mask FROM (SELECT s.node_id, shiftleft(m.mask, 1) AS mask "
+            f"FROM {{steps}} s JOIN m{level - 1} m ON s._near = m.node_id{seeds}) GROUP BY node_id)"
+        )
+    return steps.sparkSession.sql(", ".join(parts) + f" SELECT node_id, mask FROM m{levels}", steps=steps, frontier=frontier)
 
 
 def attach_properties(

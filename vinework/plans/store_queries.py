@@ -64,7 +64,7 @@ def _turns(conversations):
 def collection_replace(spark, sf_dir):
     """A collection of documents is emptied, filled with passages and opened again."""
     path = _place(spark, "collection")
-    options = {"buckets": 4, "config": docs.words.UNSTEMMED}
+    options = {"buckets": 4}
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("content"))
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("id"), F.col("text").alias("content"))
     store = CollectionStore.from_documents(spark, path, parts, **options)
