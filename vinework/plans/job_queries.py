@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vinework.functions import querylog, values
+from vinework.operators import sketches
 from vinework.operators.profile import latency_profile
 from vinework.operators.rag import question_context
-from vinework.plans.inputs import table
+from vinework.plans.inputs import commerce_graph, scratch_path, table
 from vinework.plans.registry import query
 
 
@@ -165,3 +166,40 @@ def degree_profile(spark, sf_dir):
     counts = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("value"))
     joined = counts.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return latency_profile(joined, "value", "c_mktsegment").drop("p99").withColumn("mean", F.round("mean", 6))
+
+
+_ENDS = {"PLACED": ("orders", "o_orderkey"), "CONTAINS": ("lineitem", "l_partkey"), "SUPPLIED_BY": ("lineitem", "l_suppkey")}
+
+
+@query(
+    "distinct_ends_sketch",
+    " UNION ALL ".join(f"SELECT '{t}' AS type, count(DISTINCT {c}) AS n, TRUE AS within FROM {f}" for t, (f, c) in _ENDS.items()),
+)
+def distinct_ends_sketch(spark, sf_dir):
+    """Distinct ends per edge type: exact, and whether the sketches of four batches, merged, are within their bound."""
+    ends = commerce_graph(spark, sf_dir, types=list(_ENDS)).edge_ends().select("type", "end_id", F.pmod(F.xxhash64("id"), F.lit(4)).alias("batch"))
+    store = sketches.SketchTable(spark, scratch_path(spark, "sketches"), "type string")
+    for batch in range(4):
+        store.put(str(batch), sketches.distinct_sketches(ends.filter(F.col("batch") == batch), ["type"], "end_id"))
+    estimates = sketches.distinct_counts(store.read(), ["type"])
+    exact = ends.groupBy("type").agg(F.count_distinct("end_id").alias("n"))
+    within = F.abs(F.col("estimate") - F.col("n")) <= F.col("n") * sketches.distinct_error()
+    return exact.join(estimates, "type").select("type", "n", within.alias("within"))
+
+
+@query(
+    "latency_sketch",
+    """SELECT event_type, rank, n, TRUE AS within
+       FROM (SELECT event_type, count(value) AS n FROM events GROUP BY 1), (SELECT unnest([0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0])::DOUBLE AS rank)""",
+)
+def latency_sketch(spark, sf_dir):
+    """Quantiles per event type from a sketch per day: whether the exact rank of each estimate is within the bound."""
+    events = table(spark, sf_dir, "events").select("event_type", "value", F.to_date("ts").alias("day"))
+    daily = sketches.quantile_sketches(events, ["event_type", "day"], "value")
+    found = sketches.quantiles(daily, ["event_type"], [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0])
+    counted = events.filter("value IS NOT NULL").join(found, "event_type").groupBy("event_type", "rank", "n").agg(
+        F.count_if(F.col("value") < F.col("estimate")).alias("below"), F.count_if(F.col("value") <= F.col("estimate")).alias("upto")
+    )
+    error = sketches.rank_error() * F.col("n")
+    within = (F.col("below") - error <= F.col("rank") * F.col("n")) & (F.col("upto") + error >= F.col("rank") * F.col("n"))
+    return counted.select("event_type", "rank", "n", within.alias("within"))
