@@ -8,6 +8,7 @@ from vinework.functions import vectors
 from vinework.functions.embed import length_embedder, model_embedder
 from vinework.functions.kernels import diverse_picks
 from vinework.functions.vectors import Metric
+from vinework.operators import ann
 from vinework.operators.ann import build_cells, recall
 from vinework.operators.knn import knn
 from vinework.operators.rag import expand, question_context
@@ -218,3 +219,41 @@ def test_with_documents(spark):
     corpus = spark.createDataFrame([(1, [1.0], "t", "{}", "n")], "id bigint, embedding array<float>, content string, metadata string, node_id string")
     hits = search(corpus, frame(spark, [(9, [1.0])], "qid"), 1)
     assert with_documents(hits, corpus).first().content == "t"
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "ip"])
+def test_exact_search_skips_cells_of_clustered_vectors(spark, metric, tmp_path):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 8)) * 10
+    rows = [(i, (centres[i % 40] + rng.normal(size=8) * 0.2).tolist()) for i in range(3000)]
+    rows += [(5000, None), (5001, [0.0] * 8), (5002, rows[0][1]), (5003, rows[0][1])]
+    corpus = spark.createDataFrame(rows, "id bigint, embedding array<double>")
+    queries = spark.createDataFrame([(i, rows[i * 7][1]) for i in range(60)] + [(100, [0.0] * 8), (101, None)], "qid int, embedding array<double>")
+    index = ann.build_cells(corpus, 40, metric, iterations=8).save(str(tmp_path / "cells"))
+    for k in (1, 5):
+        found = index.search_exact(queries, k, digits=6)
+        truth = knn(corpus, queries, k, metric, digits=6)
+        key = lambda df: sorted((r.qid, r["rank"], r.id, str(r.distance)) for r in df.collect())
+        assert key(found) == key(truth)
+    read = index.cells_read(queries.filter("qid < 100"), 5, digits=6).collect()
+    assert len(read) == 60 and all(r.cells == 40 for r in read)
+    if metric != "ip":  # no triangle inequality holds for inner products, so their bounds are loose
+        assert sum(r.read for r in read) < 0.3 * 40 * 60
+
+
+def test_number_of_cells_follows_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL_ROWS", 50)
+    corpus = spark.range(1000).select("id", F.array(F.sin("id"), F.cos("id")).alias("embedding"))
+    assert len(ann.build_cells(corpus, metric="l2", iterations=2).centres) == 20
+    monkeypatch.setattr(ann, "MOST_CELLS", 5)
+    assert len(ann.build_cells(corpus, metric="l2", iterations=2).centres) == 5
+    monkeypatch.setattr(ann, "MOST_FIT_ROWS", 100)
+    index = ann.build_cells(corpus, metric="l2", iterations=2)
+    assert index.cells.count() == 1000 and index.search(corpus.withColumnRenamed("id", "qid").limit(3), 1, nprobe=5).count() == 3
+
+
+def test_large_query_sets_stay_off_the_driver(spark, data, monkeypatch):
+    corpus, queries = frame(spark, data[0]), frame(spark, data[1], "qid")
+    monkeypatch.setattr("vinework.operators.knn.SHIPPED_BYTES", 64)
+    plan = knn(corpus, queries, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan

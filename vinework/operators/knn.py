@@ -39,7 +39,7 @@ def knn(
     vec_col: str = "embedding",
     qid_col: str = "qid",
     query_vec: str = "embedding",
-    plan: str = "ship",
+    plan: str = "auto",
     shipped_queries: int = SHIPPED_QUERIES,
 ) -> DataFrame:
     """k nearest corpus rows of every query: ``qid, rank, id, distance, *carry``.
@@ -50,14 +50,15 @@ def knn(
     columns to hand through, such as the vector or the content.
 
     With ``plan="ship"`` queries travel to the rows, ``shipped_queries`` and
-    64 MB at a time, and the corpus is read once for each such batch: for
-    query sets that fit a few batches. With ``plan="blocks"`` both sides are
-    cut to blocks that meet in a grid: for large query sets. Both are exact.
+    64 MB at a time, and the corpus is read once for each such batch. With
+    ``plan="blocks"`` both sides are cut to blocks that meet in a grid. Both
+    are exact. ``auto`` ships queries that fit one batch, so no more than that
+    ever reaches the driver, and uses blocks for all larger sets.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    if plan not in ("ship", "blocks"):
-        raise ValueError("plan must be 'ship' or 'blocks'")
+    if plan not in ("auto", "ship", "blocks"):
+        raise ValueError("plan must be 'auto', 'ship' or 'blocks'")
     metric = Metric(metric).value
     rows = corpus if where is None else corpus.filter(where)
     rows = rows.select(*dict.fromkeys([id_col, vec_col, *carry]))
@@ -66,8 +67,8 @@ def knn(
     )
     columns = list(dict.fromkeys([id_col, *carry]))
     n, dim = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("_qvec")), F.lit(0))).first()
-    if plan == "ship":
-        batches = max(1, -(-n // shipped_queries), -(-n * 8 * dim // SHIPPED_BYTES))
+    batches = max(1, -(-n // shipped_queries), -(-n * 8 * dim // SHIPPED_BYTES))
+    if plan == "ship" or (plan == "auto" and batches == 1):
         dealt = asked.withColumn("_batch", F.pmod(F.xxhash64("_qid"), F.lit(batches)))
         parts = [dealt.filter(F.col("_batch") == i).drop("_batch").toArrow() for i in range(batches)]
         near = reduce(
@@ -131,8 +132,7 @@ def blockwise(
 
     Each cell is cut into a grid of row blocks and query blocks by hash, with
     as many blocks as its size asks for, so one crowded cell is spread over
-    many tasks and every task holds two bounded blocks. The grid table has one
-    row per cell and is therefore broadcast.
+    many tasks and every task holds two bounded blocks.
     """
     block_rows = block_rows or max(1, ROW_BLOCK_BYTES // (8 * dim))
     block_queries = block_queries or max(1, QUERY_BLOCK_BYTES // (8 * dim))
@@ -146,13 +146,13 @@ def blockwise(
         )
     )
     spread_rows = (
-        rows.join(F.broadcast(grid), "_cell")
+        rows.join(grid, "_cell")
         .withColumn("_rb", F.pmod(F.xxhash64(F.col(id_col)), F.col("_row_blocks")))
         .withColumn("_qb", F.explode(_numbers("_query_blocks")))
         .drop("_row_blocks", "_query_blocks")
     )
     spread_queries = (
-        asked.join(F.broadcast(grid), "_cell")
+        asked.join(grid, "_cell")
         .withColumn("_qb", F.pmod(F.xxhash64(F.col("_qid")), F.col("_query_blocks")))
         .withColumn("_rb", F.explode(_numbers("_row_blocks")))
         .drop("_row_blocks", "_query_blocks")

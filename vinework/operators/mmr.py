@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from vinework.functions import kernels
 from vinework.functions.vectors import Metric
 from vinework.operators.knn import knn
+from vinework.runtime import cut_lineage
 
 
 def mmr(
@@ -35,13 +36,16 @@ def mmr(
     """Pick k of the ``fetch_k`` nearest rows per query, in pick order.
 
     Candidates follow the metric, selection always uses cosine similarity.
-    The candidates' stored vectors are carried along, and a query's list never
-    holds more than ``fetch_k`` rows.
+    Ids compete for the ``fetch_k`` places; only the rows that get one are read
+    again for their vectors and carried columns. A query's list never holds
+    more than ``fetch_k`` rows. Ids are unique in the corpus.
     """
     near = knn(
-        corpus, queries, fetch_k, metric, where=where, carry=tuple(dict.fromkeys([*carry, vec_col])),
+        corpus, queries, fetch_k, metric, where=where,
         digits=digits, id_col=id_col, vec_col=vec_col, qid_col=qid_col, query_vec=query_vec,
     )
+    # Written, so that the search runs once and Spark knows how few rows ask.
+    near = cut_lineage(near, "near").join(corpus.select(*dict.fromkeys([id_col, *carry, vec_col])), id_col)
     kept = [c for c in carry if c != vec_col]
     entry = F.struct("rank", F.col(id_col), "distance", *kept, F.col(vec_col).cast("array<double>").alias("_vec"))
     lists = near.groupBy(qid_col).agg(F.array_sort(F.collect_list(entry), lambda a, b: a["rank"] - b["rank"]).alias("_near"))
