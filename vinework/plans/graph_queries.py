@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vinework.functions.filters import label_allowed, text_equals_all
-from vinework.operators import schema
+from vinework.operators import reach, schema
 from vinework.operators.pattern import degree, keyed_pairs, match, paths
 from vinework.operators.traverse import first_wins, traverse
 from vinework.plans.inputs import LINKS_SQL, commerce_graph, link_graph, relay_graph, table
 from vinework.plans.registry import query
-from vinework.sources.graph import edge, vertex
+from vinework.sources.graph import PropertyGraph, edge, vertex
 
 GID = "(({no}::BIGINT << 48) + {key})"
 
@@ -134,6 +134,39 @@ def khop6_distinct(spark, sf_dir):
     return _khop(spark, sf_dir, 6)
 
 
+def _ends_sql(links: str, hops: int, start: str = "") -> str:
+    joins = " ".join(
+        f"JOIN links e{i} ON e{i}.s = e{i - 1}.t " + "".join(f"AND e{i}.id <> e{j}.id " for j in range(1, i))
+        for i in range(2, hops + 1)
+    )
+    return f"WITH {links} SELECT DISTINCT e{hops}.t AS end_id FROM links e1 {joins} {start}"
+
+
+@query("khop6_ends", _ends_sql(LINKS_SQL, 6, "WHERE e1.s IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"))
+def khop6_ends(spark, sf_dir):
+    """Ends of walks of six edges from many customers, with a bounded family of edge sets per node."""
+    graph = link_graph(spark, sf_dir)
+    return reach.distinct_ends(graph, "LINKS", 6, graph.nodes("Customer").filter(F.col("c_mktsegment") == "BUILDING"))
+
+
+_HUB_SQL = """links AS (
+    SELECT 2 * c_custkey AS id, c_custkey AS s, -1 - c_nationkey AS t FROM customer
+    UNION ALL SELECT 2 * c_custkey + 1, -1 - c_nationkey, c_custkey FROM customer WHERE c_acctbal > 0)"""
+
+
+@query("khop4_hub_ends", _ends_sql(_HUB_SQL, 4, "WHERE e1.s >= 0"))
+def khop4_hub_ends(spark, sf_dir):
+    """The same through hubs: customers to their nation and, if they have money, back."""
+    customer = table(spark, sf_dir, "customer")
+    key, hub = F.col("c_custkey"), (-1 - F.col("c_nationkey")).cast("bigint")
+    out = customer.select((key * 2).alias("id"), key.alias("start_id"), hub.alias("end_id"), F.lit("Customer").alias("src_label"), F.lit("Nation").alias("dst_label"))
+    back = customer.filter("c_acctbal > 0").select(
+        (key * 2 + 1).alias("id"), hub.alias("start_id"), key.alias("end_id"), F.lit("Nation").alias("src_label"), F.lit("Customer").alias("dst_label")
+    )
+    nodes = {"Customer": customer.withColumn("id", key)}
+    return reach.distinct_ends(PropertyGraph(nodes, {"AT": out.unionByName(back)}), "AT", 4, nodes["Customer"])
+
+
 @query(
     "path_from_starts",
     f"""WITH {LINKS_SQL}
