@@ -225,3 +225,15 @@ def test_bucketed_edges_need_no_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.sql("DROP TABLE vinework_test_edges")
+
+
+def test_late_rows_do_not_replace_newer_ones(spark, tmp_path):
+    """Batches in any order, over restarts, give the newest row of every key."""
+    schema = "id string, content string, seq bigint"
+    batches = [[("a", "a5", 5), ("b", "b1", 1), ("a", "a4", 4)], [("a", "a3", 3), ("b", "b2", 2), (None, "x", 9), ("c", "none", None)], [("a", "a6", 6), ("b", "b0", 0), ("c", "c1", 1)]]
+    store = CollectionStore(spark, str(tmp_path / "c"), buckets=2).create()
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        stream_documents(stream, store, str(tmp_path / "cp"), ordered=True).awaitTermination()
+    assert sorted((r.id, r.content) for r in store.read().collect()) == [("a", "a6"), ("b", "b2"), ("c", "c1")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vinework.operators import merge
 from vinework.operators.pattern import match
-from vinework.plans.inputs import commerce_graph, table
+from vinework.plans.inputs import commerce_graph, scratch_path, table
 from vinework.plans.registry import query
 from vinework.runtime import shared_dir
 from vinework.sources import collection as docs
@@ -264,6 +264,26 @@ def stream_upsert(spark, sf_dir):
     return store.read().select("id", F.md5(F.col("content").cast("binary")).alias("content"))
 
 
+@query("stream_upsert_ordered", f"WITH {_UPSERT_SQL} SELECT id, md5(content) AS content FROM after")
+def stream_upsert_ordered(spark, sf_dir):
+    """The same in the wrong order: the newer passages arrive first, the older documents later, after a restart."""
+    base = scratch_path(spark, "ordered")
+    store = CollectionStore(spark, f"{base}/collection", buckets=8).create()
+    for version, rows in ((0, _incoming(table(spark, sf_dir, "benchmark"))), (1, _stored(table(spark, sf_dir, "documents")).withColumn("seq", F.lit(-1)))):
+        rows.select("id", "content", "metadata", F.col("seq").cast("bigint")).write.parquet(f"{base}/in/arrival={version}")
+        stream = spark.readStream.schema("id string, content string, metadata string, seq bigint, arrival int").parquet(f"{base}/in")
+        stream_documents(stream.drop("arrival"), store, f"{base}/checkpoint", ordered=True).awaitTermination()
+    return store.read().select("id", F.md5(F.col("content").cast("binary")).alias("content"))
+
+
+@query("collection_by_ids", "SELECT doc_id::VARCHAR AS id, md5(text) AS content FROM documents WHERE doc_id IN (0, 3, 5, 8, 13, 999999999)")
+def collection_by_ids(spark, sf_dir):
+    """Rows of a literal id list; unknown ids are absent, and a list without ids has no rows."""
+    stored = _stored(table(spark, sf_dir, "documents"))
+    found = docs.by_ids(stored, ["0", "3", "5", "8", "13", "999999999"]).unionByName(docs.by_ids(stored, []))
+    return found.select("id", F.md5(F.col("content").cast("binary")).alias("content"))
+
+
 @query(
     "collection_get",
     "SELECT doc_id::VARCHAR AS id, md5(text) AS content FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)",
