@@ -15,7 +15,7 @@ from vinework.runtime import shared_dir
 from vinework.sources import collection as docs
 from vinework.sources.collection import CollectionStore
 from vinework.sources.graph import GraphStore
-from vinework.sources.layout import cluster_by_property
+from vinework.sources.layout import cluster_by_properties, cluster_by_property
 from vinework.streaming.upsert import stream_graph
 
 
@@ -98,6 +98,21 @@ def indexed_lookup(spark, sf_dir):
     return spark.read.parquet(filtered).filter("c_mktsegment = 'MACHINERY' AND c_nationkey = 7").select("c_custkey", "c_name")
 
 
+@query(
+    "zorder_lookup",
+    """SELECT c_custkey, c_name, 'box' AS found FROM customer WHERE c_nationkey BETWEEN 5 AND 8 AND c_acctbal BETWEEN 1000 AND 3000
+       UNION ALL SELECT c_custkey, c_name, 'pair' FROM customer WHERE c_nationkey = 7 AND c_mktsegment = 'MACHINERY'""",
+)
+def zorder_lookup(spark, sf_dir):
+    """Look-ups on several properties of a table in Z-order."""
+    customers, path = table(spark, sf_dir, "customer").withColumn("id", F.col("c_custkey")), _place(spark, "zorder")
+    cluster_by_properties(customers, ["c_nationkey", "c_acctbal", "c_mktsegment"], path, files=16)
+    stored = spark.read.parquet(path)
+    box = stored.filter("c_nationkey BETWEEN 5 AND 8 AND c_acctbal BETWEEN 1000 AND 3000").select("c_custkey", "c_name", F.lit("box").alias("found"))
+    pair = stored.filter("c_nationkey = 7 AND c_mktsegment = 'MACHINERY'").select("c_custkey", "c_name", F.lit("pair").alias("found"))
+    return box.unionByName(pair)
+
+
 _NEIGHBOURS = """
   SELECT n_nationkey, 'IN_NATION' AS rel_type, 'in' AS direction, 'Customer' AS label, c_name AS name FROM nation JOIN customer ON c_nationkey = n_nationkey
   UNION ALL SELECT n_nationkey, 'IN_NATION', 'in', 'Supplier', s_name FROM nation JOIN supplier ON s_nationkey = n_nationkey
