@@ -33,13 +33,13 @@ def test_simhash_empty(odd):
     assert simhash.near_duplicates(none).count() == 0 and simhash.drop_near_duplicates(none).count() == 0
 
 
-def test_triples_cover_every_four_positions():
+def test_position_sets_cover_the_guaranteed_matches():
     from itertools import combinations
 
-    for distance in (4, 5):
-        triples = [set(t) for t in simhash.position_triples(distance)]
-        assert all(any(t <= set(four) for t in triples) for four in combinations(range(8), 8 - distance))
-    assert len(simhash.position_triples(4)) == 20
+    for distance in range(6):
+        wanted = [set(p) for p in simhash.position_sets(distance)]
+        assert all(any(w <= set(shared) for w in wanted) for shared in combinations(range(8), 8 - distance))
+    assert len(simhash.position_sets(4)) == 70 and {len(p) for p in simhash.position_sets(4)} == {4}
 
 
 def test_long_posting_lists_in_parts(spark, monkeypatch):

@@ -124,6 +124,16 @@ def test_mixing_matches_sql(spark):
         assert spark_result(queries.op4_source_mixing(spark, sf)) == duck_result(duck(sf), queries.OP4_SQL)
 
 
+def test_mixing_of_repeated_ids_of_different_sizes(spark, tmp_path):
+    """Rows of one id are taken together, also where a small and a large one share it."""
+    rows = [(i, "w " * (1 + i * 7 % 40), f"s{i % 4}") for i in range(120)] + [(i, "w " * 90, f"s{i % 4}") for i in range(0, 120, 2)]
+    rows += [(i, "w", f"s{i % 4}") for i in range(0, 120, 5)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert spark_result(queries.op4_source_mixing(spark, str(tmp_path))) == duck_result(con, queries.OP4_SQL)
+
+
 def test_mixing_odd_rows(odd, odd_rows):
     found = mixing.shares(odd.select("doc_id", "text", "source")).collect()
     assert sorted(str(r["size"]) for r in found) == sorted(str(len((t or "").encode().split())) for _, t, _, _ in odd_rows)

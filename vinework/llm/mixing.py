@@ -82,17 +82,19 @@ def _targets(sources: DataFrame, most: int) -> DataFrame:
 def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """Per source: ``source_size, target, whole`` (times everything is taken), ``below`` and ``extra`` (what is taken once more).
 
-    ``sized`` has ``source, source_key, size, place``.
+    ``sized`` is a written table with ``source, source_key, size, place``. Sums
+    leave a task as one row per source, or source and bucket; rows are grouped
+    by their hash only where the budget ends, and to find what tops it up.
     """
-    places = cut_lineage(sized.groupBy("source", "source_key", "place").agg(F.sum("size").alias("words")), "places")
-    sources = places.groupBy("source", "source_key").agg(F.sum("words").alias("source_size"))
+    sources = sized.groupBy("source", "source_key").agg(F.sum("size").alias("source_size"))
     sources = _numbered(sources).withColumn("weight", _weight(weights))
     sources = _targets(cut_lineage(sources, "sources"), most)
     whole = F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))
     whole = F.when(F.col("source_size") > 0, whole).otherwise(0)
     sources = sources.withColumn("whole", whole).withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
     sources = cut_lineage(sources, "targets")
-    open_, rest, found = sources.select("source_key", "left"), places, None
+    rest = sized.select("source_key", "place", F.col("size").alias("words"))
+    open_, found = sources.select("source_key", "left"), None
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
         bucket = F.shiftright("place", shift)
         sums = rest.groupBy("source_key", bucket.alias("bucket")).agg(
@@ -113,14 +115,29 @@ def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         rest = rest.withColumn("bucket", bucket).join(here, ["source_key", "bucket"], "left_semi").drop("bucket")
         rest = cut_lineage(rest, "rest")
     found = cut_lineage(found, "found")
-    off = F.abs(F.col("words") - F.col("left"))
-    above = places.join(found, "source_key").filter((F.col("place") >= F.col("below")) & (off < F.col("left")))
-    extra = above.groupBy("source_key").agg(F.min(F.struct(off.alias("off"), "place")).alias("best"))
+    extra = cut_lineage(_nearest_above(sized, found), "extra")
     out = sources.join(found.drop("left"), "source_key", "left").join(extra, "source_key", "left")
     below, extra = F.coalesce("below", F.lit(0).cast("bigint")), F.coalesce("best.place", F.lit(-1).cast("bigint"))
     return cut_lineage(out.select("source_key", "source_size", "target", "whole", below.alias("below"), extra.alias("extra")), "thresholds")
 
 
+def _nearest_above(sized: DataFrame, found: DataFrame) -> DataFrame:
+    """Per source, the hash at or above ``below`` whose words come nearest to ``left``, if that is nearer than nothing (``best``)."""
+    off = F.abs(F.col("words") - F.col("left"))
+
+    def nearest(rows: DataFrame) -> DataFrame:
+        summed = rows.groupBy("source_key", "place").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
+        return summed.filter(off < F.col("left")).groupBy("source_key").agg(F.min(F.struct(off.alias("off"), "place", "words")).alias("best"))
+
+    above = sized.join(found, "source_key").filter(F.col("place") >= F.col("below"))
+    # A hash that qualifies has no document of twice the words that are left, so the larger ones need no grouping.
+    extra = cut_lineage(nearest(above.filter(F.col("size") < 2 * F.col("left"))), "nearest")
+    # Unless documents of one id differ in size, and the larger of them was left out.
+    chosen = extra.select("source_key", F.col("best.place").alias("place"), F.col("best.words").alias("words"))
+    whole = sized.join(chosen, ["source_key", "place"]).groupBy("source_key", "place", "words").agg(F.sum("size").alias("all"))
+    return extra if whole.filter("all <> words").isEmpty() else nearest(above)
+
+
 def _copies(place_col: Column) -> Column:
     once_more = (place_col < F.col("below")) | (place_col == F.col("extra"))
     return (F.col("whole") + F.when(once_more, 1).otherwise(0)).cast("int")
@@ -152,6 +169,6 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     marked = docs.select(
         document, _source_key(F.col(source_col)).alias("source_key"), place(F.col(id_col), F.col(text_col)).alias("place"), text_size(F.col(text_col)).alias("size")
     )
-    slim = docs.select(F.col(source_col).alias("source"), _source_key(F.col(source_col)).alias("source_key"), text_size(F.col(text_col)).alias("size"), place(F.col(id_col), F.col(text_col)).alias("place"))
+    slim = cut_lineage(sizes(docs, id_col, text_col, source_col).drop("id"), "sizes")
     out = marked.join(thresholds(slim, weights, most), "source_key").withColumn("copies", _copies(F.col("place"))).filter("copies > 0")
     return out.select(*own, "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))

@@ -2,8 +2,8 @@
 
 The index is inverted by byte position. Two 64-bit fingerprints that differ in
 at most d bits share at least 8 - d of their 8 positional bytes. A posting list
-holds the fingerprints with the same three positional bytes; twenty triples of
-positions are enough that every four positions contain one of them, so each
+holds the fingerprints with the same bytes at 8 - d positions, 4 at most, so
+that its key has up to 32 bits and unlike fingerprints seldom share it; each
 pair with the guaranteed matches meets in a posting list. There its shared
 bytes are tallied, pairs with fewer matches go, and the rest is verified by the
 distance itself. A posting list never becomes pairs: what leaves it are links
@@ -80,20 +80,11 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE
     return docs.mapInArrow(add, schema)
 
 
-def position_triples(distance: int) -> list[tuple[int, int, int]]:
-    """Triples of byte positions such that any 8 - distance positions hold one of them."""
+def position_sets(distance: int) -> list[tuple[int, ...]]:
+    """Sets of byte positions such that any 8 - distance positions hold one of them: all of that size, of 4 if it is larger."""
     if not 0 <= distance <= 5:
-        raise ValueError("triples of bytes find distances up to 5")
-    if distance == 5:
-        return list(combinations(range(8), 3))
-    # Positions in three rings: triples inside a ring, or two of a ring and one of the next.
-    ring = [i % 3 for i in range(8)]
-    wanted = []
-    for triple in combinations(range(8), 3):
-        a, b, c = sorted(ring[i] for i in triple)
-        if a == c or (a, b, c) in ((0, 0, 1), (1, 1, 2), (0, 2, 2)):
-            wanted.append(triple)
-    return wanted
+        raise ValueError("sets of bytes find distances up to 5")
+    return list(combinations(range(8), min(8 - distance, 4)))
 
 
 def _links(distance: int):
@@ -175,9 +166,9 @@ def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def near_links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``a, b``: links whose components are those of all pairs of ``fps`` within the distance."""
     keys = []
-    for i, triple in enumerate(position_triples(distance)):
+    for i, positions in enumerate(position_sets(distance)):
         value = F.lit(i).cast("bigint")
-        for byte in triple:
+        for byte in positions:
             value = F.shiftleft(value, 8).bitwiseOR(F.shiftrightunsigned(F.col("fp"), 8 * byte).bitwiseAND(F.lit(255)))
         keys.append(value)
     postings = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
