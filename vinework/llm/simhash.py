@@ -174,7 +174,8 @@ def near_links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     postings = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
     sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
     sizes = cut_lineage(sizes.select("key", F.ceil(F.col("n") / LONG_LIST).cast("int").alias("parts")), "lists")
-    met = postings.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    # Lists grow with the fingerprints, so they are never sent to all tasks.
+    met = postings.join(sizes.hint("merge"), "key").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     met = met.select("key", "fp", "parts", "part", other)
     low, high = F.least("part", "other"), F.greatest("part", "other")
