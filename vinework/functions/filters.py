@@ -38,6 +38,8 @@ class MetadataFilter:
     value. Such keys are compared on the typed column, which reaches the
     Parquet reader as a pushed filter and needs no JSON parsing; presence and
     text patterns are still judged on the bag, so promotion changes no answer.
+    Conditions on promoted keys stay conjuncts of their own; all others of one
+    filter share a single parse of the text.
     Keys beside ``$and`` or ``$or`` are ignored; ``strict=True`` raises instead.
     ``on_bad='null'`` drops non-numeric values in numeric comparisons, where
     the default raises.
@@ -53,6 +55,7 @@ class MetadataFilter:
         on_bad: str = "error",
     ) -> None:
         column = F.col(metadata) if isinstance(metadata, str) else metadata
+        self.is_map = is_map
         self.bag = column if is_map else F.from_json(column, "map<string,string>")
         self.promoted = {k: F.col(c) if isinstance(c, str) else c for k, c in (promoted or {}).items()}
         self.strict = strict
@@ -62,14 +65,45 @@ class MetadataFilter:
 
     def compile(self, spec: Mapping[str, Any] | None) -> Column | None:
         """Column for ``spec``, or None when there is nothing to filter."""
-        return self._all_of(spec, 0) if spec else None
+        if not spec:
+            return None
+        parsed = [part for part in self._parts(spec, 0) if self._reads(*part)]
+        typed = [self._all_of(*part, self.bag) for part in self._parts(spec, 0) if not self._reads(*part)]
+        if not self.is_map and sum(self._reads(*part) for part in parsed) > 1:
+            # The element of the array is computed once, whatever the number of conditions on it.
+            judge = lambda bag: _fold([self._all_of(*part, bag) for part in parsed], lambda a, b: a & b)
+            return _fold([*typed, F.exists(F.array(self.bag), judge)], lambda a, b: a & b)
+        return _fold([*typed, *(self._all_of(*part, self.bag) for part in parsed)], lambda a, b: a & b)
+
+    def _parts(self, spec: Mapping[str, Any], depth: int) -> list[tuple[Mapping[str, Any], int]]:
+        """The conjuncts of a filter with their depths."""
+        if depth > MAX_DEPTH or not spec:
+            return [(spec, depth)]
+        if "$and" in spec and spec["$and"] and not (self.strict and len(spec) > 1):
+            return [part for sub in spec["$and"] for part in self._parts(sub, depth + 1)]
+        if "$and" in spec or "$or" in spec:
+            return [(spec, depth)]
+        return [({key: wanted}, depth) for key, wanted in spec.items()]
+
+    def _reads(self, spec: Mapping[str, Any], depth: int) -> int:
+        """Number of conditions that read the bag itself."""
+        if depth > MAX_DEPTH:
+            return 0
+        for logic in ("$and", "$or"):
+            if logic in spec:
+                return sum(self._reads(sub, depth + 1) for sub in spec[logic])
+        found = 0
+        for key, wanted in spec.items():
+            for op in wanted if isinstance(wanted, Mapping) else ("$eq",):
+                found += key not in self.promoted or op in ("$exists", "$like", "$ilike")
+        return found
 
-    def _all_of(self, spec: Mapping[str, Any], depth: int) -> Column:
+    def _all_of(self, spec: Mapping[str, Any], depth: int, bag: Column) -> Column:
         if depth > MAX_DEPTH:
             raise ValueError(f"{TOO_DEEP} {MAX_DEPTH}.")
         for logic in ("$and", "$or"):
             if logic in spec:
-                return self._logic(logic, spec, depth)
+                return self._logic(logic, spec, depth, bag)
         if not spec:
             raise ValueError("empty filter inside a filter")
         terms: list[Column] = []
@@ -77,25 +111,25 @@ class MetadataFilter:
             if isinstance(wanted, Mapping):
                 if not wanted:
                     raise ValueError(f"no operator given for {key!r}")
-                terms += [self._compare(key, op, value) for op, value in wanted.items()]
+                terms += [self._compare(key, op, value, bag) for op, value in wanted.items()]
             else:
-                terms.append(self._compare(key, "$eq", wanted))
+                terms.append(self._compare(key, "$eq", wanted, bag))
         return _fold(terms, lambda a, b: a & b)
 
-    def _logic(self, logic: str, spec: Mapping[str, Any], depth: int) -> Column:
+    def _logic(self, logic: str, spec: Mapping[str, Any], depth: int, bag: Column) -> Column:
         if self.strict and len(spec) > 1:
             raise ValueError(f"keys beside {logic} would be ignored; put them inside it")
-        branches = [self._all_of(sub, depth + 1) for sub in spec[logic]]
+        branches = [self._all_of(sub, depth + 1, bag) for sub in spec[logic]]
         if not branches:
             raise ValueError(f"{logic} needs at least one filter")
         return _fold(branches, (lambda a, b: a & b) if logic == "$and" else (lambda a, b: a | b))
 
-    def _compare(self, key: str, op: str, value: Any) -> Column:
+    def _compare(self, key: str, op: str, value: Any, bag: Column) -> Column:
         typed = self.promoted.get(key)
         if op == "$exists":
-            present = F.coalesce(F.map_contains_key(self.bag, F.lit(key)), F.lit(False))
+            present = F.coalesce(F.map_contains_key(bag, F.lit(key)), F.lit(False))
             return present if value else ~present
-        text = F.try_element_at(self.bag, F.lit(key)) if typed is None else typed.cast("string")
+        text = F.try_element_at(bag, F.lit(key)) if typed is None else typed.cast("string")
         if op in ("$eq", "$ne"):
             same = text == as_text(value) if typed is None else typed == F.lit(value)
             return same if op == "$eq" else ~same
@@ -109,7 +143,7 @@ class MetadataFilter:
                 found = typed.isin(list(value))
             return found if op == "$in" else ~found
         if op in ("$like", "$ilike"):
-            written = F.try_element_at(self.bag, F.lit(key))
+            written = F.try_element_at(bag, F.lit(key))
             return written.like(as_text(value)) if op == "$like" else written.ilike(as_text(value))
         if op not in ("$lt", "$lte", "$gt", "$gte", "$between"):
             raise ValueError(f"{UNKNOWN_OPERATOR}: {op!r}")

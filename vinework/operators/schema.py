@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vinework.functions.filters import label_allowed
 from vinework.sources.graph import EDGE_COLUMNS, INTERNAL_PREFIX, PropertyGraph
@@ -31,6 +32,56 @@ def bag_properties(rows: DataFrame, label: str, props: str = "props") -> DataFra
     return keys.distinct().groupBy("label").agg(F.array_sort(F.collect_list("_key")).alias("properties"))
 
 
+def variant_properties(rows: DataFrame, label: str, props: str = "props") -> DataFrame:
+    """Typed keys of property bags: ``label, key, type, n_rows, n_null``.
+
+    ``props`` is a VARIANT, a JSON text, which is parsed once for all keys, or
+    a map of JSON scalars, in which other texts are strings. ``type`` is the
+    least type that holds all values of the key, ``VARIANT`` where there is
+    none and ``VOID`` where all are JSON null. ``n_rows`` counts the bags with
+    the key and ``n_null`` those where it is JSON null. Bags that are no object
+    have no keys. Tasks merge types first, so a row per label, key and task is
+    shuffled, whatever the number of bags.
+    """
+    return _keyed_values(rows, label, props).filter(F.col("key").isNotNull()).groupBy("label", "key").agg(
+        F.schema_of_variant_agg("_value").alias("type"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("_value").isNull() | F.is_variant_null("_value")).alias("n_null"),
+    )
+
+
+def _keyed_values(rows: DataFrame, label: str, props: str) -> DataFrame:
+    """``label, key, _value``; a bag without keys has one row without a key."""
+    named = rows.filter(~F.col(label).startswith(INTERNAL_PREFIX)).select(F.col(label).alias("label"), F.col(props).alias("_bag"))
+    if isinstance(named.schema["_bag"].dataType, T.MapType):
+        found = named.select("label", F.explode_outer("_bag").alias("key", "_text"))
+        value = F.coalesce(F.try_parse_json("_text"), F.col("_text").cast("variant"))
+        return found.select("label", "key", value.alias("_value"))
+    if isinstance(named.schema["_bag"].dataType, T.StringType):
+        named = named.withColumn("_bag", F.try_parse_json("_bag"))
+    entries = rows.sparkSession.tvf.variant_explode_outer(F.col("_bag").outer())
+    return named.lateralJoin(entries).select("label", "key", F.col("value").alias("_value"))
+
+
+# Variant types that a column can have as they are; columns of all other properties hold texts.
+COLUMN_TYPES = ("BIGINT", "DOUBLE", "BOOLEAN", "STRING", "DECIMAL", "DATE", "TIMESTAMP", "FLOAT")
+
+
+def discover(rows: DataFrame, label: str, props: str = "props") -> dict[str, str]:
+    """Every label with the typed column list of its properties, as ``PropertyGraph.from_bags`` takes it.
+
+    What reaches the driver is a row per label. The property ``id`` is the key
+    of a node and is left out.
+    """
+    wanted = F.col("key").isNotNull() & (F.col("key") != "id")
+    typed = _keyed_values(rows, label, props).groupBy("label", "key").agg(F.schema_of_variant_agg("_value").alias("type"))
+    kept = reduce(lambda a, b: a | b, [F.col("type").startswith(t) for t in COLUMN_TYPES])
+    quoted = F.concat(F.lit("`"), F.replace("key", F.lit("`"), F.lit("``")), F.lit("` "))
+    entry = F.when(wanted, F.concat(quoted, F.when(kept, F.lower("type")).otherwise("string")))
+    listed = typed.groupBy("label").agg(F.array_join(F.array_sort(F.collect_list(entry)), ", ").alias("columns"))
+    return {row["label"]: row["columns"] for row in listed.collect()}
+
+
 def typed_properties(graph: PropertyGraph, kind: str) -> DataFrame:
     """Property columns per label or edge type, read from the schemas alone."""
     frames, hidden = (graph.node_frames, {"id"}) if kind == "node" else (graph.edge_frames, set(EDGE_COLUMNS))

@@ -8,7 +8,7 @@ from vinework.functions.filters import label_allowed, text_equals_all
 from vinework.operators import reach, schema
 from vinework.operators.pattern import degree, keyed_pairs, match, paths
 from vinework.operators.traverse import first_wins, traverse
-from vinework.plans.inputs import LINKS_SQL, commerce_graph, link_graph, relay_graph, table
+from vinework.plans.inputs import COLLECTION_SQL, LINKS_SQL, collection, commerce_graph, link_graph, relay_graph, table
 from vinework.plans.registry import query
 from vinework.sources.graph import PropertyGraph, edge, vertex
 
@@ -367,6 +367,23 @@ def schema_node_props(spark, sf_dir):
     return profile.select("label", F.array_join("properties", ",").alias("properties"))
 
 
+@query(
+    "schema_typed_props",
+    f"""WITH {COLLECTION_SQL},
+          bags AS (SELECT event_type AS label, props AS bag FROM events UNION ALL SELECT lang, metadata FROM collection),
+          entries AS (SELECT label, bag, unnest(json_keys(bag)) AS key FROM bags),
+          typed AS (SELECT label, key, json_type(bag, '$."' || key || '"') AS t FROM entries)
+        SELECT label, key,
+               coalesce(max(CASE t WHEN 'NULL' THEN NULL WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' ELSE t END), 'VOID') AS type,
+               count(*) AS n_rows, count(*) FILTER (t = 'NULL') AS n_null
+        FROM typed GROUP BY label, key""",
+)
+def schema_typed_props(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"), "props")
+    documents = collection(spark, sf_dir, vectors=False).select(F.col("lang").alias("label"), F.col("metadata").alias("props"))
+    return schema.variant_properties(events.unionByName(documents), "label")
+
+
 _TRIPLES_SQL = """
   triples AS (
     SELECT DISTINCT 'Customer' AS "start", 'PLACED' AS type, 'Order' AS "end" FROM orders

@@ -250,6 +250,12 @@ class GraphStore:
         """Typed view for patterns and traversals; see :meth:`PropertyGraph.from_bags`."""
         return PropertyGraph.from_bags(self.nodes(), self.edges(), labels, types)
 
+    def discovered(self) -> PropertyGraph:
+        """Typed view of all labels, edge types and properties that the store holds, with the types its values have."""
+        from vinework.operators.schema import discover
+
+        return self.graph(discover(self.nodes(), "label"), discover(self.edges(), "type"))
+
     def merge(self, documents: DataFrame, include_source: bool = False) -> None:
         """Upsert graph documents; see :func:`vinework.operators.merge.changed_rows`."""
         from vinework.operators.merge import changed_rows
