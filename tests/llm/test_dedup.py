@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -99,3 +100,41 @@ def test_cut_texts_keep_rows_and_columns(odd):
 
 def test_substrings_empty(odd):
     assert substrings.drop_repeats(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("direct", [0, 256])
+def test_substrings_with_many_small_chunks(spark, documents, monkeypatch, direct):
+    """Both exchanges equal brute force, also where chunks are many and a text is longer than a chunk."""
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 5000)
+    monkeypatch.setattr(substrings, "LEAST_BYTES", 5000)
+    monkeypatch.setattr(substrings, "DIRECT", direct)
+    docs = spark.createDataFrame(documents, "doc_id long, text string").repartition(3)
+    n = substrings._chunked(docs, "doc_id", "text")[1]
+    assert n > 30
+    columns = ["doc_id", "_sd_words", "_sd_removed", "_sd_sha256"]
+    found = [tuple(r) for r in substrings.find_repeats(docs).select(*columns).collect()]
+    assert by_id(found) == by_id(brute.kept_words(documents))
+
+
+def test_substrings_chunks_follow_bytes(spark, monkeypatch):
+    """An id, or no id, with a third of the text is cut; shuffle partitions don't multiply the runs."""
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(substrings, "LEAST_BYTES", 20_000)
+    words = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    passage = " ".join(f"p{j}" for j in range(25))
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"{words(i)} {passage}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed, n = substrings._chunked(docs, "doc_id", "text")
+    sizes = [r.n for r in keyed.groupBy(substrings.CHUNK).agg(F.sum(F.octet_length(substrings.TEXT)).alias("n")).collect()]
+    assert len(sizes) <= n and max(sizes) < 3 * substrings.CHUNK_BYTES
+    spans = keyed.groupBy(substrings.CHUNK).agg(F.min(substrings.ID).alias("a"), F.max(substrings.ID).alias("b"), F.count(substrings.ID).alias("n"))
+    order = [(r.a, r.b) for r in spans.orderBy(substrings.CHUNK).collect() if r.n]
+    assert all(x[1] <= y[0] for x, y in zip(order, order[1:], strict=False))
+    removed = [r._sd_removed for r in substrings.find_repeats(docs).collect()]
+    assert sorted(removed) == [0] + [25] * 899
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        assert substrings._chunked(docs, "doc_id", "text")[1] == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -140,13 +140,17 @@ def test_labelled_rows_are_bounded(spark, monkeypatch):
     assert len(found) == 1 and len(found.pop()) <= 150
 
 
-def test_several_rows_without_ids(spark):
-    """Rows without an id are ordered by a hash of their texts (their chunk), then by their texts."""
+@pytest.mark.parametrize("size", [40, 1 << 20])
+def test_several_rows_without_ids(spark, monkeypatch, size):
+    """Rows without an id are ordered by a hash of their texts where they fill several chunks, then by their texts."""
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", size)
+    monkeypatch.setattr(substrings, "LEAST_BYTES", size)
     passage = " ".join(f"p{i}" for i in range(30))
     rows = [(None, f"{c} {passage} {c}") for c in "abcdefgh"]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    n = substrings.packed.parts(spark)
-    chunk = {r.text: r.chunk for r in docs.select("text", F.pmod(F.xxhash64("text"), F.lit(n)).alias("chunk")).collect()}
+    keyed, n = substrings._chunked(docs, "doc_id", "text")
+    chunk = {r[0]: r[1] for r in keyed.select(substrings.TEXT, substrings.CHUNK).collect()}
+    assert (n > 8) == (size == 40) and max(chunk.values()) < n
     order = sorted(chunk, key=lambda t: (chunk[t], t))
     found = {r._sd_kept: r._sd_removed for r in substrings.find_repeats(docs).collect()}
     assert found[order[0]] == 0 and sum(v == 30 for v in found.values()) == len(order) - 1

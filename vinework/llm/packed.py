@@ -10,7 +10,7 @@ a row of its own.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 PER_PARTITION = 2
 
@@ -24,14 +24,6 @@ def parts(spark: SparkSession) -> int:
     return PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def chunk_bounds(docs: DataFrame, key: str, n: int) -> list[float]:
-    """Borders of ``n`` key ranges with about as many rows each."""
-    if key not in docs.columns:
-        raise ValueError(f"no column {key!r}")
-    wanted = [i / n for i in range(1, n)]
-    return sorted(set(docs.select(docs[key].cast("double").alias("k")).approxQuantile("k", wanted, 0.25 / n)))
-
-
 def pack(keys: np.ndarray) -> bytes:
     """Ascending unsigned keys as byte planes of their differences."""
     steps = np.diff(keys.astype(np.uint64), prepend=np.uint64(0))
