@@ -44,8 +44,8 @@ WIDTH = 20
 # Bytes of text of a chunk; small tables are dealt to all tasks in chunks of LEAST_BYTES or more.
 CHUNK_BYTES = 12 << 20
 LEAST_BYTES = 1 << 20
-# Chunks that exchange without groups.
-DIRECT = 256
+# Chunks that exchange without groups: runs have 3 kB or more then, and groups write their hashes once more.
+DIRECT = 4096
 # Ranges of the id, by rows, from which chunks of like bytes are put together, per chunk.
 FINE = 4
 # Ids above are not exact as doubles.
