@@ -161,12 +161,14 @@ class PropertyGraph:
 
 
 def _exposed(columns: str) -> list[Column]:
-    """Bag entries as typed columns; JSON texts lose their quotes."""
+    """Bag entries as typed columns; JSON texts lose their quotes, other texts are strings."""
     if not columns.strip():
         return []
     fields = T._parse_datatype_string(columns).fields
     values = [(f, F.try_element_at("props", F.lit(f.name))) for f in fields]
-    return [F.try_variant_get(F.try_parse_json(v), "$", f.dataType.simpleString()).alias(f.name) for f, v in values]
+    # A text that is no JSON stands for itself.
+    parsed = [(f, F.coalesce(F.try_parse_json(v), v.cast("variant"))) for f, v in values]
+    return [F.try_variant_get(v, "$", f.dataType.simpleString()).alias(f.name) for f, v in parsed]
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
