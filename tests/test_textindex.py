@@ -142,3 +142,23 @@ def test_collection_keeps_its_index_and_hybrid_search_uses_it(spark, tmp_path):
         hybrid(store.read(), asked, 3, ranking="proximity", index=index)
     store.drop()
     assert not index.exists()
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange REBALANCE") + plan.count("Exchange rangepartitioning")
+
+
+def test_postings_are_made_where_their_block_is(spark, index, monkeypatch):
+    written = {}
+    plain = TextIndex._write_dealt
+
+    def spy(self, rows, name, seq, *order):
+        written[name, seq] = exchanges(rows)
+        plain(self, rows, name, seq, *order)
+
+    monkeypatch.setattr(TextIndex, "_write_dealt", spy)
+    index.add(frame(spark, texts(1, range(60))))
+    index.add(frame(spark, texts(2, range(30, 90))))
+    index.compact()
+    assert [written["postings", seq] for seq in (1, 2, 3)] == [1, 1, 1]

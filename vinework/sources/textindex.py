@@ -17,6 +17,10 @@ upsert or a deletion rewrites nothing, it names the older rows that are gone.
 The batch counts when its row in ``batches`` is written, which comes last;
 what a failed batch left is overwritten by the next. :meth:`TextIndex.compact`
 rewrites the live rows as one batch. One writer at a time.
+
+Rows are shuffled once, by block: a block's texts (or, in a compaction, its
+entries) meet in one task, which makes all its postings and writes them to the
+buckets. Neither single words nor finished postings are shuffled.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ from vinework.sources.collection import last_of_batch
 
 LENGTH_STEPS = 8  # classes of length per factor e
 FIRST_BLOCKS = 4  # of each query, scored before its threshold is known
+TASK_WORDS = 1 << 22  # of the blocks that one task writes, and the least that is worth another task
+LEAST_WORDS = 1 << 18
 
 
 class TextIndex:
@@ -84,8 +90,11 @@ class TextIndex:
 
     def _write(self, rows: DataFrame, name: str, seq: int, *order: str) -> None:
         # A hot bucket is written by several tasks.
-        dealt = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *order)
-        dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/seq={seq}")
+        self._write_dealt(rows.hint("rebalance", "bucket"), name, seq, *order)
+
+    def _write_dealt(self, rows: DataFrame, name: str, seq: int, *order: str) -> None:
+        """Every task writes what it has of each bucket."""
+        rows.sortWithinPartitions("bucket", *order).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/seq={seq}")
 
     # ---- contents
 
@@ -127,14 +136,20 @@ class TextIndex:
         """Insert or replace documents. A ``seq`` column orders rows with the same id, as in :func:`last_of_batch`."""
         order = ["seq"] if "seq" in documents.columns else []
         rows = documents.select(F.col(id_col).cast(self.id_type).alias("id"), F.col(text_col).alias("content"), *order)
-        entries = words.marked_terms(F.coalesce("content", F.lit("")), self.config).alias("entries")
-        sized = last_of_batch(rows).select("id", entries)
-        sized = cut_lineage(sized.select("id", F.size("entries").alias("length"), "entries"), "texts")
+        rows = last_of_batch(rows) if order else rows
+        text = F.coalesce("content", F.lit(""))
+        texts = cut_lineage(rows.select("id", "content", F.size(words.tokens(text)).alias("length")), "texts")
+        # Without an order, rows with the same id have to be equal; their digests are compared, so no text is shuffled for it.
+        docs = cut_lineage(last_of_batch(texts.select("id", "length", F.xxhash64("content").alias("_mark"))).select("id", "length"), "docs")
+        if texts.count() > docs.count():
+            texts = last_of_batch(texts)
         seq = self._committed()[-1]["seq"] + 1
-        placed = sized.withColumn("block", self._placed(sized, seq))
-        each = placed.select("id", "block", "length", F.explode("entries").alias("term")).filter(words.is_term(F.col("term"), self.config))
+        block, tasks = self._placed(docs, seq)
+        dealt = texts.withColumn("block", block).repartition(tasks, "block")
+        each = dealt.select("id", "block", "length", F.explode(words.marked_terms(text, self.config)).alias("term"))
+        each = each.filter(words.is_term(F.col("term"), self.config))
         counts = each.groupBy("term", "block", "id").agg(F.count(F.lit(1)).cast("int").alias("tf"), F.first("length").alias("length"))
-        self._append(counts, placed.select("id", "block", "length"), seq)
+        self._append(counts, docs.withColumn("block", block).select("id", "block", "length"), seq)
 
     def delete(self, ids: DataFrame) -> None:
         """Remove documents; unknown ids are ignored."""
@@ -148,33 +163,45 @@ class TextIndex:
         rows = self._committed()
         seq = rows[-1]["seq"] + 1
         docs = cut_lineage(self.live_docs(), "live")
-        placed = docs.withColumnRenamed("block", "old").withColumn("block", self._placed(docs, seq))
+        block, tasks = self._placed(docs, seq)
         entries = _entries(self._blocks(None, rows).select("term", "block", "ids", "tfs", "lengths")).withColumnRenamed("block", "old")
-        counts = entries.join(placed.select("id", "old", "block"), ["id", "old"])
-        self._append(counts.select("term", "block", "id", "tf", "length"), placed.select("id", "block", "length"), seq, base=seq)
+        entries, gone = entries.withColumn("block", block), self._gone(rows)
+        if gone is None:
+            entries = entries.repartition(tasks, "block")
+        else:
+            # Deleted documents go where their entries go, so that a mark among the rows of a document stands for a join.
+            marks = gone.withColumnRenamed("block", "old").withColumn("block", block)
+            alike = marks.select(F.lit(None).cast("string").alias("term"), "old", "id", F.lit(None).cast("int").alias("tf"), "length", "block")
+            both = entries.unionByName(alike).repartition(tasks, "block")
+            dead = F.max(F.col("term").isNull()).over(Window.partitionBy("block", "old", "id"))
+            entries = both.withColumn("_dead", dead).filter(~F.col("_dead"))
+        self._append(entries.select("term", "block", "id", "tf", "length"), docs.withColumn("block", block).select("id", "block", "length"), seq, base=seq)
         for row in rows:
             for name in ("postings", "docs", "gone"):
                 delete_folder(self.spark, f"{self.path}/{name}/seq={row['seq']}")
         for row in rows:
             delete_folder(self.spark, f"{self.path}/batches/seq={row['seq']}")
 
-    def _placed(self, docs: DataFrame, seq: int) -> Column:
-        """Number of a document's block: its batch, its class of length, and a part of the class."""
+    def _placed(self, docs: DataFrame, seq: int) -> tuple[Column, int]:
+        """Number of a document's block, which are its batch, its class of length and a part of the class, and tasks to deal blocks to."""
         kind = F.floor(F.log1p(F.col("length").cast("double")) * LENGTH_STEPS).cast("int")
         # A class per step of length: some 200 rows.
-        sizes = {r["kind"]: r["n"] for r in docs.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        parts = F.create_map(*(F.lit(x) for k, n in sorted(sizes.items()) for x in (k, -(-n // self.block_docs)))) if sizes else None
+        sizes = docs.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("words")).collect()
+        parts = F.create_map(*(F.lit(x) for r in sorted(sizes) for x in (r["kind"], -(-r["n"] // self.block_docs)))) if sizes else None
         part = F.pmod(F.xxhash64("id"), parts[kind]) if sizes else F.lit(0).cast("bigint")
-        return F.lit(seq).cast("bigint") * (1 << 44) + kind.cast("bigint") * (1 << 34) + part
+        n_words, cores = sum(r["words"] for r in sizes), self.spark.sparkContext.defaultParallelism
+        tasks = max(1, -(-n_words // TASK_WORDS), min(cores, -(-n_words // LEAST_WORDS)))
+        return F.lit(seq).cast("bigint") * (1 << 44) + kind.cast("bigint") * (1 << 34) + part, tasks
 
     def _append(self, counts: DataFrame, docs: DataFrame, seq: int, base: int | None = None) -> None:
+        """Write a batch. The rows of ``counts`` are dealt by block, so Spark groups them where they are."""
         entry = F.sort_array(F.collect_list(F.struct("id", "tf", "length")))
         blocks = counts.groupBy("term", "block").agg(entry.alias("e"), F.max("tf").alias("max_tf"), F.min("length").alias("min_length"))
         blocks = blocks.select(
             "term", "block", F.size("e").alias("n"), "max_tf", "min_length",
             F.col("e.id").alias("ids"), F.col("e.tf").alias("tfs"), F.col("e.length").alias("lengths"), self._bucket("term"),
         )
-        self._write(blocks, "postings", seq, "term", "block")
+        self._write_dealt(blocks, "postings", seq, "term", "block")
         self._write(docs.withColumn("bucket", self._bucket("id")), "docs", seq, "id")
         fresh = self.spark.read.schema(f"{self._doc_schema}, bucket int").parquet(f"{self.path}/docs/seq={seq}")
         total = fresh.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("words")).first()
@@ -209,8 +236,9 @@ class TextIndex:
         statistics = F.lit(float(n_docs)), F.lit(n_words / max(n_docs, 1))
         asked = cut_lineage(fulltext.query_terms(queries, self.config, text_col=text_col, qid_col=qid_col), "asked")
         blocks, gone = self._blocks(self._numbers(asked, "term"), rows), self._gone(rows)
-        terms = asked.select("term").distinct()
-        bounds = cut_lineage(blocks.select("term", "block", "n", "max_tf", "min_length").join(terms, "term", "left_semi"), "bounds")
+        # Only postings of asked terms may be shuffled by the joins below.
+        blocks = blocks.join(asked.select("term").distinct(), "term", "left_semi")
+        bounds = cut_lineage(blocks.select("term", "block", "n", "max_tf", "min_length"), "bounds")
         weighed = cut_lineage(self._weighed(asked, bounds, blocks, gone), "weighed")
         candidates = cut_lineage(_candidates(weighed, bounds, *statistics), "candidates")
         best = Window.partitionBy("qid").orderBy(F.col("bound").desc(), "block")
@@ -218,7 +246,9 @@ class TextIndex:
         placed = cut_lineage(placed, "placed")
 
         def scores(chosen: DataFrame) -> DataFrame:
-            found = chosen.select("qid", "block").join(weighed, "qid").join(blocks.select("term", "block", "ids", "tfs", "lengths"), ["term", "block"])
+            # Written: Spark knows its size, and sends it to the postings if it is small.
+            wanted = cut_lineage(chosen.select("qid", "block").join(weighed, "qid"), "wanted")
+            found = wanted.join(blocks.select("term", "block", "ids", "tfs", "lengths"), ["term", "block"])
             each = _entries(found, "qid", "df", "n_terms")
             each = each if gone is None else each.join(gone.select("id", "block"), ["id", "block"], "left_anti")
             share = words.bm25(F.col("tf"), F.col("df"), F.col("length"), *statistics)
@@ -242,7 +272,7 @@ class TextIndex:
         """``asked`` with the number of live documents of each term."""
         frequency = bounds.groupBy("term").agg(F.sum("n").alias("df"))
         if gone is not None:
-            touched = blocks.join(gone.select("block").distinct(), "block", "left_semi").join(asked.select("term").distinct(), "term", "left_semi")
+            touched = blocks.join(gone.select("block").distinct(), "block", "left_semi")
             lost = _entries(touched.select("term", "block", "ids", "tfs", "lengths")).join(gone.select("id", "block"), ["id", "block"], "left_semi")
             lost = lost.groupBy("term").agg(F.count(F.lit(1)).alias("lost"))
             frequency = frequency.join(lost, "term", "left").select("term", (F.col("df") - F.coalesce("lost", F.lit(0))).alias("df"))
