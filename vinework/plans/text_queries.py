@@ -11,6 +11,7 @@ from vinework.operators import fulltext
 from vinework.operators.hybrid import hybrid
 from vinework.plans.inputs import BENCHMARK_SQL, COLLECTION_SQL, benchmark_queries, benchmark_texts, collection, scratch_path, table
 from vinework.plans.registry import query
+from vinework.runtime import cut_lineage
 from vinework.sources.textindex import TextIndex
 
 _STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
@@ -198,7 +199,13 @@ _PAIRS_SQL = r"""
 
 def _frequent_pairs(spark, sf_dir):
     """Queries of two frequent words: each of the twelve most frequent with the next one."""
-    found = fulltext.postings(_documents(spark, sf_dir), SIMPLE).filter(F.col("term") != fulltext.WHOLE)
+    documents = _documents(spark, sf_dir)
+    # Rows of an id that comes once are counted where they are read; only those of repeated ids are shuffled by term and id.
+    repeated = cut_lineage(documents.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("id").alias("_id")), "repeated")
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    each = documents.join(repeated, same, "left_anti").select(F.explode(F.array_distinct(words.terms(F.col("content"), SIMPLE))).alias("term"))
+    again = fulltext.postings(documents.join(repeated, same, "left_semi"), SIMPLE).filter(F.col("term") != fulltext.WHOLE).select("term")
+    found = each.unionByName(again)
     order = Window.orderBy(F.col("df").desc(), "term")
     ranked = found.groupBy("term").agg(F.count(F.lit(1)).alias("df")).orderBy(F.col("df").desc(), "term").limit(13)
     ranked = ranked.select(F.row_number().over(order).alias("qid"), F.concat_ws(" ", "term", F.lead("term").over(order)).alias("text"))
