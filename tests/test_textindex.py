@@ -158,6 +158,7 @@ def test_postings_are_made_where_their_block_is(spark, index, monkeypatch):
         plain(self, rows, name, seq, *order)
 
     monkeypatch.setattr(TextIndex, "_write_dealt", spy)
+    monkeypatch.setattr("vinework.sources.textindex.LEAST_WORDS", 64)  # several tasks for few words
     index.add(frame(spark, texts(1, range(60))))
     index.add(frame(spark, texts(2, range(30, 90))))
     index.compact()

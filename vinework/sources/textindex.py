@@ -164,17 +164,19 @@ class TextIndex:
         seq = rows[-1]["seq"] + 1
         docs = cut_lineage(self.live_docs(), "live")
         block, tasks = self._placed(docs, seq)
-        entries = _entries(self._blocks(None, rows).select("term", "block", "ids", "tfs", "lengths")).withColumnRenamed("block", "old")
-        entries, gone = entries.withColumn("block", block), self._gone(rows)
-        if gone is None:
-            entries = entries.repartition(tasks, "block")
-        else:
+        # A batch has an id once, so batch and id name a document in fewer bytes than block and id.
+        batch = F.shiftright("block", 44).cast("int").alias("batch")
+        entries = _entries(self._blocks(None, rows).select("term", "block", "ids", "tfs", "lengths"))
+        entries = entries.select("term", "id", "tf", "length", batch)
+        gone = self._gone(rows)
+        if gone is not None:
             # Deleted documents go where their entries go, so that a mark among the rows of a document stands for a join.
-            marks = gone.withColumnRenamed("block", "old").withColumn("block", block)
-            alike = marks.select(F.lit(None).cast("string").alias("term"), "old", "id", F.lit(None).cast("int").alias("tf"), "length", "block")
-            both = entries.unionByName(alike).repartition(tasks, "block")
-            dead = F.max(F.col("term").isNull()).over(Window.partitionBy("block", "old", "id"))
-            entries = both.withColumn("_dead", dead).filter(~F.col("_dead"))
+            marks = gone.select(F.lit(None).cast("string").alias("term"), "id", F.lit(None).cast("int").alias("tf"), "length", batch)
+            entries = entries.unionByName(marks)
+        entries = entries.withColumn("block", block).repartition(tasks, "block")
+        if gone is not None:
+            dead = F.max(F.col("term").isNull()).over(Window.partitionBy("block", "batch", "id"))
+            entries = entries.withColumn("_dead", dead).filter(~F.col("_dead"))
         self._append(entries.select("term", "block", "id", "tf", "length"), docs.withColumn("block", block).select("id", "block", "length"), seq, base=seq)
         for row in rows:
             for name in ("postings", "docs", "gone"):
