@@ -257,3 +257,24 @@ def test_large_query_sets_stay_off_the_driver(spark, data, monkeypatch):
     monkeypatch.setattr("vinework.operators.knn.SHIPPED_BYTES", 64)
     plan = knn(corpus, queries, 3)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan
+
+
+def test_rows_become_a_matrix_in_bounded_parts(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from vinework.functions import kernels
+
+    rng = np.random.default_rng(3)
+    rows, queries = rng.normal(size=(20_000, 8)), rng.normal(size=(30, 8))
+    sizes, plain = [], kernels.matrix
+    monkeypatch.setattr(kernels, "matrix", lambda column, dim: sizes.append(len(column)) or plain(column, dim))
+    vectors = pa.array([None if i % 997 == 0 else v.tolist() for i, v in enumerate(rows)], pa.list_(pa.float64()))
+    for metric in ("cosine", "l2", "ip"):
+        state = kernels.NearestRows(pa.array(range(30)), queries, metric, 4, None, ["id"])
+        state.add(pa.table({"id": pa.array(range(20_000)), "embedding": vectors}), "id", "embedding")
+        found = np.asarray(state.result("qid").column("id")).reshape(30, 4)
+        dist = kernels.rough_distances(queries, rows, metric)
+        dist[:, ::997] = np.inf
+        assert (found == np.argsort(dist, axis=1)[:, :4]).all()
+    assert max(sizes) <= 8_192

@@ -12,8 +12,9 @@ from pyspark import cloudpickle
 # Ship these helpers with the job, so workers need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Query/row pairs held in memory at once by one task.
-PAIRS = 2_000_000
+# Query/row pairs held in memory at once by one task, and rows that are made a matrix at once.
+PAIRS = 1 << 20
+ROWS = 8_192
 # Pairs whose distance is recomputed at once.
 EXACT_PAIRS = 65_536
 
@@ -39,12 +40,23 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 def rough_distances(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
     """All distances of a block by one matrix product."""
+    return rough_distances_to(rows, metric)(queries)
+
+
+def rough_distances_to(rows: np.ndarray, metric: str):
+    """The same for several blocks of queries: what the rows need is made once."""
     if metric == "cosine":
-        return 1.0 - unit(queries) @ unit(rows).T
+        turned = unit(rows).T
+        return lambda queries: 1.0 - unit(queries) @ turned
     if metric == "ip":
-        return -(queries @ rows.T)
-    squares = np.einsum("ij,ij->i", queries, queries)[:, None] + np.einsum("ij,ij->i", rows, rows)[None, :]
-    return np.sqrt(np.maximum(squares - 2.0 * (queries @ rows.T), 0.0))
+        return lambda queries: -(queries @ rows.T)
+    own = np.einsum("ij,ij->i", rows, rows)[None, :]
+
+    def l2(queries: np.ndarray) -> np.ndarray:
+        squares = np.einsum("ij,ij->i", queries, queries)[:, None] + own
+        return np.sqrt(np.maximum(squares - 2.0 * (queries @ rows.T), 0.0))
+
+    return l2
 
 
 def exact_distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
@@ -83,12 +95,14 @@ def block_nearest(queries, rows, tie, metric, k, digits, bound):
     slack = (0.0 if digits is None else 10.0**-digits) + 1e-7
     found = []
     step = max(1, PAIRS // max(1, len(rows)))
+    distances = rough_distances_to(rows, metric)
     for start in range(0, len(queries), step):
         part = queries[start : start + step]
-        rough = rough_distances(part, rows, metric)
+        rough = distances(part)
         np.copyto(rough, np.inf, where=np.isnan(rough))
         limit = bound[start : start + step]
-        if len(rows) > k:
+        # Once k rows are known for every query, their bounds are limit enough.
+        if len(rows) > k and not np.isfinite(limit).all():
             limit = np.minimum(limit, np.partition(rough, k - 1, axis=1)[:, k - 1])
         margin = slack * (1.0 + np.abs(np.where(np.isfinite(limit), limit, 0.0)))
         q, r = np.nonzero(rough <= (limit + margin)[:, None])
@@ -122,8 +136,12 @@ class NearestRows:
         """Take in rows; ``id_col`` breaks ties."""
         if isinstance(rows, pa.RecordBatch):
             rows = pa.Table.from_batches([rows])
-        if not rows.num_rows or not len(self.queries):
+        if not len(self.queries):
             return
+        for at in range(0, rows.num_rows, ROWS):
+            self._add(rows.slice(at, ROWS), id_col, vec_col)
+
+    def _add(self, rows: pa.Table, id_col: str, vec_col: str) -> None:
         vectors, present = matrix(rows.column(vec_col), self.queries.shape[1])
         order = pc.sort_indices(rows, sort_keys=[(id_col, "ascending")]).to_numpy()
         tie = np.empty(len(order), dtype=np.int64)

@@ -22,7 +22,7 @@ from vinework.functions.vectors import Metric
 SHIPPED_QUERIES = 8_192
 SHIPPED_BYTES = 64 << 20
 # Vectors of one block of rows, and of queries, when both are distributed.
-ROW_BLOCK_BYTES = 64 << 20
+ROW_BLOCK_BYTES = 16 << 20
 QUERY_BLOCK_BYTES = 8 << 20
 
 
