@@ -122,3 +122,18 @@ def test_typed_profile_of_maps_and_nothing(spark):
     found = {r.key: (r.type, r.n_rows, r.n_null) for r in schema.variant_properties(rows, "label").collect()}
     assert found == {"a": ("BIGINT", 2, 0), "b": ("VARIANT", 2, 0), "c": ("VOID", 1, 1)}
     assert schema.variant_properties(rows.limit(0), "label").collect() == [] and schema.discover(rows.limit(0), "label") == {}
+
+
+def test_lines_of_other_kinds_are_not_parsed(monkeypatch):
+    from vinework.sources import dumps
+
+    lines = [b'{"id": 1, "label": "A", "properties": {"x": 1}}::vertex', b'{"id": 2, "label": "B"}::edge', b"junk", b'{"id": 3, "label": "A"}:: Vertex ', b"{::edge"]
+    plain, parsed = dumps._entity, []
+    monkeypatch.setattr(dumps, "_entity", lambda line, *more: parsed.append(line) or plain(line, *more))
+
+    def ids(kinds):
+        return [i for b in dumps._batches(iter(lines), {"kinds": kinds}) for i in b.column("id").to_pylist()]
+
+    assert ids({"vertex"}) == [1, 3] and len(parsed) == 3
+    parsed.clear()
+    assert ids({"edge", "other"}) == [2, None, None] and len(parsed) == 5
