@@ -138,3 +138,14 @@ def test_substrings_chunks_follow_bytes(spark, monkeypatch):
         assert substrings._chunked(docs, "doc_id", "text")[1] == n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_links_to_one_smaller_key_need_no_round(spark, monkeypatch):
+    from vinework.llm import components
+
+    rows = [(5, 1), (6, 1), (9, 7)]
+    chain = spark.createDataFrame([(5, 3), (3, 1), (2, 8)], "a bigint, b bigint")
+    assert sorted(map(tuple, components.connected(chain).collect())) == [(1, 1), (2, 2), (3, 1), (5, 1), (8, 2)]
+    monkeypatch.setattr(components, "_star", None)
+    found = components.connected(spark.createDataFrame(rows, "a bigint, b bigint"))
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (5, 1), (6, 1), (7, 7), (9, 7)]

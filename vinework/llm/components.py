@@ -17,7 +17,7 @@ def connected(links: DataFrame) -> DataFrame:
     executor repeats one round at most. A link of a key to itself only names it.
     """
     edges = cut_lineage(links.select("a", "b").distinct(), "links")
-    while True:
+    while not _stars(edges):
         before = _state(edges)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = cut_lineage(_star(both, F.col("b") > F.col("a")), "large-star")
@@ -39,6 +39,15 @@ def _star(edges: DataFrame, moved, center: bool = False) -> DataFrame:
     return out.filter(F.col("a") != F.col("b")).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every key has one link, to a smaller key that has none: another round would leave that as it is."""
+    out = F.struct(F.col("a").alias("key"), F.lit(1).alias("out"))
+    into = F.struct(F.col("b").alias("key"), F.lit(0).alias("out"))
+    ends = edges.select(F.explode(F.array(out, into)).alias("e"), (F.col("b") >= F.col("a")).alias("up")).select("e.key", "e.out", "up")
+    seen = ends.groupBy("key").agg(F.sum("out").alias("links"), F.min("out").alias("least"), F.max("up").alias("up"))
+    return not seen.filter("links > 1 or (links = 1 and least = 0) or up").head(1)
+
+
 def _state(edges: DataFrame) -> tuple:
     mark = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
     return tuple(edges.agg(F.count(F.lit(1)), mark).first())
