@@ -139,6 +139,24 @@ def test_half_walks_are_written_once(spark, hub):
     )
 
 
+@pytest.mark.parametrize("hops", [2, 3, 6])
+def test_walks_of_a_whole_graph_are_made_by_many_tasks(spark, tmp_path, hops):
+    """Edges in one small file: no task makes most of the walks, and nothing of the size of the graph is broadcast."""
+    n, key = 600, F.col("id")
+    spark.range(0, n, 1, 1).write.parquet(f"{tmp_path}/nodes")
+    nodes = spark.read.parquet(f"{tmp_path}/nodes")
+    ends = F.explode(F.array((key * 7 + 13) % n, (key * 13 + 7) % n)).alias("end_id")
+    edges = nodes.select(key.alias("start_id"), ends).select(
+        (F.col("start_id") * n + F.col("end_id")).alias("id"), "start_id", "end_id",
+        F.lit("N").alias("src_label"), F.lit("N").alias("dst_label"),
+    )
+    walks = paths(PropertyGraph({"N": nodes}, {"E": edges}), "E", hops)
+    assert "BroadcastHashJoin" not in final_plan(walks.groupBy("start_id").agg(F.countDistinct("end_id")))
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        made = [r["count"] for r in walks.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(made) >= 4 and max(made) <= sum(made) / 2
+
+
 def test_results_do_not_depend_on_partitions(spark, hub):
     small = PropertyGraph(hub.node_frames, {"E": hub.edge_frames["E"].filter("id < 300")})
     other = PropertyGraph(hub.node_frames, {"E": small.edge_frames["E"].repartition(17)})

@@ -212,15 +212,21 @@ def paths(graph: PropertyGraph, edge_type: str, hops: int, starts: DataFrame | N
 
 
 def _halves(single: DataFrame, hops: int) -> DataFrame:
-    """Walks from walks of half the length; a half of several edges is used twice and written once."""
+    """Walks from walks of half the length; a half of several edges is used twice and written once.
+
+    Both sides grow with the graph, so they are always shuffled. Edges made
+    from files that compress well look small enough to broadcast; then every
+    executor and the driver hold all of them, and all walks are made in the
+    tasks that read the first edges, often a single one.
+    """
     if hops == 1:
         return single
     if hops % 2:
-        return _concatenate(_halves(single, hops - 1), single)
+        return _concatenate(_halves(single, hops - 1), single.hint("merge"))
     half = _halves(single, hops // 2)
     if hops > 2:
         half = cut_lineage(half, "half-walks")
-    return _concatenate(half, half)
+    return _concatenate(half, half.hint("merge"))
 
 
 def _concatenate(left: DataFrame, right: DataFrame) -> DataFrame:
