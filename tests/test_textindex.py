@@ -1,11 +1,14 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from vinework import runtime
 from vinework.functions.text import ENGLISH, SIMPLE
 from vinework.operators import fulltext
 from vinework.operators.hybrid import hybrid
+from vinework.sources import textindex
 from vinework.sources.collection import CollectionStore
 from vinework.sources.textindex import TextIndex
 
@@ -163,3 +166,69 @@ def test_postings_are_made_where_their_block_is(spark, index, monkeypatch):
     index.add(frame(spark, texts(2, range(30, 90))))
     index.compact()
     assert [written["postings", seq] for seq in (1, 2, 3)] == [1, 1, 1]
+
+
+def grouped(entries):
+    """Bounds and documents per term and block, by plain means."""
+    found = {}
+    for term, block, i, tf, length in entries:
+        found.setdefault((term, block), []).append((i, tf, length))
+    return {k: (len(v), max(x[1] for x in v), min(x[2] for x in v), tuple(zip(*sorted(v), strict=True))) for k, v in found.items()}
+
+
+def test_rare_terms_have_a_row_per_task_and_not_one_per_block(spark, index, monkeypatch):
+    monkeypatch.setattr("vinework.functions.runs.RUN", 4)  # also runs that end before a term's last block
+    rows = [(i, f"w{i % 90} w{i % 70} " + " ".join(["all"] * (1 + i % 3))) for i in range(600)]
+    index.add(frame(spark, rows))
+    index.add(frame(spark, [(i, t + " all") for i, t in rows[100:200]]))
+    index.delete(frame(spark, [(i, None) for i in range(0, 600, 50)]))
+    index.compact()
+    committed = index._committed()
+    place = {r.id: (r.block, r.length) for r in index.live_docs().collect()}
+    now = {i: t + (" all" if 100 <= i < 200 else "") for i, t in rows if i % 50}
+    assert place.keys() == now.keys()
+    entries = [(w, place[i][0], i, t.split().count(w), place[i][1]) for i, t in now.items() for w in set(t.split())]
+    split = textindex._split(index._blocks(None, committed)).collect()
+    assert {(r.term, r.block): (r.n, r.max_tf, r.min_length, (tuple(r.ids), tuple(r.tfs), tuple(r.lengths))) for r in split} == grouped(entries)
+    stored = index._blocks(None, committed).collect()
+    assert len(split) == len(grouped(entries)) and len(stored) < len(split) / 1.5
+    assert sum(r.term == "all" for r in stored) > 20 and all(r.n < 4 + max(r.sizes) for r in stored)
+
+
+def test_a_compaction_shuffles_a_row_per_task_and_not_one_per_entry(spark, index, monkeypatch):
+    dealt = []
+    kind = type(index.live_docs())
+    plain = kind.repartition
+
+    def spy(self, n, *columns):
+        dealt.append(self)
+        return plain(self, n, *columns)
+
+    rows = texts(4, range(300))
+    index.add(frame(spark, rows))
+    index.delete(frame(spark, [(i, None) for i in range(0, 300, 3)]))
+    with monkeypatch.context() as patch:
+        # The entries are read before the older batches go.
+        patch.setattr(textindex, "delete_folder", lambda *_: None)
+        patch.setattr(kind, "repartition", spy)
+        index.compact()
+        files = spark.read.parquet(f"{index.path}/postings").filter("seq < 3")
+        assert dealt[-1].count() <= 2 * files.rdd.getNumPartitions() + 2
+    live = {(r.term, r.id, r.tf, r.length) for r in index.postings().collect()}
+    assert live == {tuple(r) for r in fulltext.postings(frame(spark, [r for r in rows if r[0] % 3]), SIMPLE).collect()}
+
+
+def test_a_compaction_of_deleted_documents_only(spark, index):
+    index.add(frame(spark, texts(5, range(40))))
+    index.delete(frame(spark, [(i, None) for i in range(40)]))
+    index.compact()
+    assert index.postings().count() == 0 and index.live_docs().count() == 0
+    index.add(frame(spark, [(1, "w0")]))
+    assert [(r.term, r.id) for r in index.postings().filter("term <> ''").collect()] == [("w0", 1)]
+
+
+def test_texts_of_a_batch_are_not_kept_beside_the_index(spark, index):
+    before = set(Path(runtime._own_dir(spark)).rglob("*.parquet"))
+    index.add(frame(spark, texts(6, range(40))))
+    index.compact()
+    assert set(Path(runtime._own_dir(spark)).rglob("*.parquet")) == before

@@ -1,9 +1,11 @@
 """A stored text index: postings in blocks, kept up to date, searched with block-max pruning.
 
 Documents of a batch are dealt to blocks of about ``block_docs`` documents of
-similar length. A posting row holds one term's documents of one block, with the
-largest term frequency and the smallest length among them, from which the
-largest BM25 share of the term in the block follows for any corpus statistics.
+similar length. For a term and a block the largest term frequency and the
+smallest length among the term's documents are stored, from which the largest
+BM25 share of the term in the block follows for any corpus statistics. A posting
+row is a run: one term's documents in some blocks of one task, with these bounds
+per block, so that rare terms don't have a row per block.
 
 A search first reads these bounds only. A block can hold a result of a query
 only if it has all its terms, and no result in it scores more than the sum of
@@ -18,9 +20,11 @@ The batch counts when its row in ``batches`` is written, which comes last;
 what a failed batch left is overwritten by the next. :meth:`TextIndex.compact`
 rewrites the live rows as one batch. One writer at a time.
 
-Rows are shuffled once, by block: a block's texts (or, in a compaction, its
-entries) meet in one task, which makes all its postings and writes them to the
-buckets. Neither single words nor finished postings are shuffled.
+Rows are shuffled once, by block: a block's texts meet in one task, which makes
+all its postings in whole columns (:mod:`vinework.functions.runs`) and writes
+them to the buckets. A compaction shuffles entries, packed into a row per task
+that is to hold them; the marks of deleted documents travel among them. Neither
+single words nor finished postings are shuffled.
 """
 
 from __future__ import annotations
@@ -28,10 +32,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vinework.functions import runs
 from vinework.functions import text as words
 from vinework.functions.text import ENGLISH, TextConfig
 from vinework.operators import fulltext
-from vinework.runtime import cut_lineage, delete_folder, folder_exists
+from vinework.runtime import cut_lineage, delete_folder, folder_exists, scratch
 from vinework.sources.collection import last_of_batch
 
 LENGTH_STEPS = 8  # classes of length per factor e
@@ -110,8 +115,8 @@ class TextIndex:
         return self._table("gone", self._doc_schema, rows=rows).select("id", "block", "length") if any(r["gone"] for r in rows) else None
 
     def _blocks(self, buckets: list[int] | None, rows: list) -> DataFrame:
-        schema = f"term string, block bigint, n int, max_tf int, min_length int, ids array<{self.id_type}>, tfs array<int>, lengths array<int>"
-        return self._table("postings", schema, buckets, rows)
+        """Posting rows: runs of blocks, named by their first."""
+        return self._table("postings", runs.posting_schema(self.id_type), buckets, rows)
 
     def live_docs(self) -> DataFrame:
         """``id, block, length`` of all documents."""
@@ -125,7 +130,7 @@ class TextIndex:
         blocks, gone = self._blocks(None if asked is None else self._numbers(asked, "term"), rows), self._gone(rows)
         if asked is not None:
             blocks = blocks.join(asked.select("term").distinct(), "term", "left_semi")
-        found = _entries(blocks.select("term", "block", "ids", "tfs", "lengths"))
+        found = _entries(_split(blocks))
         found = found if gone is None else found.join(gone.select("id", "block"), ["id", "block"], "left_anti")
         whole = self.live_docs().select(F.lit(fulltext.WHOLE).alias("term"), "id", F.lit(1).cast("bigint").alias("tf"), "length")
         return found.select("term", "id", F.col("tf").cast("bigint").alias("tf"), "length").unionByName(whole)
@@ -134,6 +139,10 @@ class TextIndex:
 
     def add(self, documents: DataFrame, *, text_col: str = "content", id_col: str = "id") -> None:
         """Insert or replace documents. A ``seq`` column orders rows with the same id, as in :func:`last_of_batch`."""
+        with scratch(self.spark):
+            self._add(documents, text_col, id_col)
+
+    def _add(self, documents: DataFrame, text_col: str, id_col: str) -> None:
         order = ["seq"] if "seq" in documents.columns else []
         rows = documents.select(F.col(id_col).cast(self.id_type).alias("id"), F.col(text_col).alias("content"), *order)
         rows = last_of_batch(rows) if order else rows
@@ -144,12 +153,12 @@ class TextIndex:
         if texts.count() > docs.count():
             texts = last_of_batch(texts)
         seq = self._committed()[-1]["seq"] + 1
-        block, tasks = self._placed(docs, seq)
-        dealt = texts.withColumn("block", block).repartition(tasks, "block")
-        each = dealt.select("id", "block", "length", F.explode(words.marked_terms(text, self.config)).alias("term"))
-        each = each.filter(words.is_term(F.col("term"), self.config))
-        counts = each.groupBy("term", "block", "id").agg(F.count(F.lit(1)).cast("int").alias("tf"), F.first("length").alias("length"))
-        self._append(counts, docs.withColumn("block", block).select("id", "block", "length"), seq)
+        classes = self._classes(docs)
+        block = self._block(classes, seq)
+        dealt = texts.withColumn("block", block).repartition(self._tasks(sum(r["words"] for r in classes)), "block")
+        terms = dealt.select("id", "block", "length", words.terms(text, self.config).alias("terms"))
+        found = terms.mapInArrow(runs.of_texts, runs.posting_schema(self.id_type))
+        self._append(found, docs.withColumn("block", block).select("id", "block", "length"), seq)
 
     def delete(self, ids: DataFrame) -> None:
         """Remove documents; unknown ids are ignored."""
@@ -160,50 +169,62 @@ class TextIndex:
 
     def compact(self) -> None:
         """Rewrite all live rows as one batch and delete the older ones."""
+        with scratch(self.spark):
+            self._compact()
+
+    def _compact(self) -> None:
         rows = self._committed()
         seq = rows[-1]["seq"] + 1
         docs = cut_lineage(self.live_docs(), "live")
-        block, tasks = self._placed(docs, seq)
-        # A batch has an id once, so batch and id name a document in fewer bytes than block and id.
-        batch = F.shiftright("block", 44).cast("int").alias("batch")
-        entries = _entries(self._blocks(None, rows).select("term", "block", "ids", "tfs", "lengths"))
-        entries = entries.select("term", "id", "tf", "length", batch)
-        gone = self._gone(rows)
+        classes, gone = self._classes(docs), self._gone(rows)
+        n_words = sum(r["words"] for r in classes)
+        entries = self._blocks(None, rows).select("term", "block", "ids", "tfs", "lengths")
         if gone is not None:
-            # Deleted documents go where their entries go, so that a mark among the rows of a document stands for a join.
-            marks = gone.select(F.lit(None).cast("string").alias("term"), "id", F.lit(None).cast("int").alias("tf"), "length", batch)
+            # Deleted documents go where their entries go, so that a mark among the entries stands for a join.
+            marks = gone.select(F.lit(None).cast("string").alias("term"), "block", F.array("id").alias("ids"), F.array(F.lit(0)).alias("tfs"), F.array("length").alias("lengths"))
             entries = entries.unionByName(marks)
-        entries = entries.withColumn("block", block).repartition(tasks, "block")
-        if gone is not None:
-            dead = F.max(F.col("term").isNull()).over(Window.partitionBy("block", "batch", "id"))
-            entries = entries.withColumn("_dead", dead).filter(~F.col("_dead"))
-        self._append(entries.select("term", "block", "id", "tf", "length"), docs.withColumn("block", block).select("id", "block", "length"), seq, base=seq)
+            n_words += gone.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        if classes:
+            tasks = self._tasks(n_words)
+            # Where no document of a class is left, its entries are dropped wherever they go.
+            deal = runs.dealing([(r["kind"], r["parts"], r["least"]) for r in classes], seq, self._names_of(tasks))
+            lots = entries.withColumn("hashes", F.transform("ids", lambda key: F.xxhash64(key))).mapInArrow(deal, runs.lot_schema(self.id_type))
+            found = lots.repartition(tasks, "task").mapInArrow(runs.of_lots, runs.posting_schema(self.id_type))
+        else:
+            found = self._blocks([], rows).drop("seq", "bucket")
+        self._append(found, docs.withColumn("block", self._block(classes, seq)).select("id", "block", "length"), seq, base=seq)
         for row in rows:
             for name in ("postings", "docs", "gone"):
                 delete_folder(self.spark, f"{self.path}/{name}/seq={row['seq']}")
         for row in rows:
             delete_folder(self.spark, f"{self.path}/batches/seq={row['seq']}")
 
-    def _placed(self, docs: DataFrame, seq: int) -> tuple[Column, int]:
-        """Number of a document's block, which are its batch, its class of length and a part of the class, and tasks to deal blocks to."""
-        kind = F.floor(F.log1p(F.col("length").cast("double")) * LENGTH_STEPS).cast("int")
-        # A class per step of length: some 200 rows.
-        sizes = docs.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("words")).collect()
-        parts = F.create_map(*(F.lit(x) for r in sorted(sizes) for x in (r["kind"], -(-r["n"] // self.block_docs)))) if sizes else None
-        part = F.pmod(F.xxhash64("id"), parts[kind]) if sizes else F.lit(0).cast("bigint")
-        n_words, cores = sum(r["words"] for r in sizes), self.spark.sparkContext.defaultParallelism
-        tasks = max(1, -(-n_words // TASK_WORDS), min(cores, -(-n_words // LEAST_WORDS)))
-        return F.lit(seq).cast("bigint") * (1 << 44) + kind.cast("bigint") * (1 << 34) + part, tasks
-
-    def _append(self, counts: DataFrame, docs: DataFrame, seq: int, base: int | None = None) -> None:
-        """Write a batch. The rows of ``counts`` are dealt by block, so Spark groups them where they are."""
-        entry = F.sort_array(F.collect_list(F.struct("id", "tf", "length")))
-        blocks = counts.groupBy("term", "block").agg(entry.alias("e"), F.max("tf").alias("max_tf"), F.min("length").alias("min_length"))
-        blocks = blocks.select(
-            "term", "block", F.size("e").alias("n"), "max_tf", "min_length",
-            F.col("e.id").alias("ids"), F.col("e.tf").alias("tfs"), F.col("e.length").alias("lengths"), self._bucket("term"),
-        )
-        self._write_dealt(blocks, "postings", seq, "term", "block")
+    def _classes(self, docs: DataFrame) -> list:
+        """Classes of length, one per step of length (some 200 rows): ``kind, parts, least, words``."""
+        n, n_words = F.count(F.lit(1)), F.sum("length")
+        # Blocks of long documents are smaller, so that one task can hold any block.
+        parts = F.greatest(F.ceil(n / self.block_docs), F.ceil(n_words / TASK_WORDS)).cast("bigint")
+        return sorted(docs.groupBy(_kind().alias("kind")).agg(parts.alias("parts"), F.min("length").alias("least"), n_words.alias("words")).collect())
+
+    def _block(self, classes: list, seq: int) -> Column:
+        """Number of a document's block, which are its batch, its class of length and a part of the class."""
+        parts = F.create_map(*(F.lit(x) for r in classes for x in (r["kind"], r["parts"]))) if classes else None
+        part = F.pmod(F.xxhash64("id"), parts[_kind()]) if classes else F.lit(0).cast("bigint")
+        return F.lit(seq).cast("bigint") * (1 << runs.BATCH_SHIFT) + _kind().cast("bigint") * (1 << runs.KIND_SHIFT) + part
+
+    def _tasks(self, n_words: int) -> int:
+        """Tasks to deal the blocks of so many words to."""
+        return max(1, -(-n_words // TASK_WORDS), min(self.spark.sparkContext.defaultParallelism, -(-n_words // LEAST_WORDS)))
+
+    def _names_of(self, tasks: int) -> list[int]:
+        """A value for each of the tasks that Spark deals to a task of its own."""
+        found = self.spark.range(64 * tasks).select(F.col("id").cast("int").alias("name"))
+        found = found.groupBy(F.pmod(F.hash("name"), F.lit(tasks)).alias("task")).agg(F.min("name").alias("name"))
+        return sorted(r["name"] for r in found.collect())
+
+    def _append(self, found: DataFrame, docs: DataFrame, seq: int, base: int | None = None) -> None:
+        """Write a batch. The tasks that made posting rows write them."""
+        self._write_dealt(found.withColumn("bucket", self._bucket("term")), "postings", seq)
         self._write(docs.withColumn("bucket", self._bucket("id")), "docs", seq, "id")
         fresh = self.spark.read.schema(f"{self._doc_schema}, bucket int").parquet(f"{self.path}/docs/seq={seq}")
         total = fresh.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("words")).first()
@@ -239,7 +260,7 @@ class TextIndex:
         asked = cut_lineage(fulltext.query_terms(queries, self.config, text_col=text_col, qid_col=qid_col), "asked")
         blocks, gone = self._blocks(self._numbers(asked, "term"), rows), self._gone(rows)
         # Only postings of asked terms may be shuffled by the joins below.
-        blocks = blocks.join(asked.select("term").distinct(), "term", "left_semi")
+        blocks = _split(blocks.join(asked.select("term").distinct(), "term", "left_semi"))
         bounds = cut_lineage(blocks.select("term", "block", "n", "max_tf", "min_length"), "bounds")
         weighed = cut_lineage(self._weighed(asked, bounds, blocks, gone), "weighed")
         candidates = cut_lineage(_candidates(weighed, bounds, *statistics), "candidates")
@@ -281,8 +302,20 @@ class TextIndex:
         return asked.join(frequency, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
 
 
+def _kind() -> Column:
+    """Class of a document's length."""
+    return F.floor(F.log1p(F.col("length").cast("double")) * LENGTH_STEPS).cast("int")
+
+
+def _split(found: DataFrame) -> DataFrame:
+    """Posting rows of runs as a row per term and block."""
+    each = found.select("term", F.explode(F.arrays_zip("blocks", "starts", "sizes", "max_tfs", "min_lengths")).alias("b"), "ids", "tfs", "lengths")
+    bounds = [F.col(f"b.{stored}").alias(name) for stored, name in (("blocks", "block"), ("sizes", "n"), ("max_tfs", "max_tf"), ("min_lengths", "min_length"))]
+    return each.select("term", *bounds, *(F.slice(name, F.col("b.starts") + 1, F.col("b.sizes")).alias(name) for name in ("ids", "tfs", "lengths")))
+
+
 def _entries(blocks: DataFrame, *columns: str) -> DataFrame:
-    """One row per document of each posting row."""
+    """One row per document of each row of a term and block."""
     entry = F.explode(F.arrays_zip("ids", "tfs", "lengths")).alias("e")
     found = blocks.select("term", "block", *columns, entry)
     return found.select("term", "block", *columns, F.col("e.ids").alias("id"), F.col("e.tfs").alias("tf"), F.col("e.lengths").alias("length"))
